@@ -1 +1,3 @@
-from catalogue import rates, scalars  # noqa: F401
+"""Importing this module registers every query."""
+
+from catalogue import coding, cohorts, rates, scalars, storage, tables  # noqa: F401

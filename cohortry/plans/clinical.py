@@ -67,7 +67,7 @@ def ccs_lookup(raw: DataFrame, code: str, group: str, label: str | None = None)
     Without a label column the label follows from the group number."""
     number = safe_cast(strip_chars(group), "int")
     if label is None:
-        text = F.element_at(F.array(*map(F.lit, CCS_GROUPS)), F.when(number.between(1, len(CCS_GROUPS)), number))
+        text = factor(number, "ccs_label", range(1, len(CCS_GROUPS) + 1), CCS_GROUPS)
     else:
         text = replace_text(strip_chars(label, "'"), "Mental illness", "Mental Illness", first_only=True)
     return raw.select(strip_chars(code).alias("dx_code"), number.alias("ccs_group"), text.alias("ccs_label"))

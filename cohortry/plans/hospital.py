@@ -217,8 +217,10 @@ def service_designation(survey: DataFrame) -> DataFrame:
     )
     flags = [F.col("pr_has_ped_ed"), F.col("pr_has_ped_ward"), F.col("pr_has_picu")]
     n = true_count(flags)
+    ages = ["AgeMed", "AgeMed_Other_Comments", "AgeTrauma", "AgeTrauma_Other_Comments"]
     return flagged.withColumns(
         {
+            **{f"pr_{c}": values_to_null(c, "") for c in ages if c in survey.columns},
             "pr_ped_desig": flag_product(list(zip(flags, ["Ped ED", "Ped Ward", "PICU"]))),
             "pr_inpatient2": F.col("pr_has_ped_ward") | F.col("pr_has_picu"),
             "pr_ped_1plus": n >= 1,
