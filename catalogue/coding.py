@@ -161,12 +161,12 @@ for _name, _system in {
 @query(
     "ccc_prefix_match",
     f"""WITH {VIS}, {CCC}, stems AS (SELECT substr(code, 1, 4) AS stem, min(priority) AS priority FROM ccc WHERE code_system = 'icd9_dx'
-  AND priority <= 3 GROUP BY 1), names AS (SELECT DISTINCT priority, category FROM ccc)
+  GROUP BY 1), names AS (SELECT DISTINCT priority, category FROM ccc)
 SELECT id, n.category AS ccc_label_dx_prin FROM vis LEFT JOIN stems ON substr(dx_prin, 1, 4) = stem LEFT JOIN names n USING (priority)""",
 )
 def ccc_prefix_match(spark, d):
     """Listed codes read as stems."""
-    listed = clinical.code_table(condition_codes(spark, d)).filter("priority <= 3")
+    listed = clinical.code_table(condition_codes(spark, d))
     stems = listed.withColumn("code", F.substring("code", 1, 4)).distinct()
     out = clinical.ccc_classify(visits(spark, d), ["dx_prin"], stems, "icd9_dx", match="prefix")
     return out.select("id", "ccc_label_dx_prin")
@@ -344,12 +344,9 @@ def hospital_factors(spark, d):
   END AS teach_rurl, s_suppkey % 2 = 0 AND s_suppkey % 3 = 0 AS fin_small_rural, s_suppkey % 2 = 0 AND s_suppkey % 3 = 1 AS fin_teaching FROM h""",
 )
 def financial_flags(spark, d):
-    finance = (
-        table(spark, d, "supplier")
-        .filter("s_suppkey % 2 = 0")
-        .selectExpr(
-            "'106' || lpad(CAST(s_suppkey AS STRING), 6, '0') AS FAC_NO", "CASE s_suppkey % 3 WHEN 0 THEN 'R' WHEN 1 THEN 'T' ELSE '' END AS TEACH_RURL"
-        )
+    finance = table(spark, d, "supplier").selectExpr(
+        "CASE WHEN s_suppkey % 2 = 0 THEN '106' || lpad(CAST(s_suppkey AS STRING), 6, '0') END AS FAC_NO",
+        "CASE s_suppkey % 3 WHEN 0 THEN 'R' WHEN 1 THEN 'T' ELSE '' END AS TEACH_RURL",
     )
     base = hospital.hospital_factors(utilisation(spark, d)).select("oshpd_id")
     return hospital.financial_flags(base, finance)
@@ -404,10 +401,10 @@ SELECT oshpd_id, score AS pr_Score, score / 10 AS pr_Score10, gui AS pr_guidelin
   score IS NOT NULL AS pr_responded FROM h LEFT JOIN s ON oshpd_id = id""",
 )
 def readiness_survey(spark, d):
-    links = (
-        table(spark, d, "supplier")
-        .filter("s_suppkey % 4 > 0")
-        .selectExpr("s_suppkey + 1000 AS portalID", "'106' || lpad(CAST(s_suppkey AS STRING), 6, '0') AS oshpd_id", "s_suppkey AS ResponseID")
+    links = table(spark, d, "supplier").selectExpr(
+        "s_suppkey + 1000 AS portalID",
+        "CASE WHEN s_suppkey % 4 > 0 THEN '106' || lpad(CAST(s_suppkey AS STRING), 6, '0') END AS oshpd_id",
+        "s_suppkey AS ResponseID",
     )
     answers = hospital.readiness_survey(survey(spark, d), links).filter(F.col("oshpd_id").isNotNull())
     base = hospital.hospital_factors(utilisation(spark, d)).select("oshpd_id")

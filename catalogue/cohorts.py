@@ -130,12 +130,12 @@ def null_safe_join(spark, d):
 
 @query(
     "full_join",
-    """SELECT coalesce(s_suppkey, c_custkey) AS id, s_acctbal, c_acctbal FROM (SELECT * FROM supplier WHERE s_suppkey % 2 = 0)
-FULL JOIN (SELECT * FROM customer WHERE c_custkey % 3 = 0) ON s_suppkey = c_custkey""",
+    """SELECT coalesce(s_suppkey, c_custkey + 50) AS id, s_acctbal, c_acctbal FROM supplier
+FULL JOIN customer ON s_suppkey = c_custkey + 50""",
 )
 def full_join(spark, d):
-    s = table(spark, d, "supplier").filter("s_suppkey % 2 = 0").selectExpr("s_suppkey AS id", "s_acctbal")
-    c = table(spark, d, "customer").filter("c_custkey % 3 = 0").selectExpr("c_custkey AS id", "c_acctbal")
+    s = table(spark, d, "supplier").selectExpr("s_suppkey AS id", "s_acctbal")
+    c = table(spark, d, "customer").selectExpr("c_custkey + 50 AS id", "c_acctbal")
     return joins.full_join(s, c, "id")
 
 
@@ -153,16 +153,16 @@ def union_all_query(spark, d):
 @query(
     "split_by_date_union",
     """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderdate < DATE '1998-10-01' THEN 'icd9_dx' ELSE 'icd10_dx' END AS code_system,
-  o_custkey % 2000 AS code FROM orders),
-l AS (SELECT 'icd9_dx' AS code_system, p_partkey AS code, p_type AS label FROM part WHERE p_partkey < 2000
-  UNION ALL SELECT 'icd10_dx', p_partkey, p_brand FROM part WHERE p_partkey < 2000)
+  o_custkey % 2300 AS code FROM orders),
+l AS (SELECT 'icd9_dx' AS code_system, p_partkey AS code, p_type AS label FROM part
+  UNION ALL SELECT 'icd10_dx', p_partkey, p_brand FROM part)
 SELECT o_orderkey, code_system, label FROM o LEFT JOIN l USING (code_system, code)""",
 )
 def split_by_date_union(spark, d):
     o = table(spark, d, "orders").select(
-        "o_orderkey", code_system("o_orderdate", "1998-10-01").alias("code_system"), (F.col("o_custkey") % 2000).alias("code")
+        "o_orderkey", code_system("o_orderdate", "1998-10-01").alias("code_system"), (F.col("o_custkey") % 2300).alias("code")
     )
-    part = table(spark, d, "part").filter("p_partkey < 2000")
+    part = table(spark, d, "part")
     both = union_all(
         [
             part.selectExpr("'icd9_dx' AS code_system", "p_partkey AS code", "p_type AS label"),

@@ -227,7 +227,7 @@ def mixed_logit_query(spark, d):
 
 @query("icc")
 def icc_query(spark, d):
-    cells = [Cell("small rural", F.col("small_rural")), Cell("other", ~F.col("small_rural"))]
+    cells = [Cell("small rural", (F.col("small_rural"),)), Cell("other", (~F.col("small_rural"),))]
     return rounded(icc(frame(spark, d).filter(contrast("all")), F.col("transferred"), "oshpd_id", cells), 4)
 
 

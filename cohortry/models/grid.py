@@ -28,12 +28,11 @@ def cross(
     outcome: str = "outcome",
 ) -> list[Cell]:
     """All combinations of stratum, sub-cohort, contrast and model, named ``stratum|cohort|contrast|model``."""
-    cells = []
-    for s, in_stratum in strata.items():
-        for c, in_cohort in cohorts.items():
-            for k in contrasts:
-                where = in_stratum & contrast(k, outcome)
-                where = where if in_cohort is None else where & in_cohort
-                for m, terms in (models or {"adjusted": None}).items():
-                    cells.append(Cell(f"{s}|{c}|{k}|{m}", where, terms))
-    return cells
+    in_contrast = {k: contrast(k, outcome) for k in contrasts}
+    return [
+        Cell(f"{s}|{c}|{k}|{m}", (in_stratum, in_contrast[k], *([] if in_cohort is None else [in_cohort])), terms)
+        for s, in_stratum in strata.items()
+        for c, in_cohort in cohorts.items()
+        for k in contrasts
+        for m, terms in (models or {"adjusted": None}).items()
+    ]

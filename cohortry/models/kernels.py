@@ -16,6 +16,11 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def matrix(b: pd.DataFrame, p: int) -> np.ndarray:
+    """Design rows: the intercept and the columns ``_x0``, ``_x1``, …"""
+    return np.column_stack([np.ones(len(b)), *[b[f"_x{i}"].to_numpy() for i in range(p - 1)]])
+
+
 def pooled_sums(beta: np.ndarray):
     """Score and information of a plain logistic model per cell: [log-lik, score, information]."""
     p = beta.shape[1]
@@ -23,8 +28,10 @@ def pooled_sums(beta: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc: dict[int, np.ndarray] = {}
         for b in batches:
+            if not len(b):
+                continue
             cell = b["cell"].to_numpy()
-            x, n, y = np.vstack(b["x"].to_numpy()), b["n"].to_numpy(), b["y"].to_numpy()
+            x, n, y = matrix(b, p), b["n"].to_numpy(), b["y"].to_numpy()
             lin = np.einsum("ij,ij->i", x, beta[cell])
             prob = 1 / (1 + np.exp(-lin))
             for c in np.unique(cell):
@@ -40,7 +47,13 @@ def pooled_sums(beta: np.ndarray):
     return run
 
 
-def node_sums(beta: np.ndarray, nodes: np.ndarray):
+def centres(a: np.ndarray, w: np.ndarray, sigma: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centre and spread of each group effect: the quadratic data term (pull a, curvature w) times the prior."""
+    precision = w + 1 / sigma**2
+    return np.clip(a / precision, -6 * sigma, 6 * sigma), 1 / np.sqrt(precision)
+
+
+def node_sums(beta: np.ndarray, sigma: np.ndarray, nodes: np.ndarray):
     """Per (cell, group): log-likelihood and score at every quadrature node of the group, and the curvature at
     its centre; and per cell (group NULL) the fixed-effect information at the centres."""
     p, q = beta.shape[1], len(nodes)
@@ -49,11 +62,12 @@ def node_sums(beta: np.ndarray, nodes: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc: dict[int, np.ndarray] = {}
         for b in batches:
-            order = np.lexsort((b["grp"].to_numpy(dtype=str), b["cell"].to_numpy()))
-            b = b.iloc[order]
+            if not len(b):
+                continue
             cell, grp = b["cell"].to_numpy(), b["grp"].to_numpy()
-            mu, tau = b["mu"].to_numpy(), b["tau"].to_numpy()
-            x, n, y = np.vstack(b["x"].to_numpy()), b["n"].to_numpy(), b["y"].to_numpy()
+            a, w = b["a"].to_numpy(), b["w"].to_numpy()
+            x, n, y = matrix(b, p), b["n"].to_numpy(), b["y"].to_numpy()
+            mu, tau = centres(a, w, sigma[cell])
             lin = np.einsum("ij,ij->i", x, beta[cell])[:, None] + mu[:, None] + np.sqrt(2) * tau[:, None] * nodes
             prob = 1 / (1 + np.exp(-lin))
             ll = y[:, None] * lin - n[:, None] * np.logaddexp(0, lin)
@@ -61,41 +75,41 @@ def node_sums(beta: np.ndarray, nodes: np.ndarray):
             curve = n * prob[:, centre] * (1 - prob[:, centre])
             score = (resid[:, :, None] * x[:, None, :]).reshape(len(n), q * p)
             rows = np.hstack([ll, curve[:, None], score])
-            new = np.r_[True, (cell[1:] != cell[:-1]) | (grp[1:] != grp[:-1])]
-            start = np.flatnonzero(new)
+            # Rows come sorted by cell and group; a group met twice just gives two partial sums.
+            start = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (grp[1:] != grp[:-1])])
             sums = np.add.reduceat(rows, start, axis=0)
             for c in np.unique(cell):
                 m = cell == c
                 acc[int(c)] = acc.get(int(c), np.zeros((p, p))) + (x[m] * curve[m, None]).T @ x[m]
-            yield pd.DataFrame(
-                {"cell": cell[start], "grp": grp[start], "mu": mu[start], "tau": tau[start], "v": sums.tolist()}
-            )
+            yield pd.DataFrame({"cell": cell[start], "grp": grp[start], "a": a[start], "w": w[start], "v": sums.tolist()})
+        none = [None] * len(acc)
+        zero = [0.0] * len(acc)
         yield pd.DataFrame(
-            {
-                "cell": list(acc),
-                "grp": [None] * len(acc),
-                "mu": [0.0] * len(acc),
-                "tau": [0.0] * len(acc),
-                "v": [a.ravel().tolist() for a in acc.values()],
-            }
+            {"cell": list(acc), "grp": none, "a": zero, "w": zero, "v": [m.ravel().tolist() for m in acc.values()]}
         )
 
     return run
 
 
 def posterior(sigma: np.ndarray, p: int, nodes: np.ndarray, weights: np.ndarray):
-    """Per (cell, group) from its node sums: log-likelihood, node probabilities, next centre and spread, and the
-    vector [score of β, score of log σ, E of the log-σ curvature, covariance of the scores]."""
+    """Per (cell, group) from its node sums: log-likelihood, node probabilities, next pull and curvature, and the
+    vector [score of β, score of log σ, E of the log-σ curvature, covariance of the scores]. The information rows
+    (group NULL) pass through."""
     q = len(nodes)
     centre = int(np.argmin(np.abs(nodes)))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            whole = b["grp"].isna()
+            if whole.any():
+                info = b[whole]
+                yield info.assign(a_next=0.0, w_next=0.0, ll=0.0, post=[[]] * len(info), stats=info["v"]).drop(columns="v")
+            b = b[~whole]
             if not len(b):
                 continue
             v = np.vstack(b["v"].to_numpy())
             s = sigma[b["cell"].to_numpy()]
-            mu, tau = b["mu"].to_numpy(), b["tau"].to_numpy()
+            mu, tau = centres(b["a"].to_numpy(), b["w"].to_numpy(), s)
             u = mu[:, None] + np.sqrt(2) * tau[:, None] * nodes
             prior = -0.5 * (u / s[:, None]) ** 2 - np.log(s)[:, None] - 0.5 * np.log(2 * np.pi)
             log_a = np.log(weights) + nodes**2 + np.log(np.sqrt(2) * tau)[:, None] + v[:, :q] + prior
@@ -107,36 +121,30 @@ def posterior(sigma: np.ndarray, p: int, nodes: np.ndarray, weights: np.ndarray)
             scores = np.concatenate([score_b, (z2 - 1)[:, :, None]], axis=2)
             mean = np.einsum("gq,gqk->gk", post, scores)
             cov = np.einsum("gq,gqk,gql->gkl", post, scores, scores) - mean[:, :, None] * mean[:, None, :]
-            curve = v[:, q] + 1 / s**2
-            move = (score_b[:, centre, 0] - mu / s**2) / curve
             stats = np.hstack([mean, (-2 * (post * z2).sum(axis=1))[:, None], cov.reshape(len(b), -1)])
-            yield pd.DataFrame(
-                {
-                    "cell": b["cell"].to_numpy(),
-                    "grp": b["grp"].to_numpy(),
-                    "mu": mu,
-                    "tau": tau,
-                    "mu_next": mu + np.clip(move, -2 * s, 2 * s),
-                    "tau_next": 1 / np.sqrt(curve),
-                    "ll": ll,
-                    "post": post.tolist(),
-                    "stats": stats.tolist(),
-                }
+            yield b.drop(columns="v").assign(
+                a_next=v[:, q] * mu + score_b[:, centre, 0],
+                w_next=v[:, q],
+                ll=ll,
+                post=post.tolist(),
+                stats=stats.tolist(),
             )
 
     return run
 
 
-def weighted_information(beta: np.ndarray, nodes: np.ndarray):
+def weighted_information(beta: np.ndarray, sigma: np.ndarray, nodes: np.ndarray):
     """Per cell: fixed-effect information averaged over the node probabilities of each group."""
     p = beta.shape[1]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         acc: dict[int, np.ndarray] = {}
         for b in batches:
+            if not len(b):
+                continue
             cell = b["cell"].to_numpy()
-            x, n, post = np.vstack(b["x"].to_numpy()), b["n"].to_numpy(), np.vstack(b["post"].to_numpy())
-            mu, tau = b["mu"].to_numpy(), b["tau"].to_numpy()
+            x, n, post = matrix(b, p), b["n"].to_numpy(), np.vstack(b["post"].to_numpy())
+            mu, tau = centres(b["a"].to_numpy(), b["w"].to_numpy(), sigma[cell])
             lin = np.einsum("ij,ij->i", x, beta[cell])[:, None] + mu[:, None] + np.sqrt(2) * tau[:, None] * nodes
             prob = 1 / (1 + np.exp(-lin))
             w = n * (post * prob * (1 - prob)).sum(axis=1)

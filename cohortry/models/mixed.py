@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -20,20 +21,24 @@ from pyspark.sql import functions as F
 
 from cohortry.models import kernels
 from cohortry.models.design import Term, complete, design_columns
-from cohortry.models.logit import wald
+from cohortry.models.logit import Z95, wald
 from cohortry.session import BROADCAST_ROWS, broadcast_if_small, checkpointed
 
+# Patterns of one group that one task sums at a time.
+GROUP_CHUNK = 100_000
+
 INTERCEPT = "(intercept)"
 SD = "sd(intercept)"
-MIN_LOG_SIGMA = -7.0
+# Below this the group effect is reported as 0 (intraclass correlation under 2e-5).
+MIN_LOG_SIGMA = -5.0
 
 
 @dataclass(frozen=True)
 class Cell:
-    """One model of a grid: a name, the rows it uses (None = all) and its terms (None = all of the grid)."""
+    """One model of a grid: a name, the conditions its rows meet and its terms (None = all of the grid)."""
 
     name: str
-    where: Column | None = None
+    where: tuple[Column, ...] = ()
     terms: tuple[Term, ...] | None = None
 
 
@@ -46,33 +51,51 @@ class _Fit:
     ll: float = -math.inf
     best: tuple | None = None
     step: np.ndarray | None = None
+    scale: float = 1.0
     rows: float = 0.0
     cov: np.ndarray | None = field(default=None, repr=False)
 
 
-def _patterns(df: DataFrame, outcome: Column, group: str | None, terms: Sequence[Term], cells: Sequence[Cell]) -> DataFrame:
-    """(cell, grp, x, n, y). Counted before rows are copied into the cells they belong to."""
+def _patterns(
+    df: DataFrame, outcome: Column, group: str | None, terms: Sequence[Term], cells: Sequence[Cell]
+) -> DataFrame:
+    """(cell, grp, n, y, _x0, _x1, …), checkpointed. Counted before rows are copied into the cells they belong to.
+
+    A group's patterns lie together in one partition, in chunks of ``GROUP_CHUNK`` when it has more.
+    """
     names = [f"_x{i}" for i in range(len(design_columns(terms)))]
     x = [F.coalesce(c, F.lit(0.0)).alias(n) for n, (_, c) in zip(names, design_columns(terms))]
-    member = []
-    for i, cell in enumerate(cells):
-        where = complete(cell.terms if cell.terms is not None else terms)
-        if cell.where is not None:
-            where = where & cell.where
-        member.append(F.when(where, F.lit(i)))
+    # Every distinct condition is evaluated once per row; cells are combinations of these flags.
+    flags: dict[object, Column] = {}
+    needs = []
+    for cell in cells:
+        own = tuple(cell.terms if cell.terms is not None else terms)
+        flags.setdefault(own, complete(own))
+        for c in cell.where:
+            flags.setdefault(id(c), c)
+        needs.append([own, *map(id, cell.where)])
+    flag_name = {key: f"_f{i}" for i, key in enumerate(flags)}
     rows = df.select(
         (F.col(group).cast("string") if group else F.lit("")).alias("grp"),
-        F.array_compact(F.array(*member)).alias("_cells"),
         outcome.cast("int").alias("_y"),
         *x,
-    ).filter(F.col("grp").isNotNull() & F.col("_y").isNotNull() & (F.size("_cells") > 0))
-    counted = rows.groupBy("grp", "_cells", *names).agg(
-        F.count(F.lit(1)).cast("double").alias("n"), F.sum("_y").cast("double").alias("y")
-    )
-    out = counted.select(
-        F.explode("_cells").alias("cell"), "grp", F.array(F.lit(1.0), *names).alias("x"), "n", "y"
+        *[F.coalesce(c, F.lit(False)).alias(flag_name[key]) for key, c in flags.items()],
+    ).filter(F.col("grp").isNotNull() & F.col("_y").isNotNull())
+    counted = checkpointed(
+        rows.groupBy("grp", *names, *flag_name.values()).agg(
+            F.count(F.lit(1)).cast("double").alias("n"), F.sum("_y").cast("double").alias("y")
+        )
     )
-    return checkpointed(out)
+    member = [
+        F.when(reduce(lambda a, b: a & b, [F.col(flag_name[k]) for k in need]), F.lit(i)) for i, need in enumerate(needs)
+    ]
+    counted = counted.withColumn("_cells", F.array_compact(F.array(*member)))
+    long = counted.select(F.explode("_cells").alias("cell"), "grp", "n", "y", *names)
+    sizes = checkpointed(long.groupBy("cell", "grp").agg(F.count(F.lit(1)).alias("_size")))
+    chunk = F.pmod(F.hash("n", "y", *names), F.ceil(F.col("_size") / GROUP_CHUNK))
+    placed = long.join(broadcast_if_small(sizes), ["cell", "grp"]).withColumn("_chunk", chunk)
+    placed = placed.repartition("cell", "grp", "_chunk").sortWithinPartitions("cell", "grp")
+    return checkpointed(placed.select("cell", "grp", "n", "y", *names))
 
 
 def _sum_by(parts: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
@@ -146,35 +169,36 @@ def _node_pass(pat: DataFrame, state: DataFrame, fits: list[_Fit], nodes: np.nda
     p = len(fits[0].beta)
     beta = np.vstack([f.beta for f in fits])
     sigma = np.exp([f.log_sigma for f in fits])
-    joined = pat.join(state, ["cell", "grp"])
-    parts = joined.mapInPandas(
-        kernels.node_sums(beta, nodes), "cell int, grp string, mu double, tau double, v array<double>"
+    parts = pat.join(state, ["cell", "grp"]).mapInPandas(
+        kernels.node_sums(beta, sigma, nodes), "cell int, grp string, a double, w double, v array<double>"
     )
-    sums = checkpointed(_sum_by(parts, ["cell", "grp", "mu", "tau"], "v"))
     groups = checkpointed(
-        sums.filter(F.col("grp").isNotNull()).mapInPandas(
+        _sum_by(parts, ["cell", "grp", "a", "w"], "v").mapInPandas(
             kernels.posterior(sigma, p, nodes, weights),
-            "cell int, grp string, mu double, tau double, mu_next double, tau_next double, ll double, "
+            "cell int, grp string, a double, w double, a_next double, w_next double, ll double, "
             "post array<double>, stats array<double>",
         )
     )
-    totals = {
-        r["cell"]: (r["ll"], r["n"], np.array(r["stats"]))
-        for r in groups.groupBy("cell")
+    totals, info = {}, {}
+    for r in (
+        groups.groupBy("cell", F.col("grp").isNull().alias("whole"))
         .agg(
             F.sum("ll").alias("ll"),
             F.count(F.lit(1)).alias("n"),
             vector_to_array(Summarizer.sum(array_to_vector(F.col("stats")))).alias("stats"),
         )
         .collect()
-    }
-    info = {r["cell"]: np.array(r["v"]).reshape(p, p) for r in sums.filter(F.col("grp").isNull()).collect()}
-    return groups, totals, info
+    ):
+        if r["whole"]:
+            info[r["cell"]] = np.array(r["stats"]).reshape(p, p)
+        else:
+            totals[r["cell"]] = (r["ll"], r["n"], np.array(r["stats"]))
+    return groups.filter(F.col("grp").isNotNull()), totals, info
 
 
-def _next_state(groups: DataFrame, n_groups: int) -> DataFrame:
-    state = groups.select("cell", "grp", F.col("mu_next").alias("mu"), F.col("tau_next").alias("tau"))
-    return F.broadcast(state) if n_groups <= BROADCAST_ROWS else state
+def _small(groups: DataFrame, n_groups: int) -> DataFrame:
+    """The per-group frame for the join with the patterns: broadcast when its counted size allows."""
+    return F.broadcast(groups) if n_groups <= BROADCAST_ROWS else groups
 
 
 def _unpack(stats: np.ndarray, info: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
@@ -186,6 +210,29 @@ def _unpack(stats: np.ndarray, info: np.ndarray, p: int) -> tuple[np.ndarray, np
     return score, full
 
 
+def _newton_step(f: _Fit, ll: float, score: np.ndarray, full: np.ndarray, tol: float) -> None:
+    """Move one cell, or settle it. A step that lost likelihood is taken back: the old point is evaluated again,
+    with better placed nodes, and left by a shorter step."""
+    p = len(f.beta)
+    if f.best is not None and ll < f.ll - 1e-7 * (1 + abs(f.ll)) and f.scale > 1e-3:
+        (f.beta, f.log_sigma), f.best, f.scale = f.best, None, f.scale / 4
+        return
+    f.ll, f.best = ll, (f.beta.copy(), f.log_sigma)
+    a = np.r_[f.active, f.log_sigma > MIN_LOG_SIGMA]
+    try:
+        direction = _solve(full[np.ix_(a, a)], score[a])
+    except np.linalg.LinAlgError:
+        f.status = "not estimable"
+        return
+    if abs(score[a] @ direction) < tol:
+        f.status = "converged"
+        return
+    step = np.zeros(p + 1)
+    step[a] = np.clip(direction, -1.5, 1.5) * f.scale
+    step[p] = max(step[p], MIN_LOG_SIGMA - f.log_sigma)
+    f.beta, f.log_sigma, f.scale = f.beta + step[:p], f.log_sigma + step[p], min(1.0, f.scale * 2)
+
+
 def _fit_mixed(pat: DataFrame, fits: list[_Fit], q: int, max_iter: int, tol: float) -> dict[int, int]:
     p = len(fits[0].beta)
     nodes, weights = np.polynomial.hermite.hermgauss(q)
@@ -195,60 +242,41 @@ def _fit_mixed(pat: DataFrame, fits: list[_Fit], q: int, max_iter: int, tol: flo
     pat = pat.filter(F.col("cell").isin(live)) if len(live) < len(fits) else pat
     if not live:
         return {}
-    state = pat.select("cell", "grp").distinct().select("cell", "grp", F.lit(0.0).alias("mu"), F.lit(0.3).alias("tau"))
+    state = pat.select("cell", "grp").distinct().select("cell", "grp", F.lit(0.0).alias("a"), F.lit(0.0).alias("w"))
     state = broadcast_if_small(checkpointed(state))
     sizes: dict[int, int] = {}
-    groups = None
-    warm = 3
+    warm = 2
     for it in range(max_iter + warm):
         groups, totals, info = _node_pass(pat, state, fits, nodes, weights)
         sizes = {c: t[1] for c, t in totals.items()}
-        state = _next_state(groups, sum(sizes.values()))
+        state = _small(
+            groups.select("cell", "grp", F.col("a_next").alias("a"), F.col("w_next").alias("w")), sum(sizes.values())
+        )
         if it < warm:
             continue
-        moving = False
-        for i in live:
-            f = fits[i]
-            if f.status != "running":
-                continue
-            ll, _, stats = totals[i]
-            if f.best is not None and ll < f.ll - 1e-6 * (1 + abs(f.ll)):
-                f.step = f.step / 2
-                f.beta, f.log_sigma = f.best[0] + f.step[:p], f.best[1] + f.step[p]
-                moving = True
-                continue
-            f.ll, f.best = ll, (f.beta.copy(), f.log_sigma)
-            score, full = _unpack(stats, info[i], p)
-            a = np.r_[f.active, f.log_sigma > MIN_LOG_SIGMA]
-            try:
-                direction = _solve(full[np.ix_(a, a)], score[a])
-            except np.linalg.LinAlgError:
-                f.status = "not estimable"
-                continue
-            if abs(score[a] @ direction) < tol:
-                f.status = "converged"
-                continue
-            f.step = np.zeros(p + 1)
-            f.step[a] = np.clip(direction, -1.5, 1.5)
-            f.step[p] = max(f.step[p], MIN_LOG_SIGMA - f.log_sigma)
-            f.beta, f.log_sigma = f.beta + f.step[:p], f.log_sigma + f.step[p]
-            moving = True
-        if not moving:
+        running = [i for i in live if fits[i].status == "running"]
+        for i in running:
+            _newton_step(fits[i], totals[i][0], *_unpack(totals[i][2], info[i], p), tol)
+        if not any(fits[i].status == "running" for i in live):
             break
     for i in live:
-        if fits[i].status == "running":
-            fits[i].status = "iteration limit"
+        f = fits[i]
+        if f.status == "running":
+            f.status = "iteration limit"
+            if f.best is not None:
+                f.beta, f.log_sigma = f.best
 
     # Standard errors from the exact information of the quadrature sum at the estimates.
-    beta = np.vstack([f.beta for f in fits])
-    post = groups.select("cell", "grp", "mu", "tau", "post")
-    post = F.broadcast(post) if sum(sizes.values()) <= BROADCAST_ROWS else post
+    groups, totals, _ = _node_pass(pat, state, fits, nodes, weights)
+    beta, sigma = np.vstack([f.beta for f in fits]), np.exp([f.log_sigma for f in fits])
+    post = _small(groups.select("cell", "grp", "a", "w", "post"), sum(sizes.values()))
     parts = pat.join(post, ["cell", "grp"]).mapInPandas(
-        kernels.weighted_information(beta, nodes), "cell int, v array<double>"
+        kernels.weighted_information(beta, sigma, nodes), "cell int, v array<double>"
     )
     exact = {r["cell"]: np.array(r["v"]).reshape(p, p) for r in _sum_by(parts, ["cell"], "v").collect()}
     for i in live:
         f = fits[i]
+        f.ll = totals[i][0]
         _, full = _unpack(totals[i][2], exact[i], p)
         a = np.r_[f.active, f.log_sigma > MIN_LOG_SIGMA]
         try:
@@ -304,7 +332,18 @@ def fit_grid(
         "icc double, status string"
     )
     out = wald(df.sparkSession.createDataFrame(rows, schema))
-    return out.withColumn("odds_ratio", F.when(F.col("term") != SD, F.exp("estimate")))
+    fixed = F.col("term") != SD
+    # A standard deviation has no test against 0 here; its interval is symmetric on the log scale.
+    spread = F.exp(F.try_divide(F.lit(Z95) * F.col("std_error"), F.col("estimate")))
+    return out.withColumns(
+        {
+            "z": F.when(fixed, F.col("z")),
+            "p_value": F.when(fixed, F.col("p_value")),
+            "conf_low": F.when(fixed, F.col("conf_low")).otherwise(F.col("estimate") / spread),
+            "conf_high": F.when(fixed, F.col("conf_high")).otherwise(F.col("estimate") * spread),
+            "odds_ratio": F.when(fixed, F.exp("estimate")),
+        }
+    )
 
 
 def mixed_logit(df: DataFrame, outcome: Column, terms: Sequence[Term], group: str, **options) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions import tails
-from cohortry.operators.order_stats import RANGES, rank_sums
+from cohortry.operators.order_stats import rank_sums
 
 
 def _long_categories(df: DataFrame, group: str, variables: Sequence[str]) -> DataFrame:
@@ -108,7 +108,7 @@ def anova(df: DataFrame, group: str, variables: Sequence[str]) -> DataFrame:
     return out.withColumn("p_value", tails.p_value(tails.f_upper, "statistic", "df1", "df2"))
 
 
-def kruskal_wallis(df: DataFrame, group: str, variables: Sequence[str], ranges: int = RANGES) -> DataFrame:
+def kruskal_wallis(df: DataFrame, group: str, variables: Sequence[str], ranges: int | None = None) -> DataFrame:
     """Rank test with the tie correction."""
     sums = rank_sums(df, variables, group, ranges)
     n, r = F.col("n").cast("double"), F.col("rank_sum")

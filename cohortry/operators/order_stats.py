@@ -13,7 +13,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 64
+MIN_RANGES, MAX_RANGES = 64, 4096
+
+
+def range_count(df: DataFrame) -> int:
+    """As many ranges as the session has shuffle partitions, within bounds."""
+    return min(MAX_RANGES, max(MIN_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def _same(left: Sequence[str], prefix: str) -> Column:
@@ -23,9 +28,10 @@ def _same(left: Sequence[str], prefix: str) -> Column:
     return out
 
 
-def value_counts(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), ranges: int = RANGES) -> DataFrame:
+def value_counts(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
     """(by…, variable, range, value, n) of the numeric columns; NULL and NaN are left out."""
     numbers = df.select(*by, *[F.nullif(F.col(v).cast("double"), F.lit(float("nan"))).alias(v) for v in values])
+    ranges = ranges or range_count(df)
     probs = [i / ranges for i in range(1, ranges)]
     cuts = numbers.approxQuantile(list(values), probs, 1 / (4 * ranges))
     splits = [[-float("inf"), *sorted(set(c or [0.0])), float("inf")] for c in cuts]
@@ -80,13 +86,13 @@ def quantiles_from(counts: DataFrame, keys: Sequence[str], probs: dict[str, floa
 
 
 def exact_quantiles(
-    df: DataFrame, values: Sequence[str], probs: dict[str, float], by: Sequence[str] = (), ranges: int = RANGES
+    df: DataFrame, values: Sequence[str], probs: dict[str, float], by: Sequence[str] = (), ranges: int | None = None
 ) -> DataFrame:
     """(by…, variable, total, one column per probability)."""
     return quantiles_from(value_counts(df, values, by, ranges), [*by, "variable"], probs)
 
 
-def rank_sums(df: DataFrame, values: Sequence[str], by: str, ranges: int = RANGES) -> DataFrame:
+def rank_sums(df: DataFrame, values: Sequence[str], by: str, ranges: int | None = None) -> DataFrame:
     """Per variable and group: n, sum of average ranks; and the tie term Σ(t³−t) of the variable."""
     counts = value_counts(df.filter(F.col(by).isNotNull()), values, [by], ranges)
     per_value = counts.groupBy("variable", "range", "value").agg(F.sum("n").alias("n"))

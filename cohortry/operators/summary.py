@@ -10,7 +10,7 @@ from pyspark.sql.types import BooleanType, NumericType, StringType
 
 from cohortry.operators.comparisons import group_tests, normality
 from cohortry.operators.counts import with_share
-from cohortry.operators.order_stats import RANGES, exact_quantiles
+from cohortry.operators.order_stats import exact_quantiles
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -23,7 +23,7 @@ def missing_table(df: DataFrame, columns: Sequence[str], by: str | None = None)
     return long.withColumn("pct_missing", F.try_divide(F.col("n_missing").cast("double"), F.col("n")) * 100)
 
 
-def column_summary(df: DataFrame, ranges: int = RANGES) -> DataFrame:
+def column_summary(df: DataFrame, ranges: int | None = None) -> DataFrame:
     """Profile of every column by type: missing, mean, sd, quantiles; number of levels for text; share for booleans."""
     numeric = [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
     logical = [f.name for f in df.schema if isinstance(f.dataType, BooleanType)]
@@ -71,7 +71,7 @@ def category_block(
 
 
 def number_block(
-    df: DataFrame, group: str, variables: Sequence[str], show_all: bool = False, ranges: int = RANGES
+    df: DataFrame, group: str, variables: Sequence[str], show_all: bool = False, ranges: int | None = None
 ) -> DataFrame:
     """(variable, grp, n, mean, sd, q1, median, q3) of numeric variables."""
     wide = df.select(F.col(group).cast("string").alias("grp"), *[F.col(v).cast("double").alias(v) for v in variables])

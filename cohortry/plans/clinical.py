@@ -57,6 +57,9 @@ CODE_SYSTEMS = ["icd9_dx", "icd9_proc", "icd10_dx", "icd10_proc"]
 SEVERITY_LEVELS = ["1", "2", "3", "4", "5"]
 AIS_LABELS = {1: "Minor", 2: "Moderate", 3: "Serious", 4: "Severe", 5: "Critical", 6: "Unsurvivable", 9: "Unknown"}
 
+# The score is defined on six body regions; a lookup may split them a little finer.
+MAX_REGIONS = 12
+
 
 def slot_names(others: int) -> list[str]:
     return ["dx_prin", *[f"odx{i}" for i in range(1, others + 1)]]
@@ -157,36 +160,33 @@ def illness_severity(df: DataFrame, slots: Sequence[str], lookup: DataFrame, id_
     )
 
 
-def injury_score(severities: Sequence[Column], regions: Sequence[Column]) -> tuple[Column, Column]:
+def injury_score(severities: Sequence[Column], regions: Sequence[Column], names: Sequence[str]) -> tuple[Column, Column]:
     """(maximum severity, sum of the squares of the three worst body regions; 75 if any severity is 6).
 
     Unknown severities (9) do not enter the score; the maximum is 9 only when nothing else is known. Computed
-    inside the row, whatever the number of slots.
+    inside the row for the named regions.
     """
-    pairs = F.array(
-        *[
-            F.when(s.isNotNull() & (s > 0), F.struct(s.cast("int").alias("ais"), r.cast("string").alias("region")))
-            for s, r in zip(severities, regions)
-        ]
-    )
-    coded = F.array_compact(pairs)
-    known = F.filter(coded, lambda x: x["ais"] != 9)
-    worst = F.transform(
-        F.array_distinct(F.transform(known, lambda x: x["region"])),
-        lambda region: F.array_max(F.transform(F.filter(known, lambda x: x["region"].eqNullSafe(region)), lambda x: x["ais"])),
-    )
-    top = F.slice(F.sort_array(worst, asc=False), 1, 3)
-    squares = F.aggregate(top, F.lit(0), lambda acc, x: acc + x * x)
-    max_known = F.array_max(F.transform(known, lambda x: x["ais"]))
-    score = F.when(F.size(known) == 0, F.lit(None)).when(max_known == 6, F.lit(75)).otherwise(squares)
-    max_any = F.coalesce(max_known, F.when(F.size(coded) > 0, F.lit(9)))
-    return max_any, score
+    known = [F.when((s > 0) & (s != 9), s) for s in severities]
+    worst = [F.greatest(*[F.when(r == name, s) for s, r in zip(known, regions)], F.lit(0)) for name in names]
+    top = F.sort_array(F.array(*worst, F.lit(0), F.lit(0), F.lit(0)), asc=False)
+    squares = top[0] * top[0] + top[1] * top[1] + top[2] * top[2]
+    max_known = F.greatest(*known, F.lit(None).cast("int"))
+    score = F.when(max_known == 6, F.lit(75)).when(max_known.isNotNull(), squares)
+    any_unknown = F.when(row_any_of([s == 9 for s in severities]), F.lit(9))
+    return F.coalesce(max_known, any_unknown), score
+
+
+def row_any_of(tests: Sequence[Column]) -> Column:
+    return F.greatest(*[F.coalesce(t, F.lit(False)) for t in tests], F.lit(False))
 
 
 def injury_severity(df: DataFrame, slots: Sequence[str], lookup: DataFrame, id_col: str | None = None) -> DataFrame:
     """Max severity, score, principal-slot severity and their bands. ``lookup``: dx_code, ais (9 = unknown), region."""
+    names = [r[0] for r in lookup.select("region").distinct().limit(MAX_REGIONS + 1).collect() if r[0] is not None]
+    if len(names) > MAX_REGIONS:
+        raise ValueError(f"more than {MAX_REGIONS} body regions in the lookup")
     coded = lookup_slots(df, slots, lookup, "dx_code", ["ais", "region"], id_col)
-    max_ais, score = injury_score([F.col(f"ais_{s}") for s in slots], [F.col(f"region_{s}") for s in slots])
+    max_ais, score = injury_score([F.col(f"ais_{s}") for s in slots], [F.col(f"region_{s}") for s in slots], sorted(names))
     scored = coded.withColumns(
         {"max_injury_sev": max_ais, "injury_sev": score, "injury_sev_dx_prin": F.col(f"ais_{slots[0]}")}
     )

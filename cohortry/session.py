@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # The JVM never compiles methods above this size, so wide recodes run faster as split functions.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
 }
 
