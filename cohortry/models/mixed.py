@@ -150,12 +150,12 @@ def _fit_pooled(pat: DataFrame, fits: list[_Fit], max_iter: int, tol: float) ->
             except np.linalg.LinAlgError:
                 f.status = "not estimable"
                 continue
-            if abs(score[a] @ direction) < tol:
-                f.status = "converged"
-                continue
             f.step = np.zeros(p)
             f.step[a] = np.clip(direction, -3, 3)
             f.beta = f.beta + f.step
+            if abs(score[a] @ direction) < tol:
+                f.status = "converged"
+                continue
             moving = True
         if not moving:
             break
@@ -224,13 +224,12 @@ def _newton_step(f: _Fit, ll: float, score: np.ndarray, full: np.ndarray, tol: f
     except np.linalg.LinAlgError:
         f.status = "not estimable"
         return
-    if abs(score[a] @ direction) < tol:
-        f.status = "converged"
-        return
     step = np.zeros(p + 1)
     step[a] = np.clip(direction, -1.5, 1.5) * f.scale
     step[p] = max(step[p], MIN_LOG_SIGMA - f.log_sigma)
     f.beta, f.log_sigma, f.scale = f.beta + step[:p], f.log_sigma + step[p], min(1.0, f.scale * 2)
+    if abs(score[a] @ direction) < tol:
+        f.status = "converged"
 
 
 def _fit_mixed(pat: DataFrame, fits: list[_Fit], q: int, max_iter: int, tol: float) -> dict[int, int]:

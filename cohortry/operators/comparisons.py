@@ -13,8 +13,8 @@ from cohortry.operators.order_stats import rank_sums
 
 
 def _long_categories(df: DataFrame, group: str, variables: Sequence[str]) -> DataFrame:
-    text = df.select(F.col(group).cast("string").alias("grp"), *[F.col(v).cast("string").alias(v) for v in variables])
-    return text.unpivot("grp", list(variables), "variable", "level")
+    text = df.select(F.col(group).cast("string").alias("_grp"), *[F.col(v).cast("string").alias(v) for v in variables])
+    return text.unpivot("_grp", list(variables), "variable", "level").withColumnRenamed("_grp", "grp")
 
 
 def chi_square(df: DataFrame, group: str, variables: Sequence[str]) -> DataFrame:
@@ -71,9 +71,10 @@ def odds_ratio(table: DataFrame, z: float = 1.959963984540054) -> DataFrame:
 
 
 def _long_numbers(df: DataFrame, group: str | None, variables: Sequence[str]) -> DataFrame:
-    keep = [F.col(group).cast("string").alias("grp")] if group else []
+    keep = [F.col(group).cast("string").alias("_grp")] if group else []
     wide = df.select(*keep, *[F.nullif(F.col(v).cast("double"), F.lit(float("nan"))).alias(v) for v in variables])
-    return wide.unpivot(["grp"] if group else [], list(variables), "variable", "value")
+    long = wide.unpivot(["_grp"] if group else [], list(variables), "variable", "value")
+    return long.withColumnRenamed("_grp", "grp")
 
 
 def group_moments(df: DataFrame, group: str, variables: Sequence[str]) -> DataFrame:

@@ -17,9 +17,13 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 def missing_table(df: DataFrame, columns: Sequence[str], by: str | None = None) -> DataFrame:
     """Missing count and percentage per variable (and group): one wide aggregation, turned long afterwards."""
-    aggs = [F.count_if(F.col(c).isNull()).alias(c) for c in columns]
-    wide = (df.groupBy(by) if by else df.groupBy()).agg(F.count(F.lit(1)).alias("n"), *aggs)
-    long = wide.unpivot([by, "n"] if by else ["n"], list(columns), "variable", "n_missing")
+    aggs = [F.count_if(F.col(c).isNull()).alias(f"_m{i}") for i, c in enumerate(columns)]
+    wide = (df.groupBy(by) if by else df.groupBy()).agg(F.count(F.lit(1)).alias("_n"), *aggs)
+    lines = [
+        F.struct(F.lit(c).alias("variable"), F.col("_n").alias("n"), F.col(f"_m{i}").alias("n_missing"))
+        for i, c in enumerate(columns)
+    ]
+    long = wide.select(*([by] if by else []), F.inline(F.array(*lines)))
     return long.withColumn("pct_missing", F.try_divide(F.col("n_missing").cast("double"), F.col("n")) * 100)
 
 
@@ -58,8 +62,9 @@ def category_block(
     df: DataFrame, group: str, variables: Sequence[str], include_missing: bool = False, show_all: bool = False
 ) -> DataFrame:
     """(variable, level, grp, n, pct): counts and column percentages, all variables in one aggregation."""
-    text = df.select(F.col(group).cast("string").alias("grp"), *[F.col(v).cast("string").alias(v) for v in variables])
-    long = text.filter(F.col("grp").isNotNull()).unpivot("grp", list(variables), "variable", "level")
+    text = df.select(F.col(group).cast("string").alias("_grp"), *[F.col(v).cast("string").alias(v) for v in variables])
+    long = text.filter(F.col("_grp").isNotNull()).unpivot("_grp", list(variables), "variable", "level")
+    long = long.withColumnRenamed("_grp", "grp")
     if not include_missing:
         long = long.filter(F.col("level").isNotNull())
     counts = long.groupBy("variable", "level", "grp").agg(F.count(F.lit(1)).alias("n"))
@@ -74,17 +79,17 @@ def number_block(
     df: DataFrame, group: str, variables: Sequence[str], show_all: bool = False, ranges: int | None = None
 ) -> DataFrame:
     """(variable, grp, n, mean, sd, q1, median, q3) of numeric variables."""
-    wide = df.select(F.col(group).cast("string").alias("grp"), *[F.col(v).cast("double").alias(v) for v in variables])
-    wide = wide.filter(F.col("grp").isNotNull())
+    wide = df.select(F.col(group).cast("string").alias("_grp"), *[F.col(v).cast("double").alias(v) for v in variables])
+    wide = wide.filter(F.col("_grp").isNotNull())
     if show_all:
-        wide = wide.withColumn("grp", F.explode(F.array(F.col("grp"), F.lit("[ALL]"))))
+        wide = wide.withColumn("_grp", F.explode(F.array(F.col("_grp"), F.lit("[ALL]"))))
     moments = (
-        wide.unpivot(["grp"], list(variables), "variable", "value")
-        .groupBy("variable", "grp")
+        wide.unpivot(["_grp"], list(variables), "variable", "value")
+        .groupBy("variable", "_grp")
         .agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
     )
-    quarts = exact_quantiles(wide, variables, QUARTILES, ["grp"], ranges).drop("total")
-    return moments.join(quarts, ["variable", "grp"], "left")
+    quarts = exact_quantiles(wide, variables, QUARTILES, ["_grp"], ranges).drop("total")
+    return moments.join(quarts, ["variable", "_grp"], "left").withColumnRenamed("_grp", "grp")
 
 
 def bivariate_table(

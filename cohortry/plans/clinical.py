@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortry.functions.levels import factor
 from cohortry.functions.recode import band, case_when, in_set, recode_map, values_to_null
-from cohortry.functions.rowwise import row_count_true, row_max
+from cohortry.functions.rowwise import row_any, row_count_true, row_max
 from cohortry.functions.text import replace_text, safe_cast, strip_chars
 from cohortry.operators.joins import lookup_join
 from cohortry.operators.slots import classify, lookup_slots
@@ -160,24 +160,31 @@ def illness_severity(df: DataFrame, slots: Sequence[str], lookup: DataFrame, id_
     )
 
 
-def injury_score(severities: Sequence[Column], regions: Sequence[Column], names: Sequence[str]) -> tuple[Column, Column]:
-    """(maximum severity, sum of the squares of the three worst body regions; 75 if any severity is 6).
+def injury_score(df: DataFrame, slots: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``max_injury_sev`` and ``injury_sev``: the sum of the squares of the three worst body regions, 75 if any
+    severity is 6.
 
     Unknown severities (9) do not enter the score; the maximum is 9 only when nothing else is known. Computed
-    inside the row for the named regions.
+    inside the row for the named regions, from the ``ais_<slot>`` and ``region_<slot>`` columns.
     """
-    known = [F.when((s > 0) & (s != 9), s) for s in severities]
-    worst = [F.greatest(*[F.when(r == name, s) for s, r in zip(known, regions)], F.lit(0)) for name in names]
-    top = F.sort_array(F.array(*worst, F.lit(0), F.lit(0), F.lit(0)), asc=False)
+    known = {f"_k_{s}": F.when(F.col(f"ais_{s}").between(1, 8), F.col(f"ais_{s}")) for s in slots}
+    worst = [
+        F.greatest(*[F.when(F.col(f"region_{s}") == name, F.col(f"_k_{s}")) for s in slots], F.lit(0)) for name in names
+    ]
+    padded = F.array(*worst, *[F.lit(0)] * max(0, 3 - len(names)))
+    parts = df.withColumns(known).withColumns(
+        {"_top": F.sort_array(padded, asc=False), "_max": F.greatest(*known, F.lit(None).cast("int"))}
+    )
+    top, best = F.col("_top"), F.col("_max")
     squares = top[0] * top[0] + top[1] * top[1] + top[2] * top[2]
-    max_known = F.greatest(*known, F.lit(None).cast("int"))
-    score = F.when(max_known == 6, F.lit(75)).when(max_known.isNotNull(), squares)
-    any_unknown = F.when(row_any_of([s == 9 for s in severities]), F.lit(9))
-    return F.coalesce(max_known, any_unknown), score
-
-
-def row_any_of(tests: Sequence[Column]) -> Column:
-    return F.greatest(*[F.coalesce(t, F.lit(False)) for t in tests], F.lit(False))
+    unknown = F.when(row_any([f"ais_{s}" for s in slots], lambda c: c == 9), F.lit(9))
+    scored = parts.withColumns(
+        {
+            "max_injury_sev": F.coalesce(best, unknown),
+            "injury_sev": F.when(best == 6, F.lit(75)).when(best.isNotNull(), squares),
+        }
+    )
+    return scored.drop("_top", "_max", *known)
 
 
 def injury_severity(df: DataFrame, slots: Sequence[str], lookup: DataFrame, id_col: str | None = None) -> DataFrame:
@@ -186,10 +193,7 @@ def injury_severity(df: DataFrame, slots: Sequence[str], lookup: DataFrame, id_c
     if len(names) > MAX_REGIONS:
         raise ValueError(f"more than {MAX_REGIONS} body regions in the lookup")
     coded = lookup_slots(df, slots, lookup, "dx_code", ["ais", "region"], id_col)
-    max_ais, score = injury_score([F.col(f"ais_{s}") for s in slots], [F.col(f"region_{s}") for s in slots], sorted(names))
-    scored = coded.withColumns(
-        {"max_injury_sev": max_ais, "injury_sev": score, "injury_sev_dx_prin": F.col(f"ais_{slots[0]}")}
-    )
+    scored = injury_score(coded, slots, sorted(names)).withColumn("injury_sev_dx_prin", F.col(f"ais_{slots[0]}"))
 
     def printed(col: str) -> Column:
         return case_when(
