@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from catalogue import coding, cohorts, rates, scalars, storage, tables  # noqa: F401
+from catalogue import coding, cohorts, rates, scalars, storage, surface, tables  # noqa: F401

@@ -131,7 +131,15 @@ def odds_ratio_2x2(spark, d):
     return rounded(comparisons.odds_ratio(moved_by_rural(spark, d)))
 
 
-@query("fisher_exact_2x2")
+@query(
+    "fisher_exact_2x2",
+    f"""{CELLS}, m AS (SELECT *, a + b AS r, a + c AS k, a + b + c + d AS n FROM t),
+x AS (SELECT *, unnest(range(CAST(greatest(0, r + k - n) AS BIGINT), CAST(least(r, k) + 1 AS BIGINT))) AS i FROM m),
+p AS (SELECT a, b, c, d, i, lgamma(k + 1) - lgamma(i + 1) - lgamma(k - i + 1) + lgamma(n - k + 1) - lgamma(r - i + 1)
+  - lgamma(n - k - r + i + 1) - lgamma(n + 1) + lgamma(r + 1) + lgamma(n - r + 1) AS lp FROM x),
+o AS (SELECT lp AS seen FROM p WHERE i = a)
+SELECT a, b, c, d, round(sum(exp(lp)) FILTER (WHERE lp <= seen + 1e-7), 6) AS p_value FROM p, o GROUP BY a, b, c, d""",
+)
 def fisher_exact_2x2(spark, d):
     return rounded(comparisons.fisher_exact(moved_by_rural(spark, d)))
 

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Ship the functions of this module with the task, so that executors need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def normal_two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2.0))
@@ -79,18 +85,25 @@ def t_two_sided(t: float, df: float) -> float:
 
 
 def fisher_two_sided(a: int, b: int, c: int, d: int) -> float:
-    """Sum of the table probabilities not above the observed one, margins fixed."""
-    row, col, n = a + b, a + c, a + b + c + d
-
-    def log_choose(m: int, k: int) -> float:
-        return math.lgamma(m + 1) - math.lgamma(k + 1) - math.lgamma(m - k + 1)
+    """Sum of the table probabilities not above the observed one, margins fixed.
 
-    def log_p(k: int) -> float:
-        return log_choose(col, k) + log_choose(n - col, row - k) - log_choose(n, row)
-
-    seen = log_p(a)
+    Probabilities come from the ratios of neighbouring tables, outwards from the expected one, as far as they
+    differ from 0 in double precision: some standard deviations, not all tables.
+    """
+    row, col, n = a + b, a + c, a + b + c + d
+    if n < 2 or min(row, col, n - row, n - col) == 0:
+        return 1.0
     low, high = max(0, row + col - n), min(row, col)
-    return min(1.0, sum(math.exp(p) for p in map(log_p, range(low, high + 1)) if p <= seen + 1e-7))
+    mid = min(max(round(row * col / n), low), high)
+    reach = math.ceil(40 * math.sqrt(row * col / n * ((n - row) / n) * ((n - col) / (n - 1)))) + 40
+    if abs(a - mid) > reach:
+        return 0.0
+    k = np.arange(max(low, mid - reach), min(high, mid + reach) + 1, dtype="float64")
+    up = np.log((col - k[:-1]) * (row - k[:-1])) - np.log((k[:-1] + 1) * (n - col - row + k[:-1] + 1))
+    log_p = np.r_[0.0, np.cumsum(up)]
+    weight = np.exp(log_p - log_p.max())
+    seen = log_p[a - int(k[0])] + 1e-7
+    return float(min(1.0, weight[log_p <= seen].sum() / weight.sum()))
 
 
 def p_value(fn: Callable[..., float], *cols: Column | str) -> Column:

@@ -8,20 +8,31 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.session import broadcast_if_small
+from cohortry.session import BROADCAST_ROWS, broadcast_if_small
 from cohortry.sources.numbering import number_rows
 
 
+def count_keys(lookup: DataFrame, keys: Sequence[str]) -> int:
+    """Number of keys of a lookup; a repeated one is an error."""
+    per_key = lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    seen = per_key.agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("keys")).first()
+    if (seen["most"] or 0) > 1:
+        raise ValueError(f"lookup key {list(keys)} repeats, e.g. {per_key.filter('n > 1').first()}")
+    return seen["keys"]
+
+
+def first_per_key(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the smallest, so the choice does not depend on row order."""
+    rest = [c for c in lookup.columns if c not in keys]
+    one = lookup.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_v"))
+    return one.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in rest])
+
+
 def unique_key(lookup: DataFrame, keys: Sequence[str], on_duplicate: str = "error") -> DataFrame:
-    """Fail on a repeated key, or keep one row per key: the smallest, so the choice does not depend on row order."""
+    """A lookup with one row per key, hinted for broadcast when the key count allows it."""
     if on_duplicate == "first":
-        rest = [c for c in lookup.columns if c not in keys]
-        one = lookup.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_v"))
-        return one.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in rest])
-    repeated = lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(3).collect()
-    if repeated:
-        raise ValueError(f"lookup key {list(keys)} repeats, e.g. {repeated}")
-    return lookup
+        return broadcast_if_small(first_per_key(lookup, keys))
+    return F.broadcast(lookup) if count_keys(lookup, keys) <= BROADCAST_ROWS else lookup
 
 
 def lookup_join(
@@ -29,7 +40,7 @@ def lookup_join(
 ) -> DataFrame:
     """Left join on equal names. ``null_safe`` lets a NULL key find a NULL key."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    small = broadcast_if_small(unique_key(lookup, keys, on_duplicate))
+    small = unique_key(lookup, keys, on_duplicate)
     if not null_safe:
         return df.join(small, keys, "left")
     renamed = small.withColumnsRenamed({k: f"_k_{k}" for k in keys})

@@ -3,18 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.operators.joins import unique_key
+from cohortry.operators.joins import count_keys
 from cohortry.session import BROADCAST_ROWS, broadcast_if_small
 
-# Up to this many entries a lookup is cheaper as a literal CASE than as a join.
-LITERAL_ENTRIES = 12
-
-
 def wide_to_long(df: DataFrame, id_col: str, cols: Sequence[str], slot: str = "slot", code: str = "code") -> DataFrame:
     """One row per id and slot; empty slots stay as NULL codes."""
     return df.unpivot(id_col, list(cols), slot, code)
@@ -57,14 +52,15 @@ def lookup_slots(
     slots into rows, joins once and turns them back: for lookups too large to broadcast; needs a unique id.
     ``auto`` chooses by counting the lookup.
     """
-    lookup = unique_key(lookup.select(code, *values), [code])
+    lookup = lookup.select(code, *values)
+    small = count_keys(lookup, [code]) <= BROADCAST_ROWS
     if form == "auto":
-        form = "join" if lookup.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else "long"
+        form = "join" if small else "long"
     if form == "join":
-        small = broadcast_if_small(lookup)
+        side = F.broadcast(lookup) if small else lookup
         for s in slots:
             names = {code: f"_{s}", **{v: f"{v}_{s}" for v in values}}
-            df = df.join(small.withColumnsRenamed(names), F.col(s) == F.col(f"_{s}"), "left").drop(f"_{s}")
+            df = df.join(side.withColumnsRenamed(names), F.col(s) == F.col(f"_{s}"), "left").drop(f"_{s}")
         return df
     if id_col is None:
         raise ValueError("the long form needs id_col")
@@ -127,14 +123,3 @@ def expand_stems(df: DataFrame, slots: Sequence[str], codes: DataFrame, category
         .groupBy("code", category)
         .agg(F.min("priority").alias("priority"))
     )
-
-
-def slot_array(slots: Sequence[str], prefix: str) -> Column:
-    return F.array(*[F.col(f"{prefix}_{s}") for s in slots])
-
-
-def literal_lookup(pairs: Sequence[tuple[str, str]], col: Column) -> Column:
-    """A lookup of a few entries as one expression."""
-    if len(pairs) > LITERAL_ENTRIES:
-        raise ValueError("use lookup_slots for larger lookups")
-    return reduce(lambda acc, p: F.when(col == F.lit(p[0]), F.lit(p[1])).otherwise(acc), reversed(pairs), F.lit(None))
