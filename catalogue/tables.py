@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalogue.registry import ENC, encounters, query, rounded, table
 from cohortry.models.design import Factor, Number, sparse_levels
 from cohortry.models.grid import contrast, cross
-from cohortry.models.logit import logit, or_table
+from cohortry.models.logit import logit, or_table, ratio_table
 from cohortry.models.mixed import Cell, fit_grid, icc, mixed_logit
 from cohortry.operators import comparisons, order_stats, summary
 from cohortry.plans.encounter import outcome_classify
@@ -254,3 +254,42 @@ def sensitivity_grid(spark, d):
     cells = cross(strata, cohorts, models={"crude": (exposure,), "adjusted": None})
     df = frame(spark, d).withColumn("quantity_high", F.col("quantity") > 25)
     return rounded(fit_grid(df, F.col("transferred"), terms, cells, "oshpd_id"), 4)
+
+
+@query(
+    "ratio_table",
+    f"""WITH {ENC}, c AS (SELECT sex AS level, CAST(count(*) FILTER (WHERE outcome = 'transferred') AS DOUBLE) AS a,
+  CAST(count(*) FILTER (WHERE outcome <> 'transferred') AS DOUBLE) AS b FROM enc GROUP BY sex), m AS (SELECT a AS ma, b AS mb FROM c WHERE level = 'M'),
+e AS (SELECT level, CASE WHEN level = 'M' THEN 0.0 ELSE ln(a) - ln(b) - ln(ma) + ln(mb) END AS est,
+  CASE WHEN level <> 'M' THEN sqrt(1 / a + 1 / b + 1 / ma + 1 / mb) END AS se FROM c, m)
+SELECT 'sex' AS variable, level, round(est, 6) AS estimate, round(se, 6) AS std_error, round(exp(est), 6) AS odds_ratio,
+  round(est - 1.959963984540054 * se, 6) AS conf_low, round(est + 1.959963984540054 * se, 6) AS conf_high FROM e""",
+)
+def ratio_table_query(spark, d):
+    out = ratio_table(frame(spark, d), F.col("transferred"), [Factor("sex", ("M", "F", "U"))])
+    return rounded(out.drop("z", "p_value"))
+
+
+@query(
+    "bivariate_table_ungrouped",
+    f"""WITH {ENC}, c AS (SELECT variable, value AS level, count(*) AS n FROM ({long_sql(CATEGORIES, 'VARCHAR')}) WHERE value IS NOT NULL GROUP BY ALL),
+x AS (SELECT variable, count(value) AS n, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS sd, round(quantile_cont(value, 0.25), 4) AS q1,
+  round(quantile_cont(value, 0.5), 4) AS median, round(quantile_cont(value, 0.75), 4) AS q3 FROM ({long_sql(NUMBERS, 'DOUBLE')}) GROUP BY ALL)
+SELECT variable, level, '[ALL]' AS grp, n, round(100 * n / CAST(sum(n) OVER (PARTITION BY variable) AS DOUBLE), 4) AS pct,
+  CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS sd, CAST(NULL AS DOUBLE) AS q1, CAST(NULL AS DOUBLE) AS median, CAST(NULL AS DOUBLE) AS q3 FROM c
+UNION ALL SELECT variable, NULL, '[ALL]', n, NULL, mean, sd, q1, median, q3 FROM x""",
+)
+def bivariate_table_ungrouped(spark, d):
+    return rounded(summary.bivariate_table(frame(spark, d), None, CATEGORIES, NUMBERS), 4)
+
+
+@query(
+    "printed_table",
+    f"""WITH {ENC}, {CAT_BLOCK}, w AS (SELECT variable, level, grp,
+  format('{{}} ({{:.1f}}%)', n, 100 * n / CAST(sum(n) OVER (PARTITION BY variable, grp) AS DOUBLE)) AS cell FROM c)
+SELECT variable, level, max(cell) FILTER (WHERE grp = 'admitted') AS admitted, max(cell) FILTER (WHERE grp = 'transferred') AS transferred
+FROM w GROUP BY variable, level""",
+)
+def printed_table(spark, d):
+    out = summary.table_results(frame(spark, d), "outcome", CATEGORIES, missing=False)
+    return summary.printed_table(out["table"], out["tests"], ["admitted", "transferred"]).drop("test", "p_value")

@@ -20,13 +20,18 @@ class Factor:
     levels: tuple
     base: object = 1
 
-    def design(self) -> list[tuple[str, Column]]:
+    def reference(self) -> object:
+        """The base as one of the levels."""
         names = [str(v) for v in self.levels]
-        reference = relevel(names, self.base if isinstance(self.base, int) and not isinstance(self.base, bool) else str(self.base))[0]
+        position = isinstance(self.base, int) and not isinstance(self.base, bool)
+        return self.levels[names.index(relevel(names, self.base if position else str(self.base))[0])]
+
+    def design(self) -> list[tuple[str, Column]]:
+        base = self.reference()
         return [
-            (f"{self.column}={name}", (F.col(self.column) == F.lit(level)).cast("double"))
-            for name, level in zip(names, self.levels)
-            if name != reference
+            (f"{self.column}={level}", (F.col(self.column) == F.lit(level)).cast("double"))
+            for level in self.levels
+            if level != base
         ]
 
     def known(self) -> Column:

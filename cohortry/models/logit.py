@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
@@ -10,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions.numeric import interval_text, scientific
-from cohortry.models.design import Term, complete, design_columns
+from cohortry.functions.tails import normal_two_sided, p_value
+from cohortry.models.design import Factor, Number, Term, complete, design_columns
 
 Z95 = 1.959963984540054
 
@@ -49,10 +51,49 @@ def logit(df: DataFrame, outcome: Column, terms: Sequence[Term]) -> DataFrame:
     return wald(rows)
 
 
-def wald(rows: DataFrame) -> DataFrame:
-    """z, two-sided p and the 95 % interval of (term, estimate, std_error)."""
-    from cohortry.functions.tails import normal_two_sided, p_value
+def ratio_table(
+    df: DataFrame, outcome: Column, factors: Sequence[Factor], numbers: Sequence[Number] = ()
+) -> DataFrame:
+    """Crude odds ratio of every level against the reference, and per unit of every number: (variable, level, …).
+
+    All levels of all factors are counted in one aggregation; a number is a model of its own.
+    """
+    wide = df.agg(
+        *[
+            F.count_if((F.col(f.column) == F.lit(v)) & (outcome if side else ~outcome)).alias(f"{i}_{j}_{side}")
+            for i, f in enumerate(factors)
+            for j, v in enumerate(f.levels)
+            for side in (0, 1)
+        ]
+    ) if factors else None
+    parts = []
+    if wide is not None:
+        lines = []
+        for i, f in enumerate(factors):
+            base = f.levels.index(f.reference())
+            for j, v in enumerate(f.levels):
+                cells = [F.nullif(F.col(c).cast("double"), F.lit(0.0)) for c in (f"{i}_{j}_1", f"{i}_{j}_0", f"{i}_{base}_1", f"{i}_{base}_0")]
+                a, b, c, d = cells
+                log_or = F.when(F.lit(j == base), F.lit(0.0)).otherwise(F.ln(a) - F.ln(b) - F.ln(c) + F.ln(d))
+                se = F.when(F.lit(j != base), F.sqrt(1 / a + 1 / b + 1 / c + 1 / d))
+                lines.append(
+                    F.struct(
+                        F.lit(f.column).alias("variable"),
+                        F.lit(str(v)).alias("level"),
+                        log_or.alias("estimate"),
+                        se.alias("std_error"),
+                    )
+                )
+        parts.append(wald(wide.select(F.inline(F.array(*lines)))))
+    for number in numbers:
+        fitted = logit(df, outcome, [number]).filter(F.col("term") == number.column)
+        parts.append(fitted.withColumnRenamed("term", "variable").withColumn("level", F.lit(None).cast("string")))
+    out = reduce(lambda x, y: x.unionByName(y), parts)
+    return out.withColumn("odds_ratio", F.exp("estimate"))
 
+
+def wald(rows: DataFrame) -> DataFrame:
+    """z, two-sided p and the 95 % interval of estimate and std_error."""
     e, s = F.col("estimate"), F.col("std_error")
     out = rows.withColumns({"z": F.try_divide(e, s), "conf_low": e - Z95 * s, "conf_high": e + Z95 * s})
     return out.withColumn("p_value", p_value(normal_two_sided, "z"))

@@ -12,6 +12,7 @@ from cohortry.operators.comparisons import group_tests, normality
 from cohortry.operators.counts import with_share
 from cohortry.operators.order_stats import exact_quantiles
 
+ALL = "[ALL]"
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
@@ -70,7 +71,7 @@ def category_block(
     counts = long.groupBy("variable", "level", "grp").agg(F.count(F.lit(1)).alias("n"))
     if show_all:
         overall = counts.groupBy("variable", "level").agg(F.sum("n").alias("n"))
-        counts = counts.unionByName(overall.withColumn("grp", F.lit("[ALL]")).select(*counts.columns))
+        counts = counts.unionByName(overall.withColumn("grp", F.lit(ALL)).select(*counts.columns))
     out = with_share(counts, ["variable", "grp"], name="pct")
     return out.withColumn("pct", F.col("pct") * 100)
 
@@ -82,7 +83,7 @@ def number_block(
     wide = df.select(F.col(group).cast("string").alias("_grp"), *[F.col(v).cast("double").alias(v) for v in variables])
     wide = wide.filter(F.col("_grp").isNotNull())
     if show_all:
-        wide = wide.withColumn("_grp", F.explode(F.array(F.col("_grp"), F.lit("[ALL]"))))
+        wide = wide.withColumn("_grp", F.explode(F.array(F.col("_grp"), F.lit(ALL))))
     moments = (
         wide.unpivot(["_grp"], list(variables), "variable", "value")
         .groupBy("variable", "_grp")
@@ -94,13 +95,16 @@ def number_block(
 
 def bivariate_table(
     df: DataFrame,
-    group: str,
+    group: str | None,
     categorical: Sequence[str] = (),
     continuous: Sequence[str] = (),
     include_missing: bool = False,
     show_all: bool = False,
 ) -> DataFrame:
-    """All variables by the grouping factor, long: categories as n and column %, numbers as moments and quartiles."""
+    """All variables by the grouping factor, long: categories as n and column %, numbers as moments and quartiles.
+    Without a group every row is in ``[ALL]``."""
+    if group is None:
+        df, group, show_all = df.withColumn("_all", F.lit(ALL)), "_all", False
     parts = []
     if categorical:
         block = category_block(df, group, categorical, include_missing, show_all)
@@ -108,23 +112,31 @@ def bivariate_table(
         parts.append(block.select("variable", "level", "grp", "n", "pct", *nothing))
     if continuous:
         block = number_block(df, group, continuous, show_all)
-        parts.append(
-            block.select(
-                "variable",
-                F.lit(None).cast("string").alias("level"),
-                "grp",
-                "n",
-                F.lit(None).cast("double").alias("pct"),
-                "mean",
-                "sd",
-                "q1",
-                "median",
-                "q3",
-            )
-        )
+        level, pct = F.lit(None).cast("string").alias("level"), F.lit(None).cast("double").alias("pct")
+        parts.append(block.select("variable", level, "grp", "n", pct, "mean", "sd", "q1", "median", "q3"))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def printed_table(
+    table: DataFrame, tests: DataFrame, groups: Sequence[str], normal: Sequence[str] = (), hide: Sequence[str] = ()
+) -> DataFrame:
+    """One text column per group and the p-value: ``n (%)``, ``mean (sd)`` or ``median [q1;q3]``.
+
+    ``hide`` drops these levels (such as ``false``) of the variables that have exactly one other level.
+    """
+    percent = F.format_string("%d (%.1f%%)", "n", "pct")
+    moments = F.format_string("%.2f (%.2f)", "mean", "sd")
+    quarts = F.format_string("%.2f [%.2f;%.2f]", "median", "q1", "q3")
+    is_normal = F.col("variable").isin(*normal) if normal else F.lit(False)
+    cell = F.when(F.col("pct").isNotNull(), percent).when(is_normal, moments).otherwise(quarts)
+    wide = table.groupBy("variable", "level").agg(*[F.max(F.when(F.col("grp") == g, cell)).alias(g) for g in groups])
+    if hide:
+        per_variable = wide.groupBy("variable").agg(F.count("level").alias("_levels"))
+        dropped = (F.col("_levels") == 2) & F.coalesce(F.col("level").isin(*hide), F.lit(False))
+        wide = wide.join(per_variable, "variable").filter(~dropped).drop("_levels")
+    return wide.join(tests.select("variable", "test", "p_value"), "variable", "left").orderBy("variable", "level")
+
+
 def describe_by(df: DataFrame, group: str, variable: str, include_missing: bool = False) -> DataFrame:
     return category_block(df, group, [variable], include_missing)
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortry.models import mixed
 from cohortry.models.design import Factor, Number, design_matrix
 from cohortry.models.grid import contrast, cross
-from cohortry.models.logit import logit, or_table
+from cohortry.models.logit import logit, or_table, ratio_table
 from cohortry.models.mixed import SD, Cell, fit_grid, icc, mixed_logit
 from tests.conftest import rows
 
@@ -162,3 +162,12 @@ def test_contrasts_and_cross(spark):
     assert [df.filter(contrast(k)).count() for k in ("all", "admitted", "discharged")] == [3, 2, 2]
     cells = cross({"s": F.lit(True)}, {"all": None, "n": F.lit(False)})
     assert [c.name for c in cells][:2] == ["s|all|all|adjusted", "s|all|admitted|adjusted"] and len(cells) == 6
+
+
+def test_ratio_table(two_by_two):
+    got = {(r["variable"], r["level"]): r for r in ratio_table(two_by_two, F.col("y"), [Factor("x", (False, True))]).collect()}
+    assert got[("x", "True")]["odds_ratio"] == pytest.approx(6.0)
+    assert got[("x", "False")]["odds_ratio"] == 1.0 and got[("x", "False")]["std_error"] is None
+    number = two_by_two.withColumn("z", F.col("x").cast("double"))
+    fitted = ratio_table(number, F.col("y"), [], [Number("z")]).first()
+    assert fitted["variable"] == "z" and fitted["odds_ratio"] == pytest.approx(6.0, abs=1e-5)

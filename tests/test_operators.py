@@ -268,3 +268,19 @@ def test_column_summary_of_empty_and_text(spark):
     got = {r["variable"]: r for r in summary.column_summary(df).collect()}
     assert got["x"]["n_missing"] == 2 and got["x"]["p50"] is None
     assert got["t"]["n_levels"] == 2 and got["f"]["mean"] == 1.0
+
+
+def test_printed_table_formats_and_hides(spark):
+    data = [("a", "no", 1.0), ("a", "yes", 2.0), ("b", "yes", 4.0), ("b", "yes", 6.0), ("b", "no", 8.0)]
+    df = spark.createDataFrame(data, "g string, f string, x double")
+    out = summary.table_results(df, "g", ["f"], ["x"], missing=False, normal=["x"])
+    got = {(r["variable"], r["level"]): (r["a"], r["b"]) for r in summary.printed_table(out["table"], out["tests"], ["a", "b"], ["x"], hide=["no"]).collect()}
+    assert got == {("f", "yes"): ("1 (50.0%)", "2 (66.7%)"), ("x", None): ("1.50 (0.71)", "6.00 (2.00)")}
+    skewed = {r["variable"]: r["b"] for r in summary.printed_table(out["table"], out["tests"], ["a", "b"]).collect() if r["level"] is None}
+    assert skewed == {"x": "6.00 [5.00;7.00]"}
+
+
+def test_ungrouped_table(spark):
+    df = spark.createDataFrame([("u", 1.0), ("v", 3.0), (None, None)], "c string, x double")
+    got = {(r["variable"], r["level"]): (r["grp"], r["n"], r["pct"], r["mean"]) for r in summary.bivariate_table(df, None, ["c"], ["x"]).collect()}
+    assert got == {("c", "u"): ("[ALL]", 1, 50.0, None), ("c", "v"): ("[ALL]", 1, 50.0, None), ("x", None): ("[ALL]", 2, None, 2.0)}
