@@ -114,7 +114,7 @@ def kruskal_wallis(df: DataFrame, group: str, variables: Sequence[str], ranges:
     sums = rank_sums(df, variables, group, ranges)
     n, r = F.col("n").cast("double"), F.col("rank_sum")
     per_var = sums.groupBy("variable").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(r * r / n).alias("q"), F.max("ties").alias("ties")
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(r * r / n).alias("q"), F.sum("ties").alias("ties")
     )
     total = F.col("n").cast("double")
     h = 12 / (total * (total + 1)) * F.col("q") - 3 * (total + 1)

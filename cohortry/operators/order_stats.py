@@ -8,11 +8,14 @@ offset per range: no task ever holds a whole variable.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortry.session import broadcast_if_small, checkpointed
+
 MIN_RANGES, MAX_RANGES = 64, 4096
 
 
@@ -28,8 +31,8 @@ def _same(left: Sequence[str], prefix: str) -> Column:
     return out
 
 
-def value_counts(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
-    """(by…, variable, range, value, n) of the numeric columns; NULL and NaN are left out."""
+def placed_values(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """(by…, variable, range, value) of the numeric columns, one row per value; NULL and NaN are left out."""
     numbers = df.select(*by, *[F.nullif(F.col(v).cast("double"), F.lit(float("nan"))).alias(v) for v in values])
     ranges = ranges or range_count(df)
     probs = [i / ranges for i in range(1, ranges)]
@@ -38,73 +41,76 @@ def value_counts(df: DataFrame, values: Sequence[str], by: Sequence[str] = (), r
     placed = Bucketizer(
         splitsArray=splits, inputCols=list(values), outputCols=[f"_r_{v}" for v in values], handleInvalid="keep"
     ).transform(numbers)
-    long = placed.select(
-        *by,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(v).alias("variable"), F.col(f"_r_{v}").cast("int").alias("range"), F.col(v).alias("value"))
-                    for v in values
-                ]
-            )
-        ),
-    ).filter(F.col("value").isNotNull())
-    return long.groupBy(*by, "variable", "range", "value").agg(F.count(F.lit(1)).alias("n"))
-
-
-def with_running_count(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add ``before``: how many rows of the key have a smaller value."""
-    per_range = counts.groupBy(*keys, "range").agg(F.sum("n").alias("_in_range"))
-    up_to = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.withColumn("_offset", F.coalesce(F.sum("_in_range").over(up_to), F.lit(0)))
-    joint = [*keys, "range"]
-    offsets = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in joint], "_offset")
-    inside = Window.partitionBy(*joint).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    placed = counts.withColumn("_inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    joined = placed.join(offsets, _same(joint, "_o_"))
-    return joined.select(*counts.columns, (F.col("_offset") + F.col("_inside")).alias("before"))
+    lines = [
+        F.struct(F.lit(v).alias("variable"), F.col(f"_r_{v}").cast("int").alias("range"), F.col(v).alias("value"))
+        for v in values
+    ]
+    return placed.select(*by, F.inline(F.array(*lines))).filter(F.col("value").isNotNull())
 
 
-def quantiles_from(counts: DataFrame, keys: Sequence[str], probs: dict[str, float]) -> DataFrame:
-    """Quantiles with linear interpolation between order statistics (position (n−1)·p)."""
-    ranked = with_running_count(counts, keys)
-    totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
-    totals = totals.withColumnsRenamed({c: f"_t_{c}" for c in keys})
-    joined = ranked.join(totals, _same(keys, "_t_"))
+def exact_quantiles(
+    df: DataFrame, values: Sequence[str], probs: dict[str, float], by: Sequence[str] = (), ranges: int | None = None
+) -> DataFrame:
+    """(by…, variable, total, one column per probability), with linear interpolation between order statistics
+    (position (n−1)·p).
+
+    Counts per range tell which ranges hold the wanted positions; only their values are shuffled and ranked.
+    """
+    long = placed_values(df, values, by, ranges)
+    keys = [*by, "variable"]
+    joint = [*keys, "range"]
+    at = {name: (F.col("total") - 1) * F.lit(p) for name, p in probs.items()}
+    wanted = [index(position) for position in at.values() for index in (F.floor, F.ceil)]
+
+    whole = Window.partitionBy(*keys)
+    up_to = whole.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    per_range = long.groupBy(*joint).agg(F.count(F.lit(1)).alias("_n"))
+    located = per_range.withColumns(
+        {"before": F.coalesce(F.sum("_n").over(up_to), F.lit(0)), "total": F.sum("_n").over(whole)}
+    )
+    holds = reduce(
+        lambda a, b: a | b, [(F.col("before") <= i) & (i < F.col("before") + F.col("_n")) for i in wanted]
+    )
+    needed = located.filter(holds).select(*[F.col(c).alias(f"_k_{c}") for c in joint], "before", "total")
+    needed = broadcast_if_small(checkpointed(needed))
+
+    inside = Window.partitionBy(*joint).orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = (
+        long.join(needed, _same(joint, "_k_"))
+        .groupBy(*joint, "before", "total", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("before", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    )
 
     def value_at(index: Column) -> Column:
         here = (F.col("before") <= index) & (index < F.col("before") + F.col("n"))
         return F.max(F.when(here, F.col("value")))
 
     aggs, out = [], []
-    for name, p in probs.items():
-        at = (F.col("total") - 1) * F.lit(p)
-        aggs += [value_at(F.floor(at)).alias(f"_lo_{name}"), value_at(F.ceil(at)).alias(f"_hi_{name}")]
+    for name, position in at.items():
+        aggs += [value_at(F.floor(position)).alias(f"_lo_{name}"), value_at(F.ceil(position)).alias(f"_hi_{name}")]
         lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((lo + (at - F.floor(at)) * (hi - lo)).alias(name))
-    return joined.groupBy(*keys).agg(F.max("total").alias("total"), *aggs).select(*keys, "total", *out)
-
-
-def exact_quantiles(
-    df: DataFrame, values: Sequence[str], probs: dict[str, float], by: Sequence[str] = (), ranges: int | None = None
-) -> DataFrame:
-    """(by…, variable, total, one column per probability)."""
-    return quantiles_from(value_counts(df, values, by, ranges), [*by, "variable"], probs)
+        out.append((lo + (position - F.floor(position)) * (hi - lo)).alias(name))
+    return ranked.groupBy(*keys).agg(F.max("total").alias("total"), *aggs).select(*keys, "total", *out)
 
 
 def rank_sums(df: DataFrame, values: Sequence[str], by: str, ranges: int | None = None) -> DataFrame:
-    """Per variable and group: n, sum of average ranks; and the tie term Σ(t³−t) of the variable."""
-    counts = value_counts(df.filter(F.col(by).isNotNull()), values, [by], ranges)
-    per_value = counts.groupBy("variable", "range", "value").agg(F.sum("n").alias("n"))
-    ranked = with_running_count(per_value, ["variable"])
-    ranks = ranked.select(
-        "variable", "range", "value", (F.col("before") + (F.col("n") + 1) / 2).alias("rank"), F.col("n").alias("t")
-    )
-    t = F.col("t").cast("double")
-    ties = ranks.groupBy("variable").agg(F.sum(t * t * t - t).alias("ties"))
-    sums = (
-        counts.join(ranks.drop("t"), ["variable", "range", "value"])
-        .groupBy("variable", by)
-        .agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("rank")).alias("rank_sum"))
+    """Per variable and group: n, sum of average ranks, and the group's part of the tie term Σ(t³−t)."""
+    long = placed_values(df.filter(F.col(by).isNotNull()), values, [by], ranges)
+    counts = long.groupBy(by, "variable", "range", "value").agg(F.count(F.lit(1)).alias("n"))
+    per_range = long.groupBy("variable", "range").agg(F.count(F.lit(1)).alias("_n"))
+    up_to = Window.partitionBy("variable").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.select("variable", "range", F.coalesce(F.sum("_n").over(up_to), F.lit(0)).alias("_before"))
+    # Equal values of all groups are peers of the range frame, so one sort gives the rank and the tie size.
+    inside = Window.partitionBy("variable", "range").orderBy("value")
+    ranked = counts.withColumns(
+        {
+            "_upto": F.sum("n").over(inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)),
+            "_t": F.sum("n").over(inside.rangeBetween(Window.currentRow, Window.currentRow)).cast("double"),
+        }
+    ).join(broadcast_if_small(checkpointed(offsets)), ["variable", "range"])
+    n, t = F.col("n"), F.col("_t")
+    rank = F.col("_before") + F.col("_upto") - t + (t + 1) / 2
+    return ranked.groupBy("variable", by).agg(
+        F.sum("n").alias("n"), F.sum(n * rank).alias("rank_sum"), F.sum(n * (t * t - 1)).alias("ties")
     )
-    return sums.join(ties, "variable")
