@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortry.plans.clinical import CCC_GROUPS
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -103,20 +105,7 @@ CODES = {
 }
 
 # Code → condition-group rows: a code can be in up to three groups of one code system.
-CONDITION_GROUPS = {
-    1: "Neurologic and Neuromuscular",
-    2: "Cardiovascular",
-    3: "Respiratory",
-    4: "Renal and urologic",
-    5: "Gastrointestinal",
-    6: "Hematologic or immunologic",
-    7: "Metabolic",
-    8: "Other congenital or Genetic defect",
-    9: "Malignancy",
-    10: "Premature and neonatal",
-    11: "Technology dependence",
-    12: "Transplantation",
-}
+CONDITION_GROUPS = dict(enumerate(CCC_GROUPS, start=1))
 
 
 def select_sql(source: str, exprs: dict[str, str]) -> str:

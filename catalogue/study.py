@@ -10,6 +10,7 @@ from catalogue.registry import ENC, ENCOUNTER, OUTCOME, encounters, query, round
 from cohortry.plans import area, clinical, study
 from cohortry.plans.analysis import analysis_cohort
 from cohortry.plans.encounter import encounter_recode
+from cohortry.plans.hospital import hospital_recode
 
 DX = {
     "sql_id": "l_orderkey",
@@ -130,6 +131,29 @@ def hospital_table(spark, d):
     return rounded(out)
 
 
+@query(
+    "hospital_recode",
+    f"""WITH {ENC}, a AS (SELECT oshpd_id AS id, count(*) AS n FROM enc GROUP BY oshpd_id),
+h AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 6, '0') AS oshpd_id, n, s_suppkey, s_nationkey,
+  CASE WHEN s_suppkey % 4 > 0 THEN CAST(floor(abs(s_acctbal)) AS INT) % 101 END AS score FROM supplier
+  LEFT JOIN a ON id = lpad(CAST(s_suppkey AS VARCHAR), 6, '0') WHERE s_suppkey <> 5)
+SELECT oshpd_id, round((n - avg(n) OVER ()) / stddev_samp(n) OVER (), 6) AS hf_ALL_total_norm, score > 70 AS pr_score_cut_70,
+  CASE WHEN score < 59.4 THEN 'q1' WHEN score < 74.9 THEN 'q2' WHEN score < 88.2 THEN 'q3' WHEN score >= 88.2 THEN 'q4' END AS pr_ames_quartiles,
+  CASE WHEN score < 57.66 THEN 'q1' WHEN score < 69.66 THEN 'q2' WHEN score < 86.02 THEN 'q3' WHEN score >= 86.02 THEN 'q4' END AS pr_score_quartiles,
+  CASE s_nationkey % 3 WHEN 0 THEN 'Non-profit' WHEN 1 THEN 'Investor' END AS hf_type_cntrl2,
+  CASE s_suppkey % 3 WHEN 0 THEN 'None' WHEN 1 THEN 'Level I & II' ELSE 'Level III & IV' END AS hf_emsa_trauma_lvl3,
+  CASE WHEN s_suppkey % 5 = 0 THEN 'TRUE' ELSE 'FALSE' END AS hf_emsa_peds_lvl3,
+  CASE WHEN s_suppkey % 4 > 0 AND s_nationkey % 3 = 1 THEN 'FALSE' WHEN s_suppkey % 4 > 0 AND s_suppkey % 3 = 0 THEN 'TRUE'
+    WHEN s_suppkey % 4 > 0 AND s_suppkey % 3 = 1 THEN 'FALSE' END AS pr_guidelines_agreements2 FROM h""",
+)
+def hospital_recode_query(spark, d):
+    out = hospital_recode(hospitals(spark, d)).select(
+        "oshpd_id", "hf_ALL_total_norm", "pr_score_cut_70", "pr_ames_quartiles", "pr_score_quartiles", "hf_type_cntrl2",
+        "hf_emsa_trauma_lvl3", "hf_emsa_peds_lvl3", "pr_guidelines_agreements2",
+    )
+    return rounded(out)
+
+
 @query(
     "analysis_cohort",
     f"""WITH {ENC}, {RATED}, p AS (SELECT oshpd_id AS id, count(*) FILTER (WHERE outcome = 'admitted') AS a,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,11 +21,15 @@ def percent(part: Column | str, total: Column | str) -> Column:
     return ratio(part, total) * 100
 
 
+def zscores(df: DataFrame, names: Sequence[str]) -> dict[str, Column]:
+    """(x − mean) / sample sd over the whole frame, for several columns from one scalar subquery."""
+    parts = [p for n in names for p in (F.avg(n).alias(f"mean_{n}"), F.stddev_samp(n).alias(f"sd_{n}"))]
+    stats = df.agg(F.struct(*parts)).scalar()
+    return {n: F.try_divide(F.col(n) - stats[f"mean_{n}"], stats[f"sd_{n}"]) for n in names}
+
+
 def zscore(df: DataFrame, name: str) -> Column:
-    """(x − mean) / sample sd over the whole frame, as scalar subqueries in one plan."""
-    mean = df.agg(F.avg(name)).scalar()
-    sd = df.agg(F.stddev_samp(name)).scalar()
-    return F.try_divide(F.col(name) - mean, sd)
+    return zscores(df, [name])[name]
 
 
 def scientific(col: Column | str, digits: int = 2) -> Column:

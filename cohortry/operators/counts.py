@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions.numeric import ratio
-from cohortry.session import broadcast_if_small
+from cohortry.session import broadcast_if_small, checkpointed
 
 
 def group_count(df: DataFrame, *by: str, name: str = "n") -> DataFrame:
@@ -90,7 +90,7 @@ def rare_category_flag(df: DataFrame, col: str, cut: float, name: str = "rare",
     table = univar_table(df, col)
     hit = table.filter(F.col("rel_freq") > cut if common else F.col("rel_freq") < cut)
     flagged = hit.select(F.col(col).alias("_cat"), F.lit(True).alias("_hit"))
-    joined = df.join(broadcast_if_small(flagged), F.col(col).eqNullSafe(F.col("_cat")), "left")
+    joined = df.join(broadcast_if_small(checkpointed(flagged)), F.col(col).eqNullSafe(F.col("_cat")), "left")
     return joined.withColumn(name, F.coalesce("_hit", F.lit(False))).drop("_cat", "_hit")
 
 

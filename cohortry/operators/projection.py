@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType
+from pyspark.sql.types import DataType
 
 
 def select_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -88,6 +88,3 @@ def dims(df: DataFrame) -> DataFrame:
     """One row: rows and columns."""
     return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
 
-
-def is_numeric(kind: DataType) -> bool:
-    return isinstance(kind, NumericType)

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions.levels import level_code, levels_of
-from cohortry.operators.cohort import apply_steps, attrition, semi_join_filter
+from cohortry.operators.cohort import apply_steps, attrition
 from cohortry.operators.counts import outcome_pivot
 from cohortry.operators.joins import lookup_join
 from cohortry.operators.projection import require_columns
+from cohortry.session import checkpointed
 
 
 def study_steps() -> list[tuple[str, Column]]:
@@ -26,9 +27,12 @@ def study_steps() -> list[tuple[str, Column]]:
 
 
 def analysis_cohort(encounters: DataFrame, hospitals: DataFrame, key: str = "oshpd_id") -> tuple[DataFrame, DataFrame]:
-    """(cohort, attrition): hospitals seen in the encounters, all-or-none flag, join, exclusions."""
+    """(cohort, attrition): hospitals seen in the encounters, all-or-none flag, join, exclusions.
+
+    The hospital side is small but derived from the encounters, so it is checkpointed once before the join.
+    """
     flags = outcome_pivot(encounters, key).select(key, F.col("all_none").alias("hf_all_none"))
-    present = lookup_join(semi_join_filter(hospitals, encounters, key), flags, key)
+    present = checkpointed(hospitals.join(flags, key))
     joined = lookup_join(encounters, present, key)
     return apply_steps(joined, study_steps()), attrition(joined, study_steps())
 

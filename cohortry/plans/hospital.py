@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions.levels import factor
-from cohortry.functions.numeric import zscore
+from cohortry.functions.numeric import zscores
 from cohortry.functions.recode import band, case_when, flag_product, in_set, recode_map, true_count, values_to_null
 from cohortry.functions.text import hospital_key, safe_cast
 from cohortry.operators.cohort import membership_flag
 from cohortry.operators.joins import lookup_join
 from cohortry.operators.projection import prefix_lower_names, reorder_columns
 from cohortry.operators.rates import hospital_profile
+from cohortry.session import checkpointed
 from cohortry.sources.files import drop_leading_rows
 
 # Columns taken from the utilisation file, and its codes.
@@ -244,8 +245,13 @@ def encounter_profile(encounters: DataFrame, hospital: str = "oshpd_id") -> Data
 
 
 def hospital_recode(hospitals: DataFrame) -> DataFrame:
-    """Analysis forms of the hospital table: percentages, standardised rates, score cuts, collapsed categories."""
+    """Analysis forms of the hospital table: percentages, standardised rates, score cuts, collapsed categories.
+
+    The table is checkpointed first: it is small, and the standardisation reads it a second time.
+    """
+    hospitals = checkpointed(hospitals)
     rates = ["medicaid", "medicaid_or_uninsured", "nonwhite"]
+    z = zscores(hospitals, ["hf_ALL_total", "hf_medicaid_rf", "hf_nonwhite_rf", "hf_sev4or5"])
     renamed = hospitals.withColumnsRenamed(
         {
             "hf_emsa_trauma_ctr_desig": "hf_emsa_trauma_lvl",
@@ -258,10 +264,10 @@ def hospital_recode(hospitals: DataFrame) -> DataFrame:
         {
             **{f"hf_{r}_pct": F.col(f"hf_{r}_rf") * 100 for r in rates},
             "hf_sev4or5_pct": F.col("hf_sev4or5") * 100,
-            "hf_ALL_total_norm": zscore(hospitals, "hf_ALL_total"),
-            "hf_medicaid_norm": zscore(hospitals, "hf_medicaid_rf"),
-            "hf_nonwhite_norm": zscore(hospitals, "hf_nonwhite_rf"),
-            "hf_sev4or5_norm": zscore(hospitals, "hf_sev4or5"),
+            "hf_ALL_total_norm": z["hf_ALL_total"],
+            "hf_medicaid_norm": z["hf_medicaid_rf"],
+            "hf_nonwhite_norm": z["hf_nonwhite_rf"],
+            "hf_sev4or5_norm": z["hf_sev4or5"],
             "pr_score_cut_70": F.col("pr_Score") > 70,
             "pr_ames_quartiles": band("pr_Score", [59.4, 74.9, 88.2], ["q1", "q2", "q3", "q4"]),
             "pr_score_quartiles": band("pr_Score", [57.66, 69.66, 86.02], ["q1", "q2", "q3", "q4"]),

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.operators.cohort import ed_arrival_cohort
-from cohortry.operators.joins import lookup_join
 from cohortry.plans import area, clinical, hospital
 from cohortry.plans.encounter import encounter_recode
 from cohortry.sources.tables import table_scan
@@ -61,6 +60,7 @@ def hospital_table(
     base = hospital.financial_flags(hospital.hospital_factors(utilisation), finance)
     flagged = hospital.designation_flags(base, critical_access)
     placed = area.urban_rural_by_name(flagged, urban, "hf_county", "fac")
-    rated = lookup_join(placed, hospital.encounter_profile(encounters), "oshpd_id")
+    # One row per hospital by construction: no key check, which would scan the encounters once more.
+    rated = placed.join(hospital.encounter_profile(encounters), "oshpd_id", "left")
     answers = hospital.readiness_survey(survey, links).filter(F.col("oshpd_id").isNotNull())
     return hospital.link_survey(rated, answers)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortry.functions.levels import levels_of
-from cohortry.plans import analysis, area, clinical, encounter, hospital
+from cohortry.plans import analysis, area, clinical, encounter, hospital, study
 from tests.conftest import rows
 
 
@@ -202,3 +202,17 @@ def test_row_operators_take_a_stream(spark, tmp_path):
     done.processAllAvailable()
     done.stop()
     assert rows(spark.table("outcomes").select("outcome"), "outcome") == [("admitted",), ("dc home",), ("transferred",)]
+
+
+def test_study_year_prunes_and_renames(spark, tmp_path):
+    path = str(tmp_path / "combined")
+    data = [(1, 2011, 5, "a"), (2, 2011, 18, "b"), (3, 2012, 5, "c"), (4, 2011, None, "d")]
+    spark.createDataFrame(data, "id long, start_year int, age int, dx string").write.partitionBy("start_year").parquet(path)
+    out = study.study_year(spark.read.parquet(path), 2011, ["id", "age", "dx"])
+    assert rows(out) == [(1, 5, "a")] and out.columns == ["sql_id", "age", "dx"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(start_year" in plan and "LessThan(age,18)" in plan
+
+
+def test_slot_names():
+    assert clinical.slot_names(2) == ["dx_prin", "odx1", "odx2"]
