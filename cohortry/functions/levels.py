@@ -19,6 +19,12 @@ def factor(col: Column | str, name: str, levels: Sequence[Any], labels: Sequence
     return out.alias(name, metadata={"levels": list(dict.fromkeys(labels))})
 
 
+def flag_factor(flag: Column | str, name: str, true_first: bool = False) -> Column:
+    """A boolean as a category of the texts FALSE and TRUE."""
+    c = F.col(flag) if isinstance(flag, str) else flag
+    return factor(F.upper(c.cast("string")), name, ["TRUE", "FALSE"] if true_first else ["FALSE", "TRUE"])
+
+
 def levels_of(df: DataFrame, name: str) -> list[str]:
     levels = df.schema[name].metadata.get("levels")
     if levels is None:

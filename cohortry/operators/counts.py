@@ -22,8 +22,9 @@ def count_nonnull(df: DataFrame, col: str, *by: str, name: str = "n") -> DataFra
 
 def univar_table(df: DataFrame, *cols: str) -> DataFrame:
     """Frequency and share of each value (or combination), most frequent first."""
-    total = df.agg(F.count(F.lit(1))).scalar()
     counts = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("freq"))
+    # The total comes from the counted rows: same exchange, no second scan.
+    total = counts.agg(F.sum("freq")).scalar()
     return counts.withColumn("rel_freq", ratio("freq", total)).orderBy(F.desc("freq"), *cols)
 
 
@@ -115,8 +116,8 @@ def outcome_pivot(
         total = F.col("admitted") + F.col("dc_home") + F.col("transferred")
         adm_total = F.col("admitted") + F.col("transferred")
     else:
-        total = df.agg(F.count_if(o.isin("admitted", "dc home", "transferred"))).scalar()
-        adm_total = df.agg(F.count_if(o.isin("admitted", "transferred"))).scalar()
+        adm_total = wide.agg(F.sum(F.col("admitted") + F.col("transferred"))).scalar()
+        total = wide.agg(F.sum(F.col("admitted") + F.col("dc_home") + F.col("transferred"))).scalar()
     shares = wide.withColumns(
         {
             "total": total,

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from cohortry.functions.levels import level_code, levels_of
 from cohortry.operators.cohort import apply_steps, attrition
-from cohortry.operators.counts import outcome_pivot
 from cohortry.operators.joins import lookup_join
 from cohortry.operators.projection import require_columns
 from cohortry.session import checkpointed
@@ -26,13 +25,25 @@ def study_steps() -> list[tuple[str, Column]]:
     ]
 
 
+def all_none_flags(encounters: DataFrame, key: str = "oshpd_id") -> DataFrame:
+    """Hospitals that transfer all or none of their severe cases, over all rows and over the non-injured ones."""
+
+    def flag(rows: Column) -> Column:
+        admitted = F.count_if(rows & (F.col("outcome") == "admitted"))
+        transferred = F.count_if(rows & (F.col("outcome") == "transferred"))
+        return (admitted == 0) | (transferred == 0)
+
+    return encounters.groupBy(key).agg(
+        flag(F.lit(True)).alias("hf_all_none"), flag(~F.col("ccs_injury_any")).alias("hf_all_none_ei")
+    )
+
+
 def analysis_cohort(encounters: DataFrame, hospitals: DataFrame, key: str = "oshpd_id") -> tuple[DataFrame, DataFrame]:
     """(cohort, attrition): hospitals seen in the encounters, all-or-none flag, join, exclusions.
 
     The hospital side is small but derived from the encounters, so it is checkpointed once before the join.
     """
-    flags = outcome_pivot(encounters, key).select(key, F.col("all_none").alias("hf_all_none"))
-    present = checkpointed(hospitals.join(flags, key))
+    present = checkpointed(hospitals.join(all_none_flags(encounters, key), key))
     joined = lookup_join(encounters, present, key)
     return apply_steps(joined, study_steps()), attrition(joined, study_steps())
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.functions.levels import factor
+from cohortry.functions.levels import factor, flag_factor
 from cohortry.functions.recode import band, case_when, in_set, recode_map, values_to_null
 from cohortry.functions.rowwise import row_any, row_count_true, row_max
 from cohortry.functions.text import replace_text, safe_cast, strip_chars
@@ -134,7 +134,9 @@ def ccc_summary(df: DataFrame, slots: Sequence[str], codes: DataFrame, system: s
             "ccc_count": row_count_true(labels, lambda c: c.isNotNull()),
         }
     )
-    return counted.withColumn("has_ccc_any", F.col("ccc_count") >= 1)
+    return counted.withColumns(
+        {"has_ccc_any": F.col("ccc_count") >= 1, "has_ccc_any_factor": flag_factor(F.col("ccc_count") >= 1, "has_ccc_any_factor")}
+    )
 
 
 def severity_lookup(raw: DataFrame) -> DataFrame:

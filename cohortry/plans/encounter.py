@@ -156,6 +156,8 @@ def encounter_recode(df: DataFrame) -> DataFrame:
             ),
             "insurance3": recode_map("insurance2", {"Medicare": "Other", "Unknown": None}),
             "has_medicare": F.col("insurance2") == "Medicare",
+            "transferred_char": F.upper((F.col("outcome") == "transferred").cast("string")),
+            "start_month_factor": F.when(F.col("start_month").between(1, 12), F.col("start_month").cast("string")),
             **{scheme: age_bands(scheme) for scheme in AGE_LEVELS},
         }
     )
@@ -171,6 +173,9 @@ def with_levels(df: DataFrame) -> DataFrame:
         "race_group3": ["White", "Hispanic/Latino", "Black", "Other/Unknown"],
         "lang_spoken2": LANGUAGE_LEVELS,
         "lang_spoken3": ["English", "Spanish", "Other/Unknown"],
+        "outcome": ["dc home", "admitted", "transferred"],
+        "transferred_char": ["FALSE", "TRUE"],
+        "start_month_factor": [str(m) for m in range(1, 13)],
         "sex2": ["Male", "Female"],
         "enc_season": SEASONS,
         "insurance2": PAYER_LEVELS,

@@ -6,14 +6,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from cohortry.functions.levels import factor
+from cohortry.functions.levels import factor, flag_factor
 from cohortry.functions.numeric import zscores
 from cohortry.functions.recode import band, case_when, flag_product, in_set, recode_map, true_count, values_to_null
 from cohortry.functions.text import hospital_key, safe_cast
 from cohortry.operators.cohort import membership_flag
 from cohortry.operators.joins import lookup_join
-from cohortry.operators.projection import prefix_lower_names, reorder_columns
+from cohortry.operators.projection import map_columns, prefix_lower_names, reorder_columns, select_by_pattern
 from cohortry.operators.rates import hospital_profile
 from cohortry.session import checkpointed
 from cohortry.sources.files import drop_leading_rows
@@ -144,6 +145,16 @@ def nearest_resource(col: str, resourced: str, distance: str) -> dict[str, Colum
     }
 
 
+def link_nearest(hospitals: DataFrame, nearest: DataFrame, name: str, resourced: str, distance: str) -> DataFrame:
+    """Attach a nearest-resource file by hospital with its bands; its copies of hospital columns and its
+    coordinates are left out."""
+    banded = nearest.withColumn("oshpd_id", hospital_key("oshpd_id")).withColumns(
+        nearest_resource(name, resourced, distance)
+    )
+    keep = [c for c in banded.columns if not c.startswith("hf_") and not c.endswith(("latitude", "longitude"))]
+    return lookup_join(hospitals, banded.select(*keep), "oshpd_id")
+
+
 def readiness_survey(survey: DataFrame, links: DataFrame) -> DataFrame:
     """Survey answers per hospital: ids linked, yes/no recoded, the combination label, score bands, ``pr_`` names."""
     linked = lookup_join(survey, links.select("portalID", "oshpd_id"), "portalID")
@@ -232,6 +243,14 @@ def service_designation(survey: DataFrame) -> DataFrame:
     )
 
 
+def link_designations(hospitals: DataFrame, survey: DataFrame, links: DataFrame) -> DataFrame:
+    """Attach the service designations of the survey by hospital; blank answers count as missing."""
+    cleaned = map_columns(survey, lambda c: values_to_null(c, ""), StringType)
+    keys = links.select("portalID", hospital_key("oshpd_id", STATE_PREFIX).alias("oshpd_id"))
+    named = lookup_join(service_designation(cleaned), keys, "portalID").filter(F.col("oshpd_id").isNotNull())
+    return lookup_join(hospitals, select_by_pattern(named, ["oshpd_id"], starts="pr_"), "oshpd_id")
+
+
 def encounter_profile(encounters: DataFrame, hospital: str = "oshpd_id") -> DataFrame:
     """All encounter-derived hospital rates, for all rows and for the non-injured without Medicare."""
     rates = {
@@ -269,6 +288,8 @@ def hospital_recode(hospitals: DataFrame) -> DataFrame:
             "hf_nonwhite_norm": z["hf_nonwhite_rf"],
             "hf_sev4or5_norm": z["hf_sev4or5"],
             "pr_score_cut_70": F.col("pr_Score") > 70,
+            "pr_score_cut_70_factor": flag_factor(F.col("pr_Score") > 70, "pr_score_cut_70_factor"),
+            "fin_small_rural_factor": flag_factor("fin_small_rural", "fin_small_rural_factor", true_first=True),
             "pr_ames_quartiles": band("pr_Score", [59.4, 74.9, 88.2], ["q1", "q2", "q3", "q4"]),
             "pr_score_quartiles": band("pr_Score", [57.66, 69.66, 86.02], ["q1", "q2", "q3", "q4"]),
             "pr_guidelines_agreements2": recode_map(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,9 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = os.environ.get("COHORTRY_LOCAL_DIR") or tempfile.mkdtemp(prefix="cohortry-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="cohortry-")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -216,3 +216,42 @@ def test_study_year_prunes_and_renames(spark, tmp_path):
 
 def test_slot_names():
     assert clinical.slot_names(2) == ["dx_prin", "odx1", "odx2"]
+
+
+def test_all_none_flags_equal_the_pivot(spark):
+    from cohortry.operators.counts import outcome_pivot
+
+    data = [("a", "admitted", False), ("a", "transferred", True), ("b", "admitted", False), ("b", "transferred", False), ("c", "dc home", False), ("d", None, False)]
+    df = spark.createDataFrame(data, "oshpd_id string, outcome string, ccs_injury_any boolean")
+    got = rows(analysis.all_none_flags(df), "oshpd_id")
+    assert got == [("a", False, True), ("b", False, False), ("c", True, True), ("d", True, True)]
+    pivot = rows(outcome_pivot(df, "oshpd_id").select("oshpd_id", "all_none"), "oshpd_id")
+    assert [(h, f) for h, f, _ in got] == pivot
+
+
+def test_nearest_and_designation_links(spark):
+    base = spark.createDataFrame([("000001",), ("000002",), ("000003",)], "oshpd_id string")
+    nearest = spark.createDataFrame(
+        [(1, False, 49.9, 1.0, 2.0), (2, False, 50.0, 1.0, 2.0), (3, True, 10.0, 1.0, 2.0)],
+        "oshpd_id int, hf_has_ped_bed_lic boolean, near_ped_bed_dist_km double, latitude double, x_longitude double",
+    )
+    out = hospital.link_nearest(base, nearest, "near_ped", "hf_has_ped_bed_lic", "near_ped_bed_dist_km")
+    assert out.columns == ["oshpd_id", "near_ped_bed_dist_km", "near_ped_cats", "near_ped_incl_resourced"]
+    assert rows(out.select("near_ped_cats", "near_ped_incl_resourced"), "oshpd_id") == [("0-50km", "0-50km"), ("51km +", "51km +"), (None, "Resourced")]
+    survey = spark.createDataFrame(
+        [(10, "Y", "Y", "", "Y", "PedEd", "18"), (11, "", "", "", "", "GenED", "")],
+        "portalID int, InptPedSvc string, InptPedCap_PICU_YN string, InptPedCap_NICU_YN string, InptPedCap_PedWard_YN string, EDConfig string, AgeMed string",
+    )
+    links = spark.createDataFrame([(10, "106000001"), (11, "106000002")], "portalID int, oshpd_id string")
+    got = hospital.link_designations(base, survey, links).select("oshpd_id", "pr_ped_desig", "pr_inpatient", "pr_ped_2plus", "pr_AgeMed")
+    assert rows(got, "oshpd_id") == [
+        ("000001", "Ped ED + Ped Ward + PICU", True, True, "18"),
+        ("000002", "None", False, False, None),
+        ("000003", None, None, None, None),
+    ]
+
+
+def test_flag_factors(spark):
+    df = encounter.encounter_recode(spark.createDataFrame([tuple(encounter_row(ed_disp=2).values())], SCHEMA))
+    assert levels_of(df, "transferred_char") == ["FALSE", "TRUE"] and df.first()["transferred_char"] == "TRUE"
+    assert levels_of(df, "outcome") == ["dc home", "admitted", "transferred"]
