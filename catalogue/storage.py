@@ -101,7 +101,7 @@ def append_subset(spark, d):
 
 @query(
     "load_audit",
-    """SELECT count(*) AS stage_rows, count(*) FILTER (WHERE o_totalprice < 200000) AS appended_rows, 0 AS target_before,
+    """SELECT count(*) AS stage_rows, count(*) FILTER (WHERE o_totalprice < 200000) AS appended_rows, CAST(0 AS BIGINT) AS target_before,
   count(*) FILTER (WHERE o_totalprice < 200000) AS target_after FROM orders""",
 )
 def load_audit(spark, d):
@@ -238,7 +238,7 @@ def harmonise_append(spark, d):
 )
 def row_number_global(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    return numbering.number_rows(orders, ["o_orderdate", "o_orderkey"], batch=["o_orderstatus"]).drop("o_orderdate")
+    return numbering.number_rows(orders, ["o_orderdate", "o_orderkey"], batch=["o_orderstatus"], from_files=True).drop("o_orderdate")
 
 
 @query(
@@ -247,7 +247,7 @@ def row_number_global(spark, d):
 )
 def surrogate_id(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    done = numbering.number_rows(orders, ["o_orderdate", "o_orderkey"], batch=["o_orderstatus"], running_id="id")
+    done = numbering.number_rows(orders, ["o_orderdate", "o_orderkey"], batch=["o_orderstatus"], running_id="id", from_files=True)
     return done.select("o_orderkey", "id")
 
 

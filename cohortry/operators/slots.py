@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.operators.joins import count_keys
-from cohortry.session import BROADCAST_ROWS, broadcast_if_small
+from cohortry.session import BROADCAST_ROWS, broadcast_if_small, checkpointed
 
 def wide_to_long(df: DataFrame, id_col: str, cols: Sequence[str], slot: str = "slot", code: str = "code") -> DataFrame:
     """One row per id and slot; empty slots stay as NULL codes."""
@@ -96,7 +96,6 @@ def classify(
     category: str = "category",
     match: str = "exact",
     mode: str = "first",
-    order: Sequence[str] = (),
 ) -> DataFrame:
     """Put each slot's code into a category: ``<category>_<slot>`` columns.
 
@@ -104,7 +103,8 @@ def classify(
     matches when a listed stem begins it. ``mode="multi"`` gives an array of all categories instead of the first.
     """
     if match == "prefix":
-        codes = expand_stems(df, slots, codes.select("code", category, "priority"), category)
+        # Derived from the facts, so it is written once before the lookups check and join it.
+        codes = checkpointed(expand_stems(df, slots, codes.select("code", category, "priority"), category))
     if mode == "multi":
         lists = all_categories(codes, "code", category, "priority").withColumnRenamed("categories", category)
         return lookup_slots(df, slots, lists, "code", [category], form="join")

@@ -182,10 +182,12 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def combine(inpatient: Sequence[DataFrame], emergency: Sequence[DataFrame]) -> DataFrame:
-    """All years of both sources in one plan, numbered per (source, year) by date, with a running id."""
+    """All years of both sources in one plan, numbered per (source, year) by date, with a running id.
+
+    The frames are the yearly files as read (column and row selections included)."""
     parts = [*map(harmonise_inpatient, inpatient), *map(harmonise_emergency, emergency)]
     rows = union_all(parts).drop("id", "db_row_n")
-    done = number_rows(rows, ["start_date"], batch=["database", "start_year"], running_id="id")
+    done = number_rows(rows, ["start_date"], batch=["database", "start_year"], running_id="id", from_files=True)
     return done.select(*[F.col(n).cast(k).alias(n) for n, k in HARMONISED])
 
 

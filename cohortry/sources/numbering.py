@@ -19,6 +19,7 @@ def number_rows(
     batch: Sequence[str] = (),
     row_number: str = "db_row_n",
     running_id: str | None = None,
+    from_files: bool = False,
 ) -> DataFrame:
     """Row number per batch in the given order, and optionally one running id over all batches.
 
@@ -26,7 +27,11 @@ def number_rows(
     spread over partitions), sorted inside the partitions and checkpointed once. The number is then the
     position inside the partition plus an offset per partition; only the partition counts are summed up in
     one place, and there are as many as partitions.
+
+    The scan position must be the same when a lost task runs again. It is for rows read from files (``from_files``);
+    rows that come out of a shuffle are checkpointed before.
     """
+    df = df if from_files else checkpointed(df)
     keys = [*[F.col(c) for c in batch], *[F.col(c) if isinstance(c, str) else c for c in order]]
     tied = df.withColumn("_scan", F.monotonically_increasing_id())
     partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
