@@ -239,21 +239,56 @@ def icc_query(spark, d):
     return rounded(icc(frame(spark, d).filter(contrast("all")), F.col("transferred"), "oshpd_id", cells), 4)
 
 
+STRATA_SQL = {"small rural": "small_rural", "other": "NOT small_rural"}
+COHORT_SQL = {
+    "all": "TRUE",
+    "neonate": "coalesce(age < 1 AND age_days < 28, FALSE)",
+    "under 14": "age < 14",
+    "low charge": "charge < 40000",
+}
+CONTRAST_SQL = {"all": "outcome IS NOT NULL", "admitted": "outcome <> 'dc home'", "discharged": "outcome <> 'admitted'"}
+EXPOSURE = Factor("discount_high", (False, True))
+
+
+def grid_frame(spark, d):
+    return frame(spark, d).withColumn("discount_high", F.col("discount") > 0.05)
+
+
+def grid_cells(models=None):
+    strata = {n: F.expr(c) for n, c in STRATA_SQL.items()}
+    cohorts = {n: None if c == "TRUE" else F.expr(c) for n, c in COHORT_SQL.items()}
+    return cross(strata, cohorts, models=models)
+
+
+CELL_ROWS = " UNION ALL ".join(
+    f"SELECT '{s}|{c}|{k}|crude' AS cell, discount > 0.05 AS x, outcome = 'transferred' AS y FROM enc WHERE {sw} AND {cw} AND {kw}"
+    for s, sw in STRATA_SQL.items()
+    for c, cw in COHORT_SQL.items()
+    for k, kw in CONTRAST_SQL.items()
+)
+
+
+@query(
+    "contrast_grid",
+    f"""WITH {ENC}, r AS ({CELL_ROWS}), t AS (SELECT cell, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE x AND y) AS DOUBLE) AS a,
+  CAST(count(*) FILTER (WHERE x AND NOT y) AS DOUBLE) AS b, CAST(count(*) FILTER (WHERE NOT x AND y) AS DOUBLE) AS c,
+  CAST(count(*) FILTER (WHERE NOT x AND NOT y) AS DOUBLE) AS d FROM r GROUP BY cell)
+SELECT cell, '(intercept)' AS term, n, round(ln(c / d), 4) AS estimate, round(sqrt(1 / c + 1 / d), 4) AS std_error FROM t
+UNION ALL SELECT cell, 'discount_high=True', n, round(ln(a) + ln(d) - ln(b) - ln(c), 4), round(sqrt(1 / a + 1 / b + 1 / c + 1 / d), 4) FROM t""",
+)
+def contrast_grid(spark, d):
+    """The crude models of the grid without the hospital effect, which have a closed form."""
+    cells = grid_cells({"crude": None})
+    fitted = fit_grid(grid_frame(spark, d), F.col("transferred"), [EXPOSURE], cells)
+    return rounded(fitted.select("cell", "term", "n", "estimate", "std_error"), 4)
+
+
 @query("sensitivity_grid")
 def sensitivity_grid(spark, d):
     """Two strata × four sub-cohorts × three contrasts × crude and adjusted, fitted together."""
-    strata = {"small rural": F.col("small_rural"), "other": ~F.col("small_rural")}
-    cohorts = {
-        "all": None,
-        "neonate": F.coalesce((F.col("age") < 1) & (F.col("age_days") < 28), F.lit(False)),
-        "under 14": F.col("age") < 14,
-        "low charge": F.col("charge") < 40000,
-    }
-    exposure = Factor("quantity_high", (False, True))
-    terms = [exposure, Factor("sex", ("M", "F", "U"))]
-    cells = cross(strata, cohorts, models={"crude": (exposure,), "adjusted": None})
-    df = frame(spark, d).withColumn("quantity_high", F.col("quantity") > 25)
-    return rounded(fit_grid(df, F.col("transferred"), terms, cells, "oshpd_id"), 4)
+    cells = grid_cells({"crude": (EXPOSURE,), "adjusted": None})
+    terms = [EXPOSURE, Factor("sex", ("M", "F", "U"))]
+    return rounded(fit_grid(grid_frame(spark, d), F.col("transferred"), terms, cells, "oshpd_id"), 4)
 
 
 @query(

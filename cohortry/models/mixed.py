@@ -307,7 +307,8 @@ def fit_grid(
         fits.append(_Fit(active=active, beta=np.zeros(len(names))))
     for r in pat.groupBy("cell").agg(F.sum("n").alias("n")).collect():
         fits[r["cell"]].rows = r["n"]
-    _fit_pooled(pat, fits, max_iter, tol)
+    # Without a group these are the final fits; with one they only start the mixed ones.
+    _fit_pooled(pat, fits, max_iter, tol if group else 1e-12)
     sizes = _fit_mixed(pat, fits, points, max_iter, tol) if group else {}
 
     rows = []
