@@ -68,16 +68,20 @@ def windows(values: np.ndarray, size: int, seed: int) -> np.ndarray:
 
 
 class Remembered(dict):
-    """word -> value, filled by ``make`` on first sight and emptied when ``most`` entries are held."""
+    """word -> value, filled by ``make`` on first sight. Holds the words of the last ``most`` to ``2 * most`` misses."""
 
-    def __init__(self, make, most: int = 400_000, longest: int = 256) -> None:
+    def __init__(self, make, most: int = 500_000, longest: int = 256) -> None:
         super().__init__()
         self.make, self.most, self.longest = make, most, longest
+        self.older: dict = {}
 
     def __missing__(self, word):
-        value = self.make(word)
+        value = self.older.get(word)
+        if value is None:
+            value = self.make(word)
         if len(word) <= self.longest:
             if len(self) >= self.most:
+                self.older = dict(self)
                 self.clear()
             self[word] = value
         return value
