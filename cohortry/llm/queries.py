@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortry.llm.common import table
 from cohortry.llm.near_duplicates import near_duplicates
 from cohortry.llm.packing import pack_documents
+from cohortry.llm.personal_data import BASE, find_personal_data, span_list
 from cohortry.llm.token_files import token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +61,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_files")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op3_personal_data")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    def count(kind):
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    digest = F.sha2(span_list(F.col("base_spans")), 256).alias("base_sha256")
+    return found.select("doc_id", *map(count, BASE), digest, span_list(F.col("all_spans")).alias("spans"))
