@@ -12,7 +12,9 @@ from cohortry.llm.common import table
 from cohortry.llm.near_duplicates import near_duplicates
 from cohortry.llm.packing import pack_documents
 from cohortry.llm.personal_data import BASE, find_personal_data, span_list
+from cohortry.llm.quality import quality
 from cohortry.llm.token_files import token_files
+from cohortry.llm.toxicity import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -71,3 +73,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     digest = F.sha2(span_list(F.col("base_spans")), 256).alias("base_sha256")
     return found.select("doc_id", *map(count, BASE), digest, span_list(F.col("all_spans")).alias("spans"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_quality")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
