@@ -27,7 +27,8 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 400, ridge: float = 1e-
     x = np.c_[x, np.ones(len(x), x.dtype)]
     w, m, v = (np.zeros(x.shape[1]) for _ in range(3))
     for i in range(1, rounds + 1):
-        g = x.T @ (sigmoid(x @ w) - y) / max(1, len(y)) + ridge * w
+        err = (sigmoid(x @ w.astype(x.dtype)) - y).astype(x.dtype)
+        g = x.T @ err / max(1, len(y)) + ridge * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w = w - 0.05 * (m / (1 - 0.9**i)) / (np.sqrt(v / (1 - 0.99**i)) + 1e-8)
     return w

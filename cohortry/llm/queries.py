@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.llm.common import table
+from cohortry.llm.decontamination import mark_contaminated
 from cohortry.llm.near_duplicates import near_duplicates
 from cohortry.llm.packing import pack_documents
 from cohortry.llm.personal_data import BASE, find_personal_data, span_list
@@ -83,3 +84,9 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_quality")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = mark_contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", "contaminated", "item_ids", "containment")
