@@ -9,12 +9,14 @@ with a probability of 2e-8 (1e-6 at 0.8).
 
 Equal sets are one class from the start. Pairs are confirmed on full sets of 64-bit shingle hashes. No bucket is
 expanded into its pairs: in each round the members that are not yet connected to their bucket's leader are
-compared with it, and only buckets that hold several components after the rounds give their remaining
-cross-component pairs within the signature distance.
+compared with it. Rounds go on while at least one comparison in fifty links. Only buckets that still hold several
+components then give their cross-component pairs, and of those only the pairs whose 64 symbols (the signature and 32
+further ones) differ less than 5.5 standard deviations beyond what the wanted similarity gives (1e-6 are beyond).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,10 +27,8 @@ from pyspark.sql import functions as F
 
 from cohortry.llm.common import hashes, odd_constants, utf8, windows, written
 
-SYMBOLS, CHUNKS, PER_CHUNK = 32, 8, 4
-DISTANCE = 2 * CHUNKS - 1
+SYMBOLS, CHUNKS, PER_CHUNK = 64, 8, 4
 LANE = 0xFFFF
-STAR_ROUNDS = 2
 
 #: The minwise hashes' multipliers.
 MULTIPLIERS = odd_constants(SYMBOLS, 11)
@@ -41,11 +41,11 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """Eight 64-bit numbers of four 16-bit symbols each."""
+    """Sixteen 64-bit numbers of four 16-bit symbols each; the first eight are the chunks that are indexed."""
     low = np.full(SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(shingles), 1024):
         np.minimum(low, np.multiply.outer(MULTIPLIERS, shingles[start : start + 1024]).min(axis=1), out=low)
-    symbols = ((low * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).reshape(CHUNKS, PER_CHUNK)
+    symbols = ((low * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).reshape(-1, PER_CHUNK)
     return (symbols << (np.arange(PER_CHUNK, dtype=np.uint64) * np.uint64(16))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
@@ -101,10 +101,16 @@ def _signed64(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def widest(similarity: float) -> int:
+    """Differing symbols that a pair of the wanted similarity stays under."""
+    spread = math.sqrt(SYMBOLS * similarity * (1 - similarity))
+    return max(2 * CHUNKS - 1, math.ceil(SYMBOLS * (1 - similarity) + 5.5 * spread))
+
+
 def _distance(a: str, b: str) -> F.Column:
     """Differing symbols of two signatures: a lane's lowest bit gathers the lane's differing bits."""
     total = F.lit(0)
-    for c in range(CHUNKS):
+    for c in range(SYMBOLS // PER_CHUNK):
         x = F.col(a)[c].bitwiseXOR(F.col(b)[c])
         for shift in (8, 4, 2, 1):
             x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
@@ -169,7 +175,8 @@ def near_duplicates(
         with_both = with_b.join(texts.toDF("a", "a_text"), "a")
         return with_both.select("a", "b", "a_text", "b_text").mapInArrow(_confirmed(shingle, num, den), schema)
 
-    for turn in range(STAR_ROUNDS + 1):
+    turn, stars = 0, True
+    while True:
         at = rows if labels is None else rows.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         if labels is None:
             at = at.withColumn("label", F.col("id"))
@@ -178,26 +185,28 @@ def near_duplicates(
         leads = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), leader).filter("lo < hi")
         leads = written(leads.select("key", F.col("lead.id").alias("lead"), F.col("lead.label").alias("lead_label")), "leads")
         at = written(at.join(leads, "key"), "active")
-        if turn < STAR_ROUNDS:
+        if stars:
             pairs = at.filter("label <> lead_label").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
         else:
             one = at.join(reps, "id").select("key", F.col("id").alias("a"), "label", "n", "sig")
             two = one.toDF("key", "b", "b_label", "nb", "b_sig")
             fits = F.lit(den) * F.least("n", "nb") >= F.lit(num) * F.greatest("n", "nb")
-            meet = (F.col("a") < F.col("b")) & (F.col("label") != F.col("b_label")) & fits & (_distance("sig", "b_sig") <= DISTANCE)
+            meet = (F.col("a") < F.col("b")) & (F.col("label") != F.col("b_label")) & fits & (_distance("sig", "b_sig") <= widest(num / den))
             near = one.alias("x").join(two.alias("y"), (F.col("x.key") == F.col("y.key")) & meet)
             pairs = near.select("a", "b").distinct()
         pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        if turn < STAR_ROUNDS and not pairs.limit(1).count():
-            break
         both = pairs.union(pairs.select("b", "a"))
         tested = both if tested is None else tested.union(both)
         found = written(confirm(pairs), "links")
-        if found.limit(1).count():
+        linked = found.count()
+        if linked:
             links = found if links is None else links.union(found)
             labels = written(connected(links), "components")
-        rows = at.select("id", "key")
+        if not stars:
+            break
+        stars = linked > 0 and 50 * linked >= pairs.count()
+        rows, turn = at.select("id", "key"), turn + 1
     final = reps.select("set_key", "id")
     if labels is None:
         final = final.select("set_key", F.col("id").alias("component"))
