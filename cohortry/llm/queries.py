@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 
 from cohortry.llm.common import table
 from cohortry.llm.decontamination import mark_contaminated
+from cohortry.llm.language import language
+from cohortry.llm.licenses import oracle as license_sql
+from cohortry.llm.licenses import scan_licenses
 from cohortry.llm.near_duplicates import near_duplicates
 from cohortry.llm.packing import pack_documents
 from cohortry.llm.personal_data import BASE, find_personal_data, span_list
 from cohortry.llm.quality import quality
+from cohortry.llm.spotsigs import fingerprints
 from cohortry.llm.token_files import token_files
 from cohortry.llm.toxicity import toxicity
 
@@ -90,3 +94,18 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = mark_contaminated(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return marked.select("doc_id", "contaminated", "item_ids", "containment")
+
+
+@query("op2_language")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language(table(spark, sf_dir, "documents"))
+
+
+@query("op4_licenses", license_sql())
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "license_sentences", "licenses")
+
+
+@query("op8_fingerprints")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
