@@ -9,8 +9,9 @@ with a probability of 2e-8 (1e-6 at 0.8).
 
 Equal sets are one class from the start. Pairs are confirmed on full sets of 64-bit shingle hashes. No bucket is
 expanded into its pairs: in each round the members that are not yet connected to their bucket's leader are
-compared with it. Rounds go on while at least one comparison in fifty links. Only buckets that still hold several
-components then give their cross-component pairs, and of those only the pairs whose 64 symbols (the signature and 32
+compared with it, at first the member that meets the most others. Rounds go on while at least one comparison in fifty links. Only buckets that still hold several
+components then give their cross-component pairs, and of those only the pairs that share one of their rarest shingles
+(sets without a common one among these cannot be similar enough) and whose 64 symbols (the signature and 32
 further ones) differ less than 5.5 standard deviations beyond what the wanted similarity gives (1e-6 are beyond).
 """
 
@@ -107,15 +108,40 @@ def widest(similarity: float) -> int:
     return max(2 * CHUNKS - 1, math.ceil(SYMBOLS * (1 - similarity) + 5.5 * spread))
 
 
-def _distance(a: str, b: str) -> F.Column:
-    """Differing symbols of two signatures: a lane's lowest bit gathers the lane's differing bits."""
-    total = F.lit(0)
+def _differing(a: str, b: str) -> list[F.Column]:
+    """Differing symbols of two signatures per chunk: a lane's lowest bit gathers the lane's differing bits."""
+    out = []
     for c in range(SYMBOLS // PER_CHUNK):
         x = F.col(a)[c].bitwiseXOR(F.col(b)[c])
         for shift in (8, 4, 2, 1):
             x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        total = total + F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001)))
-    return total
+        out.append(F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001))))
+    return out
+
+
+def _meet(differing: list[F.Column]) -> F.Column:
+    """Whether two signatures share a key: some indexed chunk differs in at most one symbol."""
+    return F.least(*differing[:CHUNKS]) < 2
+
+
+def _exploded(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                s = shingle_set(text.as_py(), size).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([x] * len(s), pa.int64()), pa.array(s)], ["id", "shingle"])
+
+    return run
+
+
+def _rarest(nodes: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """(id, shingle): every node's n - ceil(n * num / den) + 1 rarest shingles. Two sets that share none of them are not linked."""
+    rows = texts.join(nodes, "id", "left_semi").mapInArrow(_exploded(size), "id bigint, shingle bigint").distinct()
+    seen = rows.groupBy("shingle").agg(F.count("*").alias("df"))
+    ranked = rows.join(seen, "shingle").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("s"))
+    n = F.size("s")
+    need = (n - F.ceil(n * num / F.lit(den).cast("double") - 1e-9) + 1).cast("int")
+    return ranked.select("id", F.explode(F.slice("s", F.lit(1), need)).alias("x")).select("id", F.col("x.shingle").alias("shingle"))
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -160,8 +186,11 @@ def near_duplicates(
     reps = written(classes.agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
     # Buckets of one class say nothing; the others are written once and shrink as components form.
     rows = _bucket_rows(reps)
-    several = rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
+    several = rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     rows = written(rows.join(several, "key"), "buckets")
+    # What many documents were copied from shares keys with all of them, so it meets the most members.
+    central = rows.groupBy("id").agg(F.sum("c").alias("met"))
+    rows = written(rows.drop("c").join(central, "id"), "ranked")
     schema = "a bigint, b bigint"
     texts = base.filter("id IS NOT NULL")
     links = labels = tested = None
@@ -181,18 +210,23 @@ def near_duplicates(
         if labels is None:
             at = at.withColumn("label", F.col("id"))
         # Only keys whose members lie in several components are left, so buckets of one component cost nothing more.
-        leader = F.min(F.struct(F.xxhash64(F.lit(turn), F.col("id")), "id", "label")).alias("lead")
+        order = -F.col("met") if turn == 0 else F.xxhash64(F.lit(turn), F.col("id"))
+        leader = F.min(F.struct(order.alias("order"), "id", "label")).alias("lead")
         leads = at.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), leader).filter("lo < hi")
         leads = written(leads.select("key", F.col("lead.id").alias("lead"), F.col("lead.label").alias("lead_label")), "leads")
         at = written(at.join(leads, "key"), "active")
         if stars:
             pairs = at.filter("label <> lead_label").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
         else:
-            one = at.join(reps, "id").select("key", F.col("id").alias("a"), "label", "n", "sig")
-            two = one.toDF("key", "b", "b_label", "nb", "b_sig")
+            nodes = at.select("id", "label").distinct()
+            rare = _rarest(nodes, texts, shingle, num, den)
+            one = written(nodes.join(reps, "id").join(rare, "id").select("shingle", F.col("id").alias("a"), "label", "n", "sig"), "rare")
+            two = one.toDF("shingle", "b", "b_label", "nb", "b_sig")
+            apart = _differing("sig", "b_sig")
             fits = F.lit(den) * F.least("n", "nb") >= F.lit(num) * F.greatest("n", "nb")
-            meet = (F.col("a") < F.col("b")) & (F.col("label") != F.col("b_label")) & fits & (_distance("sig", "b_sig") <= widest(num / den))
-            near = one.alias("x").join(two.alias("y"), (F.col("x.key") == F.col("y.key")) & meet)
+            meet = (F.col("a") < F.col("b")) & (F.col("label") != F.col("b_label")) & fits & _meet(apart)
+            meet = meet & (sum(apart[1:], apart[0]) <= widest(num / den))
+            near = one.alias("x").join(two.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & meet)
             pairs = near.select("a", "b").distinct()
         pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
@@ -206,7 +240,7 @@ def near_duplicates(
         if not stars:
             break
         stars = linked > 0 and 50 * linked >= pairs.count()
-        rows, turn = at.select("id", "key"), turn + 1
+        rows, turn = at.select("id", "key", "met"), turn + 1
     final = reps.select("set_key", "id")
     if labels is None:
         final = final.select("set_key", F.col("id").alias("component"))
