@@ -89,18 +89,18 @@ def anova(df: DataFrame, group: str, variables: Sequence[str]) -> DataFrame:
     """One-way analysis of variance; with two groups it is the pooled t-test (F = t²)."""
     cells = group_moments(df, group, variables).filter(F.col("grp").isNotNull() & (F.col("n") > 0))
     n, m = F.col("n").cast("double"), F.col("mean")
+    # Deviations from the grand mean: sums of squares would cancel on values far from zero.
+    cells = cells.join(cells.groupBy("variable").agg((F.sum(n * m) / F.sum(n)).alias("grand")), "variable")
     sums = cells.groupBy("variable").agg(
         F.sum("n").alias("n"),
         F.count(F.lit(1)).alias("k"),
-        F.sum(n * m).alias("s1"),
-        F.sum(n * m * m).alias("s2"),
+        F.sum(n * (m - F.col("grand")) * (m - F.col("grand"))).alias("between"),
         F.sum((n - 1) * F.coalesce("sd", F.lit(0.0)) * F.coalesce("sd", F.lit(0.0))).alias("within"),
     )
-    between = F.col("s2") - F.col("s1") * F.col("s1") / F.col("n")
     out = sums.select(
         "variable",
         "n",
-        F.try_divide(F.try_divide(between, F.col("k") - 1), F.try_divide(F.col("within"), F.col("n") - F.col("k"))).alias(
+        F.try_divide(F.try_divide(F.col("between"), F.col("k") - 1), F.try_divide(F.col("within"), F.col("n") - F.col("k"))).alias(
             "statistic"
         ),
         (F.col("k") - 1).alias("df1"),
@@ -118,7 +118,7 @@ def kruskal_wallis(df: DataFrame, group: str, variables: Sequence[str], ranges:
     )
     total = F.col("n").cast("double")
     h = 12 / (total * (total + 1)) * F.col("q") - 3 * (total + 1)
-    correction = 1 - F.col("ties") / (total * total * total - total)
+    correction = 1 - F.try_divide(F.col("ties").cast("double"), total * total * total - total)
     out = per_var.select(
         "variable", "n", F.try_divide(h, correction).alias("statistic"), (F.col("k") - 1).alias("df")
     )

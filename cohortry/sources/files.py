@@ -29,7 +29,7 @@ def read_lookup_csv(
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """``single_file`` is for result tables of a few rows."""
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
 

@@ -47,7 +47,8 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def rename_table(spark: SparkSession, old: str, new: str) -> None:
-    spark.sql(f"ALTER TABLE `{old}` RENAME TO `{new}`")
+    quoted = [".".join("`" + part.replace("`", "``") + "`" for part in name.split(".")) for name in (old, new)]
+    spark.sql(f"ALTER TABLE {quoted[0]} RENAME TO {quoted[1]}")
 
 
 def list_tables(spark: SparkSession, pattern: str | None = None) -> DataFrame:

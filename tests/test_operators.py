@@ -284,3 +284,17 @@ def test_ungrouped_table(spark):
     df = spark.createDataFrame([("u", 1.0), ("v", 3.0), (None, None)], "c string, x double")
     got = {(r["variable"], r["level"]): (r["grp"], r["n"], r["pct"], r["mean"]) for r in summary.bivariate_table(df, None, ["c"], ["x"]).collect()}
     assert got == {("c", "u"): ("[ALL]", 1, 50.0, None), ("c", "v"): ("[ALL]", 1, 50.0, None), ("x", None): ("[ALL]", 2, None, 2.0)}
+
+
+def test_anova_does_not_change_when_values_are_shifted(spark):
+    rows = [(g, float(i % 7 + 3 * (g == "b"))) for g in "ab" for i in range(40)]
+    found = []
+    for shift in (0.0, 1e8):
+        df = spark.createDataFrame([(g, v + shift) for g, v in rows], "g string, v double")
+        found.append(comparisons.anova(df, "g", ["v"]).first().statistic)
+    assert abs(found[0] - found[1]) < 1e-4 * found[0]
+
+
+def test_kruskal_wallis_of_one_value_is_null(spark):
+    df = spark.createDataFrame([("a", 1.0), ("b", None)], "g string, v double")
+    assert all(r.statistic is None for r in comparisons.kruskal_wallis(df, "g", ["v"]).collect())
