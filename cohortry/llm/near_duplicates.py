@@ -9,15 +9,16 @@ with a probability of 2e-8 (1e-6 at 0.8).
 
 Equal sets are one class from the start. Pairs are confirmed on full sets of 64-bit shingle hashes. No bucket is
 expanded into its pairs: in each round the members that are not yet connected to their bucket's leader are
-compared with it, at first the member that meets the most others. Rounds go on while at least one comparison in fifty links. Only buckets that still hold several
-components then give their cross-component pairs, and of those only the pairs that share one of their rarest shingles
-(sets without a common one among these cannot be similar enough) and whose 64 symbols (the signature and 32
-further ones) differ less than 5.5 standard deviations beyond what the wanted similarity gives (1e-6 are beyond).
+compared with it, at first the member that meets the most others. Rounds go on while at least one comparison in fifty
+links. Only buckets that still hold several components then give their cross-component pairs.
+
+Before texts are fetched, and inside the join of that last pass, pairs must pass their sets' odd sketches: every
+shingle flips one of 2048 bits, so two sketches differ in at most as many bits as the sets have elements apart. More
+bits than the wanted similarity allows rule a pair out for certain; nothing is lost by this.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,11 +29,11 @@ from pyspark.sql import functions as F
 
 from cohortry.llm.common import hashes, odd_constants, utf8, windows, written
 
-SYMBOLS, CHUNKS, PER_CHUNK = 64, 8, 4
+CHUNKS, PER_CHUNK, SKETCH = 8, 4, 32
 LANE = 0xFFFF
 
 #: The minwise hashes' multipliers.
-MULTIPLIERS = odd_constants(SYMBOLS, 11)
+MULTIPLIERS = odd_constants(CHUNKS * PER_CHUNK, 11)
 
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
@@ -42,26 +43,34 @@ def shingle_set(text: bytes, size: int) -> np.ndarray:
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
-    """Sixteen 64-bit numbers of four 16-bit symbols each; the first eight are the chunks that are indexed."""
-    low = np.full(SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
+    """Eight 64-bit numbers, the chunks, of four 16-bit symbols each."""
+    low = np.full(CHUNKS * PER_CHUNK, np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(shingles), 1024):
         np.minimum(low, np.multiply.outer(MULTIPLIERS, shingles[start : start + 1024]).min(axis=1), out=low)
     symbols = ((low * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).reshape(-1, PER_CHUNK)
     return (symbols << (np.arange(PER_CHUNK, dtype=np.uint64) * np.uint64(16))).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """2048 bits in 64-bit numbers; a bit says whether an odd number of shingles falls on it."""
+    bits = np.bincount((shingles >> np.uint64(53)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _signed(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, keys, signs = [], [], []
+            counts, keys, signs, odd = [], [], [], []
             for text in batch.column(1).to_pylist():
                 s = shingle_set(text, size)
                 counts.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 signs.append(signature(s).tolist() if len(s) else None)
+                odd.append(odd_sketch(s).tolist() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), pa.array(signs, pa.list_(pa.int64()))],
-                ["id", "n", "set_key", "sig"],
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary())]
+                + [pa.array(x, pa.list_(pa.int64())) for x in (signs, odd)],
+                ["id", "n", "set_key", "sig", "odd"],
             )
 
     return run
@@ -102,46 +111,18 @@ def _signed64(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def widest(similarity: float) -> int:
-    """Differing symbols that a pair of the wanted similarity stays under."""
-    spread = math.sqrt(SYMBOLS * similarity * (1 - similarity))
-    return max(2 * CHUNKS - 1, math.ceil(SYMBOLS * (1 - similarity) + 5.5 * spread))
-
-
-def _differing(a: str, b: str) -> list[F.Column]:
-    """Differing symbols of two signatures per chunk: a lane's lowest bit gathers the lane's differing bits."""
-    out = []
-    for c in range(SYMBOLS // PER_CHUNK):
-        x = F.col(a)[c].bitwiseXOR(F.col(b)[c])
-        for shift in (8, 4, 2, 1):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift))
-        out.append(F.bit_count(x.bitwiseAND(F.lit(0x0001000100010001))))
-    return out
-
-
-def _meet(differing: list[F.Column]) -> F.Column:
-    """Whether two signatures share a key: some indexed chunk differs in at most one symbol."""
-    return F.least(*differing[:CHUNKS]) < 2
-
-
-def _exploded(size: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for x, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                s = shingle_set(text.as_py(), size).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([x] * len(s), pa.int64()), pa.array(s)], ["id", "shingle"])
-
-    return run
+def _sketched(reps: DataFrame, name: str) -> DataFrame:
+    """Size and odd sketch of every class, in columns that start with ``name``."""
+    odd = [F.col("odd")[i].alias(f"{name}_odd{i}") for i in range(SKETCH)]
+    return reps.select(F.col("id").alias(name), F.col("n").alias(f"{name}_n"), *odd)
 
 
-def _rarest(nodes: DataFrame, texts: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """(id, shingle): every node's n - ceil(n * num / den) + 1 rarest shingles. Two sets that share none of them are not linked."""
-    rows = texts.join(nodes, "id", "left_semi").mapInArrow(_exploded(size), "id bigint, shingle bigint").distinct()
-    seen = rows.groupBy("shingle").agg(F.count("*").alias("df"))
-    ranked = rows.join(seen, "shingle").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "shingle"))).alias("s"))
-    n = F.size("s")
-    need = (n - F.ceil(n * num / F.lit(den).cast("double") - 1e-9) + 1).cast("int")
-    return ranked.select("id", F.explode(F.slice("s", F.lit(1), need)).alias("x")).select("id", F.col("x.shingle").alias("shingle"))
+def _may_link(num: int, den: int) -> F.Column:
+    """False only for pairs whose sizes or sketches rule the similarity out: linked sets of together n elements have at
+    most n * (den - num) / (den + num) elements that are in one of them only."""
+    sizes = F.lit(den) * F.least("a_n", "b_n") >= F.lit(num) * F.greatest("a_n", "b_n")
+    apart = [F.bit_count(F.col(f"a_odd{i}").bitwiseXOR(F.col(f"b_odd{i}"))) for i in range(SKETCH)]
+    return sizes & (F.lit(num + den) * sum(apart[1:], apart[0]) <= F.lit(den - num) * (F.col("a_n") + F.col("b_n")))
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -181,9 +162,10 @@ def near_duplicates(
     Other columns of ``docs`` are ignored. An empty frame gives an empty result.
     """
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), utf8(text_col).alias("body"))
-    signed = written(base.mapInArrow(_signed(shingle), "id bigint, n bigint, set_key binary, sig array<bigint>"), "signed")
+    signed = written(base.mapInArrow(_signed(shingle), "id bigint, n bigint, set_key binary, sig array<bigint>, odd array<bigint>"), "signed")
     classes = signed.filter("set_key IS NOT NULL AND id IS NOT NULL").groupBy("set_key")
-    reps = written(classes.agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig")), "classes")
+    first = [F.first(c).alias(c) for c in ("n", "sig", "odd")]
+    reps = written(classes.agg(F.min("id").alias("id"), *first), "classes")
     # Buckets of one class say nothing; the others are written once and shrink as components form.
     rows = _bucket_rows(reps)
     several = rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
@@ -193,13 +175,10 @@ def near_duplicates(
     rows = written(rows.drop("c").join(central, "id"), "ranked")
     schema = "a bigint, b bigint"
     texts = base.filter("id IS NOT NULL")
-    links = labels = tested = None
+    links = labels = None
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) linked on full sets; a is the bucket's leader, so its set is made once for a run of rows."""
-        sized = reps.select("id", "n")
-        pairs = pairs.join(sized.toDF("a", "na"), "a").join(sized.toDF("b", "nb"), "b")
-        pairs = pairs.filter(F.lit(den) * F.least("na", "nb") >= F.lit(num) * F.greatest("na", "nb")).select("a", "b")
         with_b = pairs.join(texts.toDF("b", "b_text"), "b")
         with_both = with_b.join(texts.toDF("a", "a_text"), "a")
         return with_both.select("a", "b", "a_text", "b_text").mapInArrow(_confirmed(shingle, num, den), schema)
@@ -217,22 +196,14 @@ def near_duplicates(
         at = written(at.join(leads, "key"), "active")
         if stars:
             pairs = at.filter("label <> lead_label").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
+            pairs = written(pairs, "pairs")
+            near = pairs.join(_sketched(reps, "a"), "a").join(_sketched(reps, "b"), "b").filter(_may_link(num, den))
         else:
-            nodes = at.select("id", "label").distinct()
-            rare = _rarest(nodes, texts, shingle, num, den)
-            one = written(nodes.join(reps, "id").join(rare, "id").select("shingle", F.col("id").alias("a"), "label", "n", "sig"), "rare")
-            two = one.toDF("shingle", "b", "b_label", "nb", "b_sig")
-            apart = _differing("sig", "b_sig")
-            fits = F.lit(den) * F.least("n", "nb") >= F.lit(num) * F.greatest("n", "nb")
-            meet = (F.col("a") < F.col("b")) & (F.col("label") != F.col("b_label")) & fits & _meet(apart)
-            meet = meet & (sum(apart[1:], apart[0]) <= widest(num / den))
-            near = one.alias("x").join(two.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & meet)
-            pairs = near.select("a", "b").distinct()
-        pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = written(pairs, "pairs")
-        both = pairs.union(pairs.select("b", "a"))
-        tested = both if tested is None else tested.union(both)
-        found = written(confirm(pairs), "links")
+            one = written(at.select("key", F.col("id").alias("a"), "label").join(_sketched(reps, "a"), "a"), "sketched")
+            two = one.select("key", *(F.col(c).alias(f"b{c[1:]}" if c[0] == "a" else "b_label") for c in one.columns if c != "key"))
+            cross = (F.col("a") < F.col("b")) & (F.col("label") != F.col("b_label")) & _may_link(num, den)
+            near = one.alias("x").join(two.alias("y"), (F.col("x.key") == F.col("y.key")) & cross)
+        found = written(confirm(near.select("a", "b").distinct()), "links")
         linked = found.count()
         if linked:
             links = found if links is None else links.union(found)

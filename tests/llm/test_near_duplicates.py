@@ -2,7 +2,9 @@
 
 import random
 
-from cohortry.llm.near_duplicates import connected, near_duplicates
+import numpy as np
+
+from cohortry.llm.near_duplicates import connected, near_duplicates, odd_sketch
 
 DOCS = "doc_id bigint, text string, n bigint, component_id string"
 
@@ -62,3 +64,12 @@ def test_long_chains_are_connected(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(200)] + [(500, 501), (300, 300)], "a bigint, b bigint")
     got = {r.id: r.label for r in connected(links).collect()}
     assert got == {**{i: 0 for i in range(201)}, 500: 500, 501: 500}
+
+
+def test_sketches_never_show_more_than_the_sets_differ():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 40, 5000):
+        a = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64) << np.uint64(2))
+        b = np.union1d(a[: len(a) * 3 // 4], rng.integers(0, 1 << 62, n // 5, dtype=np.uint64) << np.uint64(2))
+        bits = np.bitwise_count(odd_sketch(a) ^ odd_sketch(b)).sum()
+        assert bits <= len(np.setxor1d(a, b))
