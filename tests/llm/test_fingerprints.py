@@ -2,10 +2,14 @@
 
 import hashlib
 import math
+import random
+from collections import Counter
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 
+import cohortry.llm.language as lang_module
 from cohortry.llm.common import table
 from cohortry.llm.language import Tree, learn, predict_language
 from cohortry.llm.licenses import scan_licenses
@@ -69,6 +73,28 @@ def test_code_lengths_are_exact():
     assert tree.bits(b"b") == pytest.approx(math.log2(3) + math.log2(6 / 2) + 8 + math.log2(6 / 1))
 
 
+def test_windows_against_words(monkeypatch):
+    """Code lengths and counts by windows, over block borders, against one word at a time."""
+    monkeypatch.setattr(lang_module, "BLOCK", 97)
+    draw = random.Random(3)
+    texts = ["", "  ", "x", "a" * 300, *("".join(draw.choices("abcé \n\x00z", k=draw.randint(0, 300))) for _ in range(60))]
+    bodies = [t.encode() for t in texts]
+    wanted = Counter()
+    owners = [Counter() for _ in texts]
+    for own, body in zip(owners, bodies):
+        for w in lang_module._spaced(body).split():
+            s = b" " + w + b" "
+            own.update(s[max(0, i - 4) : i + 1] for i in range(1, len(s)))
+            wanted.update(s[i - k : i + 1] for i in range(1, len(s)) for k in range(min(4, i) + 1))
+    got = [Counter() for _ in texts]
+    for owner, found in lang_module._windows(bodies):
+        for o, f in zip(owner.tolist(), found.tolist()):
+            got[o][lang_module._gram(f)] += 1
+    assert got == owners
+    batch = pa.RecordBatch.from_arrays([pa.array(["q"] * len(bodies)), pa.array(bodies, pa.binary())], ["lang", "body"])
+    assert {r["gram"]: r["n"] for out in lang_module._grams(iter([batch])) for r in out.to_pylist()} == wanted
+
+
 def test_odd_languages(spark):
     schema = "doc_id bigint, text string, lang string, score string"
     docs = spark.createDataFrame([(1, "ab cd", "x", ""), (None, None, None, ""), (3, "12 !", "x", ""), (4, "é" * 9000, "y", ""), (4, "ab", None, "")], schema)
