@@ -55,11 +55,9 @@ CCC_GROUPS = [
 ]
 CODE_SYSTEMS = ["icd9_dx", "icd9_proc", "icd10_dx", "icd10_proc"]
 SEVERITY_LEVELS = ["1", "2", "3", "4", "5"]
+# Severity codes of an injury and their labels.
 AIS_LABELS = {1: "Minor", 2: "Moderate", 3: "Serious", 4: "Severe", 5: "Critical", 6: "Unsurvivable", 9: "Unknown"}
 
-# The score is defined on six body regions; a lookup may split them a little finer.
-MAX_REGIONS = 12
-
 
 def slot_names(others: int) -> list[str]:
     return ["dx_prin", *[f"odx{i}" for i in range(1, others + 1)]]
@@ -162,23 +160,31 @@ def illness_severity(df: DataFrame, slots: Sequence[str], lookup: DataFrame, id_
     )
 
 
-def injury_score(df: DataFrame, slots: Sequence[str], names: Sequence[str]) -> DataFrame:
+def injury_score(df: DataFrame, slots: Sequence[str]) -> DataFrame:
     """``max_injury_sev`` and ``injury_sev``: the sum of the squares of the three worst body regions, 75 if any
     severity is 6.
 
     Unknown severities (9) do not enter the score; the maximum is 9 only when nothing else is known. Computed
-    inside the row for the named regions, from the ``ais_<slot>`` and ``region_<slot>`` columns.
+    inside the row from the ``ais_<slot>`` and ``region_<slot>`` columns: the worst injury, then the worst outside its
+    region, then the worst outside both. Any number of regions; a NULL region is a region of its own.
     """
     known = {f"_k_{s}": F.when(F.col(f"ais_{s}").between(1, 8), F.col(f"ais_{s}")) for s in slots}
-    worst = [
-        F.greatest(*[F.when(F.col(f"region_{s}") == name, F.col(f"_k_{s}")) for s in slots], F.lit(0)) for name in names
-    ]
-    padded = F.array(*worst, *[F.lit(0)] * max(0, 3 - len(names)))
-    parts = df.withColumns(known).withColumns(
-        {"_top": F.sort_array(padded, asc=False), "_max": F.greatest(*known, F.lit(None).cast("int"))}
-    )
-    top, best = F.col("_top"), F.col("_max")
-    squares = top[0] * top[0] + top[1] * top[1] + top[2] * top[2]
+
+    def worst(*taken: str) -> Column:
+        found = []
+        for s in slots:
+            fits = F.col(f"_k_{s}").isNotNull()
+            for t in taken:
+                fits &= ~F.col(f"region_{s}").eqNullSafe(F.col(t)["region"])
+            found.append(F.when(fits, F.struct(F.col(f"_k_{s}").alias("ais"), F.col(f"region_{s}").alias("region"))))
+        return F.greatest(*found, found[0])
+
+    parts = df.withColumns(known).withColumn("_top1", worst()).withColumn("_top2", worst("_top1"))
+    # Without a second region there is no third one.
+    parts = parts.withColumn("_top3", F.when(F.col("_top2").isNotNull(), worst("_top1", "_top2")))
+    tops = [F.coalesce(F.col(t)["ais"], F.lit(0)) for t in ("_top1", "_top2", "_top3")]
+    best = F.col("_top1")["ais"]
+    squares = sum((t * t for t in tops[1:]), tops[0] * tops[0])
     unknown = F.when(row_any([f"ais_{s}" for s in slots], lambda c: c == 9), F.lit(9))
     scored = parts.withColumns(
         {
@@ -186,16 +192,13 @@ def injury_score(df: DataFrame, slots: Sequence[str], names: Sequence[str]) -> D
             "injury_sev": F.when(best == 6, F.lit(75)).when(best.isNotNull(), squares),
         }
     )
-    return scored.drop("_top", "_max", *known)
+    return scored.drop("_top1", "_top2", "_top3", *known)
 
 
 def injury_severity(df: DataFrame, slots: Sequence[str], lookup: DataFrame, id_col: str | None = None) -> DataFrame:
     """Max severity, score, principal-slot severity and their bands. ``lookup``: dx_code, ais (9 = unknown), region."""
-    names = [r[0] for r in lookup.select("region").distinct().limit(MAX_REGIONS + 1).collect() if r[0] is not None]
-    if len(names) > MAX_REGIONS:
-        raise ValueError(f"more than {MAX_REGIONS} body regions in the lookup")
     coded = lookup_slots(df, slots, lookup, "dx_code", ["ais", "region"], id_col)
-    scored = injury_score(coded, slots, sorted(names)).withColumn("injury_sev_dx_prin", F.col(f"ais_{slots[0]}"))
+    scored = injury_score(coded, slots).withColumn("injury_sev_dx_prin", F.col(f"ais_{slots[0]}"))
 
     def printed(col: str) -> Column:
         return case_when(

@@ -163,6 +163,15 @@ def test_injury_score(spark):
     ]
 
 
+def test_injury_score_regions(spark):
+    """A NULL region counts as one region, and there may be any number of regions."""
+    many = [(f"r{i}", 1 + i % 4, f"region {i}") for i in range(20)]
+    lookup = spark.createDataFrame([("n3", 3, None), ("n4", 4, None), *many], "dx_code string, ais int, region string")
+    df = spark.createDataFrame([(1, "n3", "n4", "r1"), (2, "n3", None, "n4"), (3, "r3", "r7", "r11")], "id int, dx_prin string, odx1 string, odx2 string")
+    got = rows(clinical.injury_severity(df, ["dx_prin", "odx1", "odx2"], lookup).select("id", "max_injury_sev", "injury_sev"), "id")
+    assert got == [(1, 4, 16 + 4), (2, 4, 16), (3, 4, 48)]
+
+
 def test_area_keys_keep_leading_zero(spark):
     income = spark.createDataFrame([("Id2", "Median"), ("00601", "2,500-"), ("90001", "250,000+"), ("90002", "-")], "GEO_id2 string, HC02_EST_VC02 string")
     edu = spark.createDataFrame([("Id2", "x", "y"), ("00601", "80.5", "-")], "GEO_id2 string, HC01_EST_VC16 string, HC01_EST_VC17 string")
