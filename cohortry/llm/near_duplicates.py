@@ -19,15 +19,16 @@ bits than the wanted similarity allows rule a pair out for certain; nothing is l
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from cohortry.llm.common import hashes, odd_constants, utf8, windows, written
+from cohortry.llm.common import hashes, odd_constants, windows, written
 
 CHUNKS, PER_CHUNK, SKETCH = 8, 4, 32
 LANE = 0xFFFF
@@ -61,16 +62,16 @@ def _signed(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, keys, signs, odd = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                s = shingle_set(text, size)
+            for text in batch.column(2).cast(pa.binary()):
+                s = shingle_set(text.as_py() or b"", size)
                 counts.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 signs.append(signature(s).tolist() if len(s) else None)
                 odd.append(odd_sketch(s).tolist() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary())]
+                [*batch.columns, pa.array(counts, pa.int64()), pa.array(keys, pa.binary())]
                 + [pa.array(x, pa.list_(pa.int64())) for x in (signs, odd)],
-                ["id", "n", "set_key", "sig", "odd"],
+                [*batch.schema.names, "n", "set_key", "sig", "odd"],
             )
 
     return run
@@ -151,21 +152,28 @@ def connected(links: DataFrame) -> DataFrame:
     return labels.join(smallest, "at").select("id", "label")
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100
+def row_components(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int, num: int, den: int, others: Sequence[str] = ()
 ) -> DataFrame:
-    """A row per document: id, n_shingles, component_id (smallest id reachable over links), kept (its own component).
+    """A row per row of ``docs``: id, text, the ``others`` as keep_0, keep_1, ..., n, component_id, first.
 
-    Two documents are linked when den * |intersection| >= num * |union| of their shingle sets. A NULL or blank text
-    has no shingles and no links; fewer words than a shingle make one. A NULL id is its own component (component NULL,
-    kept). Rows that repeat an id come back as often; they share the id's component when their sets are equal.
-    Other columns of ``docs`` are ignored. An empty frame gives an empty result.
+    Classes, links and components are keyed by row numbers of their own, never by ids, so repeated and NULL ids neither mix
+    texts nor keep a row out. component_id is the smallest id of the component's rows (NULL if none has an id); first is true
+    for one row of every component, one with that id where there is any, and for every row without shingles.
     """
-    base = docs.select(F.col(id_col).cast("bigint").alias("id"), utf8(text_col).alias("body"))
-    signed = written(base.mapInArrow(_signed(shingle), "id bigint, n bigint, set_key binary, sig array<bigint>, odd array<bigint>"), "signed")
-    classes = signed.filter("set_key IS NOT NULL AND id IS NOT NULL").groupBy("set_key")
+    base = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.col(id_col).cast("bigint").alias("id"),
+        F.col(text_col).alias("text"),
+        *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(others)],
+    )
+    fields = StructType(base.schema.fields + StructType.fromDDL("n bigint, set_key binary, sig array<bigint>, odd array<bigint>").fields)
+    # Written with the texts: the row numbers are fixed from here on.
+    signed = written(base.mapInArrow(_signed(shingle), fields), "signed")
+    classes = signed.filter("set_key IS NOT NULL").groupBy("set_key")
+    best = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("doc"), "row")).alias("best")
     first = [F.first(c).alias(c) for c in ("n", "sig", "odd")]
-    reps = written(classes.agg(F.min("id").alias("id"), *first), "classes")
+    reps = written(classes.agg(F.min("row").alias("id"), best, *first), "classes")
     # Buckets of one class say nothing; the others are written once and shrink as components form.
     rows = _bucket_rows(reps)
     several = rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
@@ -174,7 +182,7 @@ def near_duplicates(
     central = rows.groupBy("id").agg(F.sum("c").alias("met"))
     rows = written(rows.drop("c").join(central, "id"), "ranked")
     schema = "a bigint, b bigint"
-    texts = base.filter("id IS NOT NULL")
+    texts = signed.select("row", F.col("text").cast("binary").alias("body"))
     links = labels = None
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -212,16 +220,46 @@ def near_duplicates(
             break
         stars = linked > 0 and 50 * linked >= pairs.count()
         rows, turn = at.select("id", "key", "met"), turn + 1
-    final = reps.select("set_key", "id")
+    final = reps.select("set_key", "id", "best")
     if labels is None:
-        final = final.select("set_key", F.col("id").alias("component"))
+        final = final.select("set_key", "best")
     else:
-        final = final.join(labels, "id", "left").select("set_key", F.coalesce("label", "id").alias("component"))
-    out = signed.join(final, "set_key", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+        final = final.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+        chosen = final.groupBy("label").agg(F.min("best").alias("best"))
+        final = final.drop("best").join(chosen, "label").select("set_key", "best")
+    final = final.select("set_key", F.col("best.doc").alias("component_id"), F.col("best.row").alias("first_row"))
+    out = signed.drop("sig", "odd").join(final, "set_key", "left")
+    return out.withColumn("first", F.coalesce(F.col("row") == F.col("first_row"), F.lit(True))).drop("row", "first_row", "set_key")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100
+) -> DataFrame:
+    """A row per document: id, n_shingles, component_id (smallest id of its component), kept (its own component).
+
+    Two documents are linked when den * |intersection| >= num * |union| of their shingle sets. A NULL or blank text
+    has no shingles and no links; fewer words than a shingle make one. Rows are linked by their texts alone: a row that
+    repeats an id is in the component of its own text, and a row with a NULL id links others, though ``kept``, which goes by
+    id, is true for it and its component is given as NULL. ``one_of_each`` keeps one row of every component whatever the ids.
+    Other columns of ``docs`` are ignored. An empty frame gives an empty result.
+    """
+    out = row_components(docs, id_col, text_col, shingle, num, den)
+    component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return out.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, num: int = 80, den: int = 100
+) -> DataFrame:
+    """``docs`` with one row of every component, one with the smallest id; rows with NULL and repeated ids are treated as
+    rows of their own. Texts without shingles all stay."""
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    kept = row_components(docs, id_col, text_col, shingle, num, den, others).filter("first")
+    names = {id_col: F.col("id").cast(docs.schema[id_col].dataType), text_col: F.col("text")}
+    names |= {c: F.col(f"keep_{i}") for i, c in enumerate(others)}
+    return kept.select(*[names[c].alias(c) for c in docs.columns])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from cohortry.llm.common import table, written
 from cohortry.llm.decontamination import mark_contaminated
-from cohortry.llm.near_duplicates import near_duplicates
+from cohortry.llm.near_duplicates import one_of_each
 from cohortry.llm.packing import pack_documents
 from cohortry.llm.personal_data import redact
 from cohortry.llm.toxicity import score_toxicity
@@ -23,8 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of five-word shingle sets with a similarity of 0.8 or more stays."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").select(*COLUMNS)
+    return one_of_each(docs.select(*COLUMNS))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,8 @@ import random
 
 import numpy as np
 
-from cohortry.llm.near_duplicates import connected, near_duplicates, odd_sketch
+from corpus_pipeline import drop_near_duplicates
+from cohortry.llm.near_duplicates import connected, near_duplicates, odd_sketch, one_of_each
 
 DOCS = "doc_id bigint, text string, n bigint, component_id string"
 
@@ -73,3 +74,19 @@ def test_sketches_never_show_more_than_the_sets_differ():
         b = np.union1d(a[: len(a) * 3 // 4], rng.integers(0, 1 << 62, n // 5, dtype=np.uint64) << np.uint64(2))
         bits = np.bitwise_count(odd_sketch(a) ^ odd_sketch(b)).sum()
         assert bits <= len(np.setxor1d(a, b))
+
+
+def test_repeated_and_null_ids_do_not_mix_or_keep_copies(spark):
+    w = [f"w{i}" for i in range(60)]
+    a, near, b = " ".join(w), " ".join(w[:-1] + ["other"]), " ".join(reversed(w))
+    rows = [(3, a), (7, near), (7, b), (20, b), (None, "n " * 30), (None, "n " * 30), (9, "same text of nine"), (9, "same text of nine"), (8, None), (8, None)]
+    docs = spark.createDataFrame([(i, t, 1, str(k)) for k, (i, t) in enumerate(rows)], DOCS)
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).filter("n_shingles > 20").collect()}
+    assert got == {(3, 3, True), (7, 3, False), (7, 7, True), (20, 7, False)}
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted([(r.doc_id, r.text) for r in kept.collect()], key=repr) == sorted(
+        [(3, a), (7, b), (None, "n " * 30), (9, "same text of nine"), (8, None), (8, None)], key=repr
+    )
+    stage = drop_near_duplicates(spark, docs.selectExpr("doc_id", "text", "'en' lang", "'s' source", "n n_chars"), "")
+    assert stage.filter("text IS NOT NULL").count() == 4
