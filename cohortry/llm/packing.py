@@ -88,11 +88,11 @@ class Packer:
             left -= size
 
 
-def _packed(path: str, end_id: int, tiers: tuple[int, ...]):
+def _packed(path: str, end_id: int, tiers: tuple[int, ...], special: bool):
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_level(path)
+        encode = word_level(path, special)
         base = TaskContext.get().partitionId() << 33
         held: dict[int, tuple[int | None, bytes]] = {}
         out: list[list] = [[] for _ in FIELDS]
@@ -139,13 +139,20 @@ def _packed(path: str, end_id: int, tiers: tuple[int, ...]):
 
 
 def pack_documents(
-    docs: DataFrame, vocabulary: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", tiers: tuple[int, ...] = TIERS
+    docs: DataFrame,
+    vocabulary: str,
+    end_id: int = 2,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    tiers: tuple[int, ...] = TIERS,
+    special: bool = False,
 ) -> DataFrame:
     """A row per piece: the document's id, start and length in its ids, crc32 of the ids, the document's id count, and
     where the piece lies: sequence_id, offset, sequence_length (a power of two, always full), step_group.
 
     A NULL or empty text is the end id alone. Rows that repeat an id, and rows with a NULL id, are documents of their
     own. Other columns are ignored; an empty frame gives no rows. ``tiers`` are ascending powers of two.
+    ``special`` gives the strings of special tokens in a text their own ids.
     """
     body = F.coalesce(F.col(text_col), F.lit("")).alias("body")
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), body).mapInArrow(_packed(vocabulary, end_id, tiers), SCHEMA)
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), body).mapInArrow(_packed(vocabulary, end_id, tiers, special), SCHEMA)

@@ -62,12 +62,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_packing")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), special=True)
 
 
 @query("op10_token_files")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), special=True)
 
 
 @query("op3_personal_data")

@@ -94,11 +94,11 @@ class Block:
         return out
 
 
-def _blocks(path: str, end_id: int, block_ids: int):
+def _blocks(path: str, end_id: int, block_ids: int, special: bool):
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = byte_level(path)
+        encode = byte_level(path, special)
         part, block, first = TaskContext.get().partitionId(), 0, 0
         docs, starts, held, n = [], [], [], 0
 
@@ -132,16 +132,24 @@ def _blocks(path: str, end_id: int, block_ids: int):
 
 
 def write_token_files(
-    docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", block_ids: int = BLOCK_IDS
+    docs: DataFrame,
+    path: str,
+    vocabulary: str,
+    end_id: int = 0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    block_ids: int = BLOCK_IDS,
+    special: bool = False,
 ) -> None:
     """Encodes the documents in ascending id order (NULL ids first, equal ids by text) and writes their blocks to ``path``.
 
     A NULL or empty text is the end id alone. A block ends with the document that fills it. An empty frame writes no block.
+    ``special`` gives the strings of special tokens in a text their own ids.
     """
     body = F.coalesce(F.col(text_col), F.lit("")).alias("body")
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), body)
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "body")
-    ordered.mapInArrow(_blocks(vocabulary, end_id, block_ids), FILE_SCHEMA).write.parquet(path)
+    ordered.mapInArrow(_blocks(vocabulary, end_id, block_ids, special), FILE_SCHEMA).write.parquet(path)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,8 +1,9 @@
 """Ids of public tokenizers, made word by word.
 
 Neither vocabulary merges across the cuts used here, so a text's ids are its pieces' ids in order and a worker
-encodes a repeated piece once. Strings of special tokens in a text are ordinary text. ``tests/llm`` compares the
-result with the library's ids of whole texts.
+encodes a repeated piece once. ``tests/llm`` compares the result with the library's ids of whole texts. Strings of special
+tokens in a text are ordinary text unless ``special`` is set: then a text is cut at them before any piece is looked up and
+they give their own ids, as in the library's plain call.
 """
 
 from __future__ import annotations
@@ -54,8 +55,25 @@ class _Pieces(Remembered):
         return self.raw(self.before + piece)
 
 
+def _cutting(path: str, encode):
+    """``encode`` between the special tokens' strings, which have to stand in the text exactly as in the vocabulary."""
+    added = _tokenizer(path).get_added_tokens_decoder()
+    if any(t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values()):
+        raise ValueError(f"{path} has added tokens that are not found by their plain string")
+    own = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
+    if not own:
+        return encode
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(own, key=len, reverse=True))) + ")")
+
+    def run(text: str) -> bytes:
+        parts = cut.split(text) if any(c in text for c in own) else (text,)
+        return b"".join(own[p] if i % 2 else encode(p) for i, p in enumerate(parts) if p)
+
+    return run
+
+
 @cache
-def byte_level(path: str):
+def byte_level(path: str, special: bool = False):
     """A function text -> little-endian 32-bit ids for a byte-level vocabulary that keeps white space."""
     whole, spaced = _Pieces(path), _Pieces(path, before=" ")
     newline = whole.raw("\n")
@@ -69,15 +87,15 @@ def byte_level(path: str):
             lines.append(whole[words[0]] + b"".join(map(spaced.__getitem__, words[1:])))
         return newline.join(lines)
 
-    return encode
+    return _cutting(path, encode) if special else encode
 
 
 @cache
-def word_level(path: str):
+def word_level(path: str, special: bool = False):
     """A function text -> little-endian 32-bit ids for a vocabulary with word ends that drops white space and case."""
     known = _Pieces(path, lower=True)
 
     def encode(text: str) -> bytes:
         return b"".join(map(known.__getitem__, text.replace("\n", " ").split(" ")))
 
-    return encode
+    return _cutting(path, encode) if special else encode

@@ -35,7 +35,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), special=True)
 
 
 STAGES = [

@@ -11,7 +11,10 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
+from cohortry.llm.common import table
 from cohortry.llm.packing import pack_documents
+from cohortry.llm.queries import QUERIES
 from cohortry.llm.token_files import Block, encode_block, token_files
 from cohortry.llm.token_ids import byte_level, word_level
 
@@ -104,3 +107,26 @@ def test_all_documents_are_packed(spark):
     docs = spark.range(300).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), (F.col("id") * 37 % 9000).cast("int")).alias("text"))
     rows = pack_documents(docs, WORD)
     assert rows.agg(F.sum("length")).first()[0] == docs.agg(F.sum(F.col("doc_id") * 37 % 9000 + 1)).first()[0]
+
+
+@cache
+def plain(path):
+    return Tokenizer.from_file(path)
+
+
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|endof", "a", "É", " ", "\n", "  ", "x9.", "e\u0301"]), max_size=12))
+@settings(max_examples=400, deadline=None)
+def test_special_strings_give_the_ids_of_the_plain_call(parts):
+    text = "".join(parts)
+    for path, level in ((BYTE, byte_level), (WORD, word_level)):
+        assert level(path, special=True)(text) == np.array(plain(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_queries_and_stage_make_the_plain_call(spark, tmp_path):
+    text = "a <|endoftext|> b"
+    spark.createDataFrame([(1, text, "en", "s", 17)], "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+
+    ids = plain(BYTE).encode(text, add_special_tokens=False).ids
+    assert QUERIES["op10_token_files"](spark, str(tmp_path)).first().ids_crc32 == zlib.crc32(np.array([*ids, 0], "<u4").tobytes())
+    for packed in (QUERIES["op7_packing"](spark, str(tmp_path)), corpus_pipeline.pack(spark, table(spark, str(tmp_path), "documents"), "")):
+        assert {r.doc_tokens for r in packed.collect()} == {4}
