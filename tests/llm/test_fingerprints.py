@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import textwrap
 from collections import Counter
 from pathlib import Path
 
@@ -111,3 +112,35 @@ def test_license_rules(spark):
     got = sorted(((r.doc_id, r.licenses) for r in scan_licenses(docs).collect()), key=repr)
     assert got == sorted([(1, "MIT"), (2, "MIT,CC-BY-NC-4.0"), (None, ""), (4, ""), (5, ""), (5, "MIT")], key=repr)
     assert scan_licenses(docs.limit(0)).count() == 0
+
+
+MIT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."  # noqa: E501
+BSD = ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.", "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.", "3. Neither the name of Some University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."]  # noqa: E501
+APACHE = "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0"  # noqa: E501
+GPL = "This program is free software{} you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation{} either version {} of the License, or (at your option) any later version.\n\nYou should have received a copy of the GNU General Public License along with this program."  # noqa: E501
+ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."  # noqa: E501
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed"
+
+
+def test_wrapped_license_texts(spark):
+    def wrapped(text, width, mark=""):
+        return "\n".join(mark + line for part in text.split("\n") for line in (textwrap.wrap(part, width) or [""]))
+
+    texts = {
+        "MIT": MIT,
+        "BSD-3-Clause": "\n".join(BSD),
+        "BSD-2-Clause": "\n\n".join(BSD[:3]),
+        "Apache-2.0": "Copyright 2020 Someone\n\n" + APACHE,
+        "GPL-3.0": GPL.format(":", "General Public License", ",", 3),
+        "GPL-2.0": GPL.format(";", "General Public License", ";", 2),
+        "LGPL-2.1": GPL.format(";", "Lesser General Public License", ";", 2.1),
+        "AGPL-3.0": GPL.format(":", "Affero General Public License", ",", 3),
+        "ISC": ISC,
+        "MPL-2.0": MPL,
+        "CC-BY-4.0": "This work is licensed under CC BY 4.0.",
+    }
+    texts_2 = {"Apache-2.0": "   Apache License\n   Version 2.0, January 2004\n  http://www.apache.org/licenses/", "LGPL-3.0": "GNU LESSER GENERAL PUBLIC LICENSE\n Version 3, 29 June 2007\n\n"}  # noqa: E501
+    rows = [(n, wrapped(t, w, m)) for n, t in texts.items() for w in (40, 72, 80, 10_000) for m in ("", "# ", " * ", "// ")]
+    rows += [("BSD-3-Clause", " ".join(BSD)), ("", MIT.replace("any person", "no person")), *texts_2.items()]
+    docs = spark.createDataFrame(rows, "name string, text string")
+    assert [(r.name, r.licenses, r.text) for r in scan_licenses(docs).collect() if r.name != r.licenses] == []
