@@ -49,11 +49,14 @@ def lookup_slots(
     """Attach the looked-up values of every slot as ``<value>_<slot>`` columns.
 
     ``join`` broadcasts the lookup once and joins it per slot: no shuffle of the facts. ``long`` turns the
-    slots into rows, joins once and turns them back: for lookups too large to broadcast; needs a unique id.
-    ``auto`` chooses by counting the lookup.
+    slots into rows, joins once and turns them back: for lookups too large to broadcast. It goes by row numbers of its
+    own, so repeated and NULL ids give the rows of the join form; asked for by name it wants ``id_col`` all the same.
+    ``auto`` chooses by counting the lookup and works without ``id_col``.
     """
     lookup = lookup.select(code, *values)
     small = count_keys(lookup, [code]) <= BROADCAST_ROWS
+    if form == "long" and id_col is None:
+        raise ValueError("the long form needs id_col")
     if form == "auto":
         form = "join" if small else "long"
     if form == "join":
@@ -62,13 +65,14 @@ def lookup_slots(
             names = {code: f"_{s}", **{v: f"{v}_{s}" for v in values}}
             df = df.join(side.withColumnsRenamed(names), F.col(s) == F.col(f"_{s}"), "left").drop(f"_{s}")
         return df
-    if id_col is None:
-        raise ValueError("the long form needs id_col")
-    found = wide_to_long(df, id_col, slots).join(lookup.withColumnRenamed(code, "code"), "code", "inner")
-    wide = found.groupBy(id_col).agg(
-        *[F.max(F.when(F.col("slot") == s, F.col(v))).alias(f"{v}_{s}") for s in slots for v in values]
+    # Read twice below, so the rows are written before they are numbered by their place.
+    df = checkpointed(df).withColumn("_row", F.monotonically_increasing_id())
+    long = wide_to_long(df.select("_row", *slots), "_row", slots, "_slot", "_code")
+    found = long.join(lookup.withColumnRenamed(code, "_code"), "_code", "inner")
+    wide = found.groupBy("_row").agg(
+        *[F.first(F.when(F.col("_slot") == s, F.col(v)), ignorenulls=True).alias(f"{v}_{s}") for s in slots for v in values]
     )
-    return df.join(wide, id_col, "left")
+    return df.join(wide, "_row", "left").drop("_row")
 
 
 def lookup_long_wide(df: DataFrame, id_col: str, slots: Sequence[str], lookup: DataFrame, code: str, value: str) -> DataFrame:

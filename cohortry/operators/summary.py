@@ -6,13 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, NumericType, StringType
+from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from cohortry.operators.comparisons import group_tests, normality
 from cohortry.operators.counts import with_share
 from cohortry.operators.order_stats import exact_quantiles
 
 ALL = "[ALL]"
+PROFILE = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0}
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
@@ -29,11 +30,14 @@ def missing_table(df: DataFrame, columns: Sequence[str], by: str | None = None)
 
 
 def column_summary(df: DataFrame, ranges: int | None = None) -> DataFrame:
-    """Profile of every column by type: missing, mean, sd, quantiles; number of levels for text; share for booleans."""
+    """Profile of every column by type: missing, mean, sd, quantiles; number of levels for text; share for booleans.
+
+    With date or timestamp columns there are also t_p0 to t_p100, their quantiles as timestamps."""
     numeric = [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
     logical = [f.name for f in df.schema if isinstance(f.dataType, BooleanType)]
     text = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
-    out = missing_table(df, [*numeric, *logical, *text]).drop("pct_missing")
+    temporal = [f.name for f in df.schema if isinstance(f.dataType, (DateType, TimestampType, TimestampNTZType))]
+    out = missing_table(df, [*numeric, *logical, *text, *temporal]).drop("pct_missing")
     means = [F.avg(F.col(c).cast("double")).alias(c) for c in [*numeric, *logical]]
     sds = [F.stddev_samp(F.col(c).cast("double")).alias(c) for c in [*numeric, *logical]]
     names = [*numeric, *logical]
@@ -51,8 +55,12 @@ def column_summary(df: DataFrame, ranges: int | None = None) -> DataFrame:
         )
         out = out.join(long, "variable", "left")
     if numeric:
-        probs = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0}
-        out = out.join(exact_quantiles(df, numeric, probs, ranges=ranges).drop("total"), "variable", "left")
+        out = out.join(exact_quantiles(df, numeric, PROFILE, ranges=ranges).drop("total"), "variable", "left")
+    if temporal:
+        seen = df.select(*[F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in temporal])
+        at = exact_quantiles(seen, temporal, PROFILE, ranges=ranges)
+        times = [F.timestamp_micros(F.round(p).cast("bigint")).alias(f"t_{p}") for p in PROFILE]
+        out = out.join(at.select("variable", *times), "variable", "left")
     if text:
         values = df.select(*text).unpivot([], text, "variable", "value").dropna().distinct()
         out = out.join(values.groupBy("variable").agg(F.count(F.lit(1)).alias("n_levels")), "variable", "left")

@@ -298,3 +298,25 @@ def test_anova_does_not_change_when_values_are_shifted(spark):
 def test_kruskal_wallis_of_one_value_is_null(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", None)], "g string, v double")
     assert all(r.statistic is None for r in comparisons.kruskal_wallis(df, "g", ["v"]).collect())
+
+
+def test_large_lookups_give_the_rows_of_small_ones(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a", "b"), (1, "b", None), (None, "a", "a"), (None, None, "x"), (2, None, None)], "id int, s1 string, s2 string")
+    lookup = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "code string, v int")
+    small = slots.lookup_slots(df, ["s1", "s2"], lookup, "code", ["v"])
+    monkeypatch.setattr(slots, "BROADCAST_ROWS", 2)
+    for id_col in (None, "id"):
+        large = slots.lookup_slots(df, ["s1", "s2"], lookup, "code", ["v"], id_col)
+        assert large.columns == small.columns
+        assert sorted(rows(large), key=repr) == sorted(rows(small), key=repr)
+    codes = lookup.selectExpr("code", "concat('group ', v) AS category", "v AS priority")
+    got = slots.classify(df, ["s1", "s2"], codes)
+    assert sorted(rows(got.select("category_s1")), key=repr) == [("group 1",), ("group 1",), ("group 2",), (None,), (None,)]
+
+
+def test_column_summary_profiles_dates(spark):
+    df = spark.sql("SELECT DATE'2011-01-01' AS d, TIMESTAMP'2011-01-01 06:00:00' AS t, 1 AS n UNION ALL SELECT DATE'2011-01-03', NULL, 2 UNION ALL SELECT NULL, NULL, 3")
+    got = {r["variable"]: r for r in summary.column_summary(df).selectExpr("variable", "n_missing", "p50", "string(t_p0) AS lo", "string(t_p50) AS mid", "string(t_p100) AS hi").collect()}
+    assert tuple(got["d"])[1:] == (1, None, "2011-01-01 00:00:00", "2011-01-02 00:00:00", "2011-01-03 00:00:00")
+    assert tuple(got["t"])[1:] == (2, None, *["2011-01-01 06:00:00"] * 3)
+    assert got["n"]["p50"] == 2.0 and got["n"]["lo"] is None
