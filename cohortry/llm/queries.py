@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortry.llm.alignment import align_tokenizers
+from cohortry.llm.captures import archived_pages
 from cohortry.llm.common import table
 from cohortry.llm.decontamination import mark_contaminated
+from cohortry.llm.fill_in_middle import fill_in_middle_digests
 from cohortry.llm.language import language
 from cohortry.llm.licenses import oracle as license_sql
 from cohortry.llm.licenses import scan_licenses
@@ -109,3 +112,56 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_fingerprints")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op11_tokenizer_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = map(public_tokenizers.path, ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align_tokenizers(table(spark, sf_dir, "documents"), a, b)
+
+
+CAPTURE_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, coalesce(url, '') AS url, sha1(coalesce(html, '')) AS hex FROM pages),
+k AS (SELECT html, max(page_id) AS kept FROM p GROUP BY html),
+u AS (SELECT *, '^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?(?:[^@/?#]*@)?([^/:?#]*)(?::([0-9]+))?([^#]*)' AS parts,
+  array_to_string(list_transform(string_split(hex, ''), lambda c: substr(
+    '0000000100100011010001010110011110001001101010111100110111101111', 4 * instr('0123456789abcdef', c) - 3, 4)), '') AS bits FROM p),
+d AS (SELECT page_id, html, array_to_string(list_transform(range(0, 160, 5), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + 16 * bits[i + 1]::INT + 8 * bits[i + 2]::INT + 4 * bits[i + 3]::INT + 2 * bits[i + 4]::INT + bits[i + 5]::INT, 1)), '') AS digest,
+  regexp_replace(lower(regexp_extract(url, parts, 1)), '^www[.]', '') AS host, regexp_extract(url, parts, 2) AS port,
+  regexp_extract(url, parts, 3) AS rest, url FROM u),
+e AS (SELECT *, CASE WHEN url = '' THEN '' ELSE array_to_string(list_reverse(string_split(host, '.')), ',')
+    || CASE WHEN port IN ('', '80', '443') THEN '' ELSE ':' || port END || ')' || CASE WHEN rest = '' THEN '/' ELSE rest END END AS url_key,
+  strftime(TIMESTAMP '2000-01-01' + to_seconds(coalesce(page_id, 0)), '%Y%m%d%H%M%S') AS captured FROM d)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> kept THEN kept END AS refers_to,
+  url_key, captured, row_number() OVER (ORDER BY url_key, captured, page_id) - 1 AS capture_rank
+FROM e JOIN k USING (html)
+"""
+
+
+@query("op12_captures", CAPTURE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(spark, table(spark, sf_dir, "pages"))
+
+
+MIDDLE_SQL = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || CAST(doc_id AS VARCHAR)) AS hex,
+  regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS units FROM documents),
+h AS (SELECT *, len(units) AS n, ('0x' || hex[1:8])::UBIGINT AS h1, ('0x' || hex[9:16])::UBIGINT AS h2,
+  ('0x' || hex[17:24])::UBIGINT AS h3, ('0x' || hex[25:32])::UBIGINT AS h4 FROM t),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS low, greatest(h1 % (n + 1), h2 % (n + 1)) AS high,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+    WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h),
+s AS (SELECT *, array_to_string(units[1:low::BIGINT], '') AS prefix, array_to_string(units[low::BIGINT + 1:high::BIGINT], '') AS middle,
+  array_to_string(units[high::BIGINT + 1:], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM s
+"""
+
+
+@query("op13_fill_in_middle", MIDDLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle_digests(table(spark, sf_dir, "documents"))
