@@ -8,6 +8,7 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -64,6 +65,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write the frame column by column to the shared folder and read it back: lineage ends there, and later readers
+    fetch only the columns they use."""
+    path = scratch_path(df.sparkSession, name)
+    # Parquet has no column without a type.
+    untyped = [f.name for f in df.schema if isinstance(f.dataType, NullType)]
+    typed = df.withColumns({c: F.col(c).cast("string") for c in untyped})
+    typed.write.parquet(path)
+    back = df.sparkSession.read.schema(typed.schema).parquet(path)
+    return back.withColumns({c: F.lit(None) for c in untyped})
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when a bounded count proves the frame small; else leave the join to Spark."""
     if df.limit(max_rows + 1).count() <= max_rows:

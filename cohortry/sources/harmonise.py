@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from cohortry.functions.dates import parse_date
+from cohortry.sources.loads import highest_id, replace_partitions
 from cohortry.sources.numbering import number_rows
 
 
@@ -181,23 +181,39 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def combine(inpatient: Sequence[DataFrame], emergency: Sequence[DataFrame]) -> DataFrame:
-    """All years of both sources in one plan, numbered per (source, year) by date, with a running id.
+def combine(
+    inpatient: Sequence[DataFrame], emergency: Sequence[DataFrame], order: Sequence[str] = ("start_date",), after: int = 0
+) -> DataFrame:
+    """All years of both sources in one plan, numbered per (source, year) by date, with a running id behind ``after``.
 
     The frames are the yearly files as read (column and row selections included)."""
     parts = [*map(harmonise_inpatient, inpatient), *map(harmonise_emergency, emergency)]
     rows = union_all(parts).drop("id", "db_row_n")
-    done = number_rows(rows, ["start_date"], batch=["database", "start_year"], running_id="id", from_files=True)
+    done = number_rows(rows, order, batch=["database", "start_year"], running_id="id", from_files=True, after=after)
     return done.select(*[F.col(n).cast(k).alias(n) for n, k in HARMONISED])
 
 
 def append_combined(df: DataFrame, path: str) -> None:
-    """Append to the encounter table; partitioned so that a study year prunes to its own files."""
-    df.write.mode("append").partitionBy("database", "start_year").parquet(path)
+    """Put combined rows into the encounter table, which is partitioned so that a study year prunes to its own files.
+    The (source, year) batches of the frame replace those of the table, so a load that runs again adds no row."""
+    replace_partitions(df, path, ["database", "start_year"])
+
+
+def load_encounters(
+    spark: SparkSession,
+    path: str,
+    inpatient: Sequence[DataFrame] = (),
+    emergency: Sequence[DataFrame] = (),
+    order: Sequence[str] = ("start_date",),
+) -> DataFrame:
+    """Combine yearly files into the encounter table at ``path``, with ids that go on from its highest; the table as it is then."""
+    append_combined(combine(inpatient, emergency, order, highest_id(spark, path)), path)
+    return read_encounters(spark, path)
 
 
-def harmonised_schema() -> StructType:
-    return StructType.fromDDL(", ".join(f"`{n}` {k}" for n, k in HARMONISED))
+def read_encounters(spark: SparkSession, path: str) -> DataFrame:
+    """The encounter table with its columns in order; types are given, not inferred from folder names."""
+    return spark.read.schema(", ".join(f"`{n}` {k}" for n, k in HARMONISED)).parquet(path).select(*[n for n, _ in HARMONISED])
 
 
 def code_system(start_date: Column | str, switch: str = "2015-10-01") -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortry.session import broadcast_if_small, checkpointed
+from cohortry.session import broadcast_if_small, stored
 
 # monotonically_increasing_id keeps the position inside the partition in its lower 33 bits.
 POSITION_BITS = 33
@@ -20,47 +20,42 @@ def number_rows(
     row_number: str = "db_row_n",
     running_id: str | None = None,
     from_files: bool = False,
+    after: int = 0,
 ) -> DataFrame:
-    """Row number per batch in the given order, and optionally one running id over all batches.
+    """Row number per batch in the given order, and optionally one running id over all batches that starts behind ``after``.
 
     The rows are range-partitioned over batch and order (the scan position breaks ties, so equal keys still
-    spread over partitions), sorted inside the partitions and checkpointed once. The number is then the
-    position inside the partition plus an offset per partition; only the partition counts are summed up in
-    one place, and there are as many as partitions.
+    spread over partitions), sorted inside the partitions and written once, column by column, with their partition and
+    position. Where each batch starts in each partition is counted from these two columns (and the batch) alone, and the
+    rows are read once more to add it. Only one count per partition meets in one place.
 
     The scan position must be the same when a lost task runs again. It is for rows read from files (``from_files``);
-    rows that come out of a shuffle are checkpointed before.
+    rows that come out of a shuffle are written before.
     """
-    df = df if from_files else checkpointed(df)
+    df = df if from_files else stored(df, "unnumbered")
     keys = [*[F.col(c) for c in batch], *[F.col(c) if isinstance(c, str) else c for c in order]]
     tied = df.withColumn("_scan", F.monotonically_increasing_id())
     partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     ranged = tied.repartitionByRange(partitions, *keys, "_scan").sortWithinPartitions(*keys, "_scan")
-    placed = ranged.withColumns(
-        {
-            "_part": F.spark_partition_id(),
-            "_pos": F.monotonically_increasing_id().bitwiseAND(F.lit((1 << POSITION_BITS) - 1)),
-        }
-    )
-    placed = checkpointed(placed.drop("_scan"))
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    placed = stored(ranged.withColumns({"_part": F.spark_partition_id(), "_pos": position}).drop("_scan"), "placed")
 
-    per_part = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    runs = placed.groupBy(*batch, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    global_id = placed.join(F.broadcast(offsets), "_part").withColumn("_id", F.col("_offset") + F.col("_pos") + 1)
-
+    per_part = runs.groupBy("_part").agg(F.sum("_n").alias("_rows"))
+    offsets = per_part.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     if batch:
-        first = global_id.groupBy(*batch).agg(F.min("_id").alias("_first"))
-        first = first.withColumnsRenamed({c: f"_b_{c}" for c in batch})
-        same = [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in batch]
-        global_id = global_id.join(broadcast_if_small(first), same).withColumn(row_number, F.col("_id") - F.col("_first") + 1)
+        # One row per batch and partition it lies in.
+        starts = runs.join(F.broadcast(offsets), "_part").withColumn("_start", F.col("_offset") + F.col("_first"))
+        starts = starts.withColumn("_batch", F.min("_start").over(Window.partitionBy(*batch)))
+        starts = stored(starts.select("_part", "_offset", "_batch", *[F.col(c).alias(f"_b_{c}") for c in batch]), "starts")
+        same = [placed["_part"] == starts["_part"], *[F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in batch]]
+        found = placed.join(broadcast_if_small(starts), same)
     else:
-        global_id = global_id.withColumn(row_number, F.col("_id"))
-    out = [*df.columns, row_number]
-    if running_id:
-        global_id = global_id.withColumn(running_id, F.col("_id"))
-        out = [running_id, *out]
-    return global_id.select(*out)
+        found = placed.join(F.broadcast(offsets.withColumn("_batch", F.lit(0))), "_part")
+    at = F.col("_offset") + F.col("_pos") + 1
+    ids = [(at + F.lit(after)).alias(running_id)] if running_id else []
+    return found.select(*ids, *df.columns, (at - F.col("_batch")).alias(row_number))
 
 
 def sparse_id(df: DataFrame, name: str = "id", start: int = 0) -> DataFrame:
