@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from catalogue import coding, cohorts, loads, rates, scalars, storage, study, surface, tables  # noqa: F401
+from catalogue import coding, cohorts, loads, rates, reference, scalars, storage, study, surface, tables  # noqa: F401

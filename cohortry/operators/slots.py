@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.operators.joins import count_keys
-from cohortry.session import BROADCAST_ROWS, broadcast_if_small, checkpointed
+from cohortry.session import BROADCAST_ROWS, broadcast_if_small, stored
 
 def wide_to_long(df: DataFrame, id_col: str, cols: Sequence[str], slot: str = "slot", code: str = "code") -> DataFrame:
     """One row per id and slot; empty slots stay as NULL codes."""
@@ -65,8 +65,8 @@ def lookup_slots(
             names = {code: f"_{s}", **{v: f"{v}_{s}" for v in values}}
             df = df.join(side.withColumnsRenamed(names), F.col(s) == F.col(f"_{s}"), "left").drop(f"_{s}")
         return df
-    # Read twice below, so the rows are written before they are numbered by their place.
-    df = checkpointed(df).withColumn("_row", F.monotonically_increasing_id())
+    # Written once with their numbers; the lookup reads the numbers and slots only.
+    df = stored(df.withColumn("_row", F.monotonically_increasing_id()), "numbered-slots")
     long = wide_to_long(df.select("_row", *slots), "_row", slots, "_slot", "_code")
     found = long.join(lookup.withColumnRenamed(code, "_code"), "_code", "inner")
     wide = found.groupBy("_row").agg(
@@ -106,15 +106,41 @@ def classify(
     ``codes`` has code, category and priority. ``match="prefix"`` reads the listed codes as stems: a code also
     matches when a listed stem begins it. ``mode="multi"`` gives an array of all categories instead of the first.
     """
+    codes = codes.select("code", category, "priority")
     if match == "prefix":
+        n_stems, shortest = codes.agg(F.count(F.lit(1)), F.min(F.length("code"))).first()
+        if n_stems <= BROADCAST_ROWS:
+            return classify_stems(df, slots, stem_index(codes, category, shortest or 1), shortest or 1, category, mode)
         # Derived from the facts, so it is written once before the lookups check and join it.
-        codes = checkpointed(expand_stems(df, slots, codes.select("code", category, "priority"), category))
+        codes = stored(expand_stems(df, slots, codes, category), "expanded-stems")
     if mode == "multi":
         lists = all_categories(codes, "code", category, "priority").withColumnRenamed("categories", category)
         return lookup_slots(df, slots, lists, "code", [category], form="join")
     return lookup_slots(df, slots, first_category(codes, "code", category, "priority"), "code", [category])
 
 
+def stem_index(codes: DataFrame, category: str, shortest: int) -> DataFrame:
+    """Listed stems by their first ``shortest`` characters: (head, stems), a head's stems in priority order.
+
+    ``shortest`` is the length of the shortest stem, so every stem that begins a code shares the code's head."""
+    entry = F.struct("priority", F.col("code").alias("stem"), F.col(category).alias("category"))
+    return codes.groupBy(F.substring("code", 1, shortest).alias("head")).agg(F.sort_array(F.collect_set(entry)).alias("stems"))
+
+
+def classify_stems(df: DataFrame, slots: Sequence[str], index: DataFrame, shortest: int, category: str, mode: str) -> DataFrame:
+    """Categories by a broadcast stem index: one join per slot on the head, all of them with the same broadcast side; the facts
+    are neither read again nor moved."""
+    side = F.broadcast(index)
+    for s in slots:
+        own = side.select(F.col("head").alias(f"_h_{s}"), F.col("stems").alias(f"_s_{s}"))
+        df = df.join(own, F.substring(s, 1, shortest) == F.col(f"_h_{s}"), "left")
+        hits = F.filter(f"_s_{s}", lambda e: F.col(s).startswith(e["stem"]))
+        names = F.array_distinct(F.transform(hits, lambda e: e["category"]))
+        found = F.when(F.size(names) > 0, names) if mode == "multi" else F.get(names, F.lit(0))
+        df = df.withColumn(f"{category}_{s}", found).drop(f"_h_{s}", f"_s_{s}")
+    return df
+
+
 def expand_stems(df: DataFrame, slots: Sequence[str], codes: DataFrame, category: str) -> DataFrame:
     """The distinct codes of the data that begin with a listed stem, by equality on every stem length."""
     stems = codes.withColumnRenamed("code", "stem")

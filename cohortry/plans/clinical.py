@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.functions.levels import factor, flag_factor
@@ -14,6 +14,7 @@ from cohortry.functions.rowwise import row_any, row_count_true, row_max
 from cohortry.functions.text import replace_text, safe_cast, strip_chars
 from cohortry.operators.joins import lookup_join
 from cohortry.operators.slots import classify, lookup_slots
+from cohortry.sources.reference import Vintage, label_at, read_reference
 
 # The 18 multi-level groups in order of their number.
 CCS_GROUPS = [
@@ -111,6 +112,27 @@ def code_table(raw: DataFrame, groups: Sequence[str] = tuple(CCC_GROUPS)) -> Dat
     ).filter(F.col("priority").isNotNull())
 
 
+def read_code_table(spark: SparkSession, vintages: Sequence[Vintage], groups: Sequence[str] = tuple(CCC_GROUPS)) -> DataFrame:
+    """Published condition-group lists (code_system, code, category), each file a vintage, with their groups' priority.
+    A code may be in several groups of its system, but only once in each; a category that is no group is an error."""
+    listed = read_reference(spark, vintages, ["code_system", "code", "category"], [])
+    out = code_table(listed, groups)
+    unknown = listed.join(out, ["code_system", "code", "category"], "left_anti").select("vintage", "category").first()
+    if unknown:
+        raise ValueError(f"{unknown['vintage']}: no group is called {unknown['category']!r}")
+    return out
+
+
+def read_single_labels(spark: SparkSession, vintages: Sequence[Vintage]) -> DataFrame:
+    """Single-level label lists (category, label), each file a vintage; a category without a label keeps NULL."""
+    return read_reference(spark, vintages, ["category"], ["label"])
+
+
+def ccs_single_label_at(df: DataFrame, labels: DataFrame, vintages: Sequence[Vintage], day: str, col: str = "ccs_dx_prin") -> DataFrame:
+    """``ccs285_label`` from the list that held on the row's day."""
+    return label_at(df, labels, vintages, day, {"category": col}, {"label": "ccs285_label"})
+
+
 def ccc_classify(
     df: DataFrame, slots: Sequence[str], codes: DataFrame, system: str = "icd9_dx", match: str = "exact", mode: str = "first"
 ) -> DataFrame:
