@@ -15,6 +15,29 @@ from cohortry.plans.encounter import outcome_classify
 NUMBERS = ["charge", "quantity", "age"]
 
 
+def simpson_sql(begin: str, end: str, density: str, steps: int = 4000) -> str:
+    """Simpson's rule over u from ``begin`` to ``end``."""
+    at = density.replace("u", f"({begin} + i * (({end}) - ({begin})) / {steps})")
+    weight = f"CASE WHEN i IN (0, {steps}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return f"(({end}) - ({begin})) / {3 * steps} * list_sum(list_transform(range(0, {steps + 1}), lambda i: {weight} * ({at})))"
+
+
+def chi2_sql(x: str, df: str) -> str:
+    """Upper tail of the chi-square density, summed on the log scale."""
+    a, begin = f"(({df}) / 2.0)", f"ln(({x}) / 2)"
+    end = f"ln(greatest(({x}) / 2, {a}) + 40 * sqrt({a} + 1) + 60)"
+    return f"CASE WHEN ({x}) <= 0 THEN 1.0 ELSE {simpson_sql(begin, end, f'EXP({a} * u - EXP(u) - LGAMMA({a}))')} END"
+
+
+def f_sql(x: str, df1: str, df2: str) -> str:
+    """Upper tail of the F density, summed on the log-odds scale; for many degrees of freedom below."""
+    a, b = f"(({df1}) / 2.0)", f"(({df2}) / 2.0)"
+    odds = f"(({df1}) * ({x}) / ({df2}))"
+    end = f"ln((greatest({b} * {odds}, {a}) + 40 * sqrt({a} + 1) + 60) / {b})"
+    density = f"EXP({a} * u - ({a} + {b}) * LN(1 + EXP(u)) - LGAMMA({a}) - LGAMMA({b}) + LGAMMA({a} + {b}))"
+    return f"CASE WHEN ({x}) <= 0 THEN 1.0 ELSE {simpson_sql(f'ln({odds})', end, density)} END"
+
+
 def frame(spark, d):
     return outcome_classify(encounters(spark, d))
 
@@ -103,13 +126,14 @@ def describe_by(spark, d):
 @query(
     "chi_square",
     f"""WITH {ENC}, {CAT_BLOCK}, e AS (SELECT variable, level, grp, CAST(n AS DOUBLE) AS o, CAST(sum(n) OVER (PARTITION BY variable, level) AS DOUBLE) AS r,
-  CAST(sum(n) OVER (PARTITION BY variable, grp) AS DOUBLE) AS k, CAST(sum(n) OVER (PARTITION BY variable) AS DOUBLE) AS t FROM c)
-SELECT variable, CAST(max(t) AS BIGINT) AS n, round(max(t) * sum(o * o / (r * k)) - max(t), 4) AS statistic,
-  (count(DISTINCT level) - 1) * (count(DISTINCT grp) - 1) AS df FROM e GROUP BY variable""",
+  CAST(sum(n) OVER (PARTITION BY variable, grp) AS DOUBLE) AS k, CAST(sum(n) OVER (PARTITION BY variable) AS DOUBLE) AS t FROM c),
+x AS (SELECT variable, CAST(max(t) AS BIGINT) AS n, max(t) * sum(o * o / (r * k)) - max(t) AS s,
+  (count(DISTINCT level) - 1) * (count(DISTINCT grp) - 1) AS df FROM e GROUP BY variable)
+SELECT variable, n, round(s, 4) AS statistic, df, round({chi2_sql('s', 'df')}, 6) AS p_value FROM x""",
 )
 def chi_square(spark, d):
     out = comparisons.chi_square(frame(spark, d), "outcome", CATEGORIES)
-    return rounded(out.drop("p_value"), 4)
+    return rounded(out).withColumn("statistic", F.round("statistic", 4))
 
 
 def moved_by_rural(spark, d):
@@ -144,9 +168,7 @@ def fisher_exact_2x2(spark, d):
     return rounded(comparisons.fisher_exact(moved_by_rural(spark, d)))
 
 
-@query(
-    "group_difference_tests",
-    f"""WITH {ENC}, l AS ({long_sql(NUMBERS, 'DOUBLE')}), v AS (SELECT * FROM l WHERE grp IS NOT NULL AND value IS NOT NULL),
+MEAN_RANKS = f"""l AS ({long_sql(NUMBERS, 'DOUBLE')}), v AS (SELECT * FROM l WHERE grp IS NOT NULL AND value IS NOT NULL),
 g AS (SELECT variable, grp, count(*) AS n, avg(value) AS m, var_samp(value) AS s2 FROM v GROUP BY ALL),
 a AS (SELECT variable, CAST(sum(n) AS BIGINT) AS n, count(*) AS k, sum(n * m * m) - sum(n * m) * sum(n * m) / sum(n) AS ssb, sum((n - 1) * s2) AS ssw
   FROM g GROUP BY variable),
@@ -154,35 +176,64 @@ r AS (SELECT variable, grp, value, rank() OVER w + (count(*) OVER (PARTITION BY
   count(*) OVER (PARTITION BY variable, value) AS t FROM v WINDOW w AS (PARTITION BY variable ORDER BY value)),
 rs AS (SELECT variable, grp, count(*) AS n, sum(CAST(rk AS DOUBLE)) AS s FROM r GROUP BY ALL),
 ties AS (SELECT variable, sum(CAST(t AS DOUBLE) * t - 1) AS ties FROM r GROUP BY variable),
-h AS (SELECT variable, CAST(sum(n) AS DOUBLE) AS n, sum(s * s / n) AS q FROM rs GROUP BY variable)
-SELECT variable, a.n, round((ssb / (k - 1)) / (ssw / (a.n - k)), 4) AS f, k - 1 AS df1, a.n - k AS df2,
-  round((12 / (h.n * (h.n + 1)) * q - 3 * (h.n + 1)) / (1 - ties / (h.n * h.n * h.n - h.n)), 4) AS h
-FROM a JOIN h USING (variable) JOIN ties USING (variable)""",
+h AS (SELECT variable, CAST(sum(n) AS DOUBLE) AS n, sum(s * s / n) AS q FROM rs GROUP BY variable),
+fh AS (SELECT variable, a.n, (ssb / (k - 1)) / (ssw / (a.n - k)) AS f, k - 1 AS df1, a.n - k AS df2,
+  (12 / (h.n * (h.n + 1)) * q - 3 * (h.n + 1)) / (1 - ties / (h.n * h.n * h.n - h.n)) AS h FROM a JOIN h USING (variable) JOIN ties USING (variable))"""
+
+
+@query(
+    "group_difference_tests",
+    f"""WITH {ENC}, {MEAN_RANKS}
+SELECT variable, n, round(f, 4) AS f, df1, df2, round(h, 4) AS h, round({f_sql('f', 'df1', 'df2')}, 6) AS p_f, round({chi2_sql('h', 'df1')}, 6) AS p_h FROM fh""",
 )
 def group_difference_tests(spark, d):
     df = frame(spark, d)
-    f = comparisons.anova(df, "outcome", NUMBERS).select("variable", "n", F.col("statistic").alias("f"), "df1", "df2")
-    h = comparisons.kruskal_wallis(df, "outcome", NUMBERS).select("variable", F.col("statistic").alias("h"))
-    return rounded(f.join(h, "variable"), 4)
+    f = comparisons.anova(df, "outcome", NUMBERS).select(
+        "variable", "n", F.round("statistic", 4).alias("f"), "df1", "df2", F.round("p_value", 6).alias("p_f")
+    )
+    h = comparisons.kruskal_wallis(df, "outcome", NUMBERS)
+    return f.join(h.select("variable", F.round("statistic", 4).alias("h"), F.round("p_value", 6).alias("p_h")), "variable")
+
+
+def shape_sql(values: str) -> str:
+    """Skewness, kurtosis and the Jarque-Bera statistic of (variable, value) rows."""
+    return f"""m AS (SELECT variable, count(*) AS n, avg(value) AS mu FROM {values} GROUP BY variable),
+cm AS (SELECT variable, max(n) AS n, avg(power(value - mu, 2)) AS m2, avg(power(value - mu, 3)) AS m3, avg(power(value - mu, 4)) AS m4
+  FROM {values} JOIN m USING (variable) GROUP BY variable),
+jb AS (SELECT variable, n, m3 / power(m2, 1.5) AS skewness, m4 / (m2 * m2) - 3 AS kurtosis,
+  n / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4) AS statistic FROM cm)"""
 
 
 @query(
     "normality_check",
-    f"""WITH {ENC}, v AS ({long_sql(NUMBERS, 'DOUBLE')}), m AS (SELECT variable, count(*) AS n, avg(value) AS mu FROM v GROUP BY variable),
-c AS (SELECT variable, max(n) AS n, avg(power(value - mu, 2)) AS m2, avg(power(value - mu, 3)) AS m3, avg(power(value - mu, 4)) AS m4
-  FROM v JOIN m USING (variable) GROUP BY variable)
-SELECT variable, n, round(m3 / power(m2, 1.5), 4) AS skewness, round(m4 / (m2 * m2) - 3, 4) AS kurtosis,
-  round(n / 6.0 * (power(m3 / power(m2, 1.5), 2) + power(m4 / (m2 * m2) - 3, 2) / 4), 2) AS statistic FROM c""",
+    f"""WITH {ENC}, means AS (SELECT 'mean of 50 prices' AS variable, avg(l_extendedprice) AS value FROM lineitem GROUP BY l_orderkey // 15),
+v AS (SELECT variable, value FROM ({long_sql(NUMBERS, 'DOUBLE')}) UNION ALL FROM means), {shape_sql('v')}
+SELECT variable, n, round(skewness, 4) AS skewness, round(kurtosis, 4) AS kurtosis, round(statistic, 2) AS statistic,
+  round(exp(-statistic / 2), 6) AS p_value, exp(-statistic / 2) > 0.05 AS is_normal FROM jb""",
 )
 def normality_check(spark, d):
-    out = comparisons.normality(frame(spark, d), NUMBERS)
-    return rounded(out.drop("p_value", "is_normal"), 4).withColumn("statistic", F.round("statistic", 2))
+    """Rows' numbers and one that comes close to normal: the mean of many prices."""
+    means = table(spark, d, "lineitem").groupBy(F.expr("l_orderkey DIV 15")).agg(F.avg("l_extendedprice").alias("mean of 50 prices"))
+    out = comparisons.normality(frame(spark, d), NUMBERS).unionByName(comparisons.normality(means, ["mean of 50 prices"]))
+    out = out.withColumn("p_value", F.round("p_value", 6)).withColumn("statistic", F.round("statistic", 2))
+    return out.withColumns({c: F.round(c, 4) for c in ("skewness", "kurtosis")})
 
 
-@query("table_tests")
+@query(
+    "table_tests",
+    f"""WITH {ENC}, {CAT_BLOCK}, e AS (SELECT variable, level, grp, CAST(n AS DOUBLE) AS o, CAST(sum(n) OVER (PARTITION BY variable, level) AS DOUBLE) AS r,
+  CAST(sum(n) OVER (PARTITION BY variable, grp) AS DOUBLE) AS k, CAST(sum(n) OVER (PARTITION BY variable) AS DOUBLE) AS t FROM c),
+x AS (SELECT variable, max(t) * sum(o * o / (r * k)) - max(t) AS s, (count(DISTINCT level) - 1) * (count(DISTINCT grp) - 1) AS df FROM e GROUP BY variable),
+{MEAN_RANKS}, w AS (SELECT variable, value FROM l WHERE value IS NOT NULL), {shape_sql('w')}
+SELECT variable, 'chi-square' AS test, round(s, 4) AS statistic, df, round({chi2_sql('s', 'df')}, 6) AS p_value FROM x
+UNION ALL SELECT variable, CASE WHEN exp(-statistic / 2) > 0.05 THEN 'anova' ELSE 'kruskal-wallis' END,
+  round(CASE WHEN exp(-statistic / 2) > 0.05 THEN f ELSE h END, 4), df1,
+  round(CASE WHEN exp(-statistic / 2) > 0.05 THEN {f_sql('f', 'df1', 'df2')} ELSE {chi2_sql('h', 'df1')} END, 6) FROM fh JOIN jb USING (variable)""",
+)
 def table_tests(spark, d):
     """Test and p-value per variable, the test chosen by the normality check."""
-    return summary.table_results(frame(spark, d), "outcome", CATEGORIES, NUMBERS)["tests"]
+    out = summary.table_results(frame(spark, d), "outcome", CATEGORIES, NUMBERS)["tests"]
+    return out.withColumn("statistic", F.round("statistic", 4)).withColumn("p_value", F.round("p_value", 6))
 
 
 @query(
@@ -195,6 +246,24 @@ def logit_query(spark, d):
     return rounded(fitted.select("term", "estimate", "std_error"), 4)
 
 
+@query(
+    "logit_separated",
+    f"""WITH {ENC}, k AS (SELECT CASE WHEN ed_disp = 1 THEN 'sent home' WHEN line % 2 = 1 THEN 'odd' ELSE 'even' END AS kind, outcome = 'transferred' AS y,
+  database FROM enc WHERE outcome IS NOT NULL),
+t AS (SELECT CAST(count(*) FILTER (WHERE kind = 'odd' AND y) AS DOUBLE) AS a, CAST(count(*) FILTER (WHERE kind = 'odd' AND NOT y) AS DOUBLE) AS b,
+  CAST(count(*) FILTER (WHERE kind = 'even' AND y) AS DOUBLE) AS c, CAST(count(*) FILTER (WHERE kind = 'even' AND NOT y) AS DOUBLE) AS d FROM k)
+SELECT 'kind=odd' AS term, round(ln(a) + ln(d) - ln(b) - ln(c), 4) AS estimate, round(sqrt(1 / a + 1 / b + 1 / c + 1 / d), 4) AS std_error, 'ok' AS status FROM t
+UNION ALL SELECT '(intercept)', round(ln(c / d), 4), round(sqrt(1 / c + 1 / d), 4), 'ok' FROM t
+UNION ALL SELECT 'kind=sent home', NULL, NULL, 'separated' FROM k WHERE kind = 'sent home' HAVING count(*) FILTER (WHERE y) = 0 AND count(*) > 0
+UNION ALL SELECT 'kind=none', NULL, NULL, 'no rows'""",
+)
+def logit_separated(spark, d):
+    """A level that never has the outcome, and one without rows, beside levels that are estimated."""
+    kind = F.when(F.col("ed_disp") == 1, "sent home").when(F.col("line") % 2 == 1, "odd").otherwise("even")
+    fitted = logit(frame(spark, d).withColumn("kind", kind), F.col("transferred"), [Factor("kind", ("even", "odd", "sent home", "none"))])
+    return rounded(fitted.select("term", "estimate", "std_error", "status"), 4)
+
+
 @query(
     "or_table",
     f"""{CELLS}, e AS (SELECT 'small_rural=True' AS term, ln(a) + ln(d) - ln(b) - ln(c) AS b, sqrt(1.0 / a + 1.0 / b + 1.0 / c + 1.0 / d) AS se FROM t

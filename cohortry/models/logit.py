@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -13,42 +14,140 @@ from pyspark.sql import functions as F
 from cohortry.functions.numeric import interval_text, scientific
 from cohortry.functions.tails import normal_two_sided, p_value
 from cohortry.models.design import Factor, Number, Term, complete, design_columns
+from cohortry.session import stored
 
 Z95 = 1.959963984540054
 
 
+INTERCEPT = "(intercept)"
+OK, SEPARATED, NO_ROWS, NOT_ESTIMABLE = "ok", "separated", "no rows", "not estimable"
+# A standard error of this many units of the term's own spread has no likelihood behind it.
+FLAT = 100.0
+
+
 def patterns(df: DataFrame, outcome: Column, terms: Sequence[Term]) -> DataFrame:
-    """One row per covariate pattern: design columns, rows and rows with the outcome."""
-    names = [n for n, _ in design_columns(terms)]
+    """One row per pattern of the terms' own columns: rows and rows with the outcome."""
     rows = df.filter(complete(terms) & outcome.isNotNull()).select(
-        outcome.cast("int").alias("_y"), *[c.alias(n) for n, c in design_columns(terms)]
+        outcome.cast("int").alias("_y"), *[F.col(c) for c in dict.fromkeys(t.column for t in terms)]
     )
+    names = [c for c in rows.columns if c != "_y"]
     return rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_events"))
 
 
+def separation(pat: DataFrame, terms: Sequence[Term]) -> tuple[dict[tuple[int, object], str], DataFrame, int, int]:
+    """Which factor levels have rows with one outcome only (or none); the patterns without them, their rows and those with the outcome.
+
+    Such a level's estimate is infinite and its rows add nothing to the likelihood of the rest, so they leave, until every level
+    that is left has both outcomes. One aggregation a round, at most as many rounds as levels.
+    """
+    found: dict[tuple[int, object], str] = {}
+    levels = [(i, v) for i, t in enumerate(terms) if isinstance(t, Factor) for v in t.levels]
+    while True:
+        left = [k for k in levels if k not in found]
+        here = {k: F.col(terms[k[0]].column) == F.lit(k[1]) for k in left}
+        counts = pat.agg(
+            F.sum("_n"),
+            F.sum("_events"),
+            *[F.sum(F.when(c, F.col(x))) for c in here.values() for x in ("_n", "_events")],
+        ).first()
+        n, events, own = counts[0] or 0, counts[1] or 0, counts[2:]
+        gone = {k: (own[2 * i] or 0, own[2 * i + 1] or 0) for i, k in enumerate(left)}
+        gone = {k: NO_ROWS if not m else SEPARATED for k, (m, e) in gone.items() if e in (0, m)}
+        if found and 0 in (n, events, n - events):
+            # Nothing with both outcomes is left.
+            return found | {k: gone.get(k, SEPARATED) for k in left}, pat, n, events
+        if not gone:
+            return found, pat, n, events
+        found |= gone
+        pat = pat.filter(~reduce(lambda a, b: a | b, [here[k] for k in gone]))
+
+
+def ordered_apart(pat: DataFrame, numbers: Sequence[Number]) -> list[Number]:
+    """Numbers whose values with the outcome all lie on one side of those without."""
+    if not numbers:
+        return []
+    yes, no = F.col("_events") > 0, F.col("_events") < F.col("_n")
+    ends = [f(F.when(side, F.col(x.column).cast("double"))) for x in numbers for side in (yes, no) for f in (F.min, F.max)]
+    seen = pat.agg(*ends).first()
+    apart = []
+    for i, x in enumerate(numbers):
+        low_yes, high_yes, low_no, high_no = seen[4 * i : 4 * i + 4]
+        # One value only is no separation but a column that does not vary.
+        if None not in (low_yes, low_no) and (high_yes <= low_no or high_no <= low_yes) and min(low_yes, low_no) < max(high_yes, high_no):
+            apart.append(x)
+    return apart
+
+
 def logit(df: DataFrame, outcome: Column, terms: Sequence[Term]) -> DataFrame:
-    """(term, estimate, std_error, z, p_value, conf_low, conf_high) on the log-odds scale."""
+    """(term, estimate, std_error, status, z, conf_low, conf_high, p_value) on the log-odds scale.
+
+    A term whose maximum lies at infinity has NULL estimates and the status ``separated``, a level without rows ``no rows``;
+    the others are estimated as if these rows were not there, which is their limit. Without a finite intercept (all rows
+    alike, or a separated reference level) the intercept and the factor's other levels are ``separated`` too. What is separated by
+    a combination of terms only shows in standard errors without bound and is ``not estimable``.
+    """
     names = [n for n, _ in design_columns(terms)]
     spark = df.sparkSession
     if not names:
         total = df.filter(outcome.isNotNull()).agg(F.count_if(outcome).alias("a"), F.count_if(~outcome).alias("b"))
-        beta, se = F.ln(F.col("a") / F.col("b")), F.sqrt(1 / F.col("a") + 1 / F.col("b"))
-        rows = total.select(F.lit("(intercept)").alias("term"), beta.alias("estimate"), se.alias("std_error"))
-    else:
-        weighted = patterns(df, outcome, terms).withColumn("_rate", F.col("_events") / F.col("_n"))
-        # Column names of a design may hold any text; the assembler needs plain ones.
-        plain = {n: f"x{i}" for i, n in enumerate(names)}
-        vectors = VectorAssembler(inputCols=list(plain.values()), outputCol="features").transform(
-            weighted.withColumnsRenamed(plain)
-        )
-        model = GeneralizedLinearRegression(
-            family="binomial", link="logit", labelCol="_rate", weightCol="_n", regParam=0.0, tol=1e-10, maxIter=50
-        ).fit(vectors)
-        estimates = [*map(float, model.coefficients), float(model.intercept)]
-        errors = [float(e) for e in model.summary.coefficientStandardErrors]
-        fitted = list(zip([*names, "(intercept)"], estimates, errors))
-        rows = spark.createDataFrame(fitted, "term string, estimate double, std_error double")
-    return wald(rows)
+        a, b = (F.nullif(F.col(c).cast("double"), F.lit(0.0)) for c in "ab")
+        status = F.when(a.isNotNull() & b.isNotNull(), OK).when(a.isNull() & b.isNull(), NO_ROWS).otherwise(SEPARATED)
+        return wald(total.select(F.lit(INTERCEPT).alias("term"), F.ln(a / b).alias("estimate"), F.sqrt(1 / a + 1 / b).alias("std_error"), status.alias("status")))
+
+    found, pat, n, events = separation(stored(patterns(df, outcome, terms), "patterns"), terms)
+    status = {n: OK for n in [*names, INTERCEPT]}
+    kept: list[Term] = []
+    for i, t in enumerate(terms):
+        if isinstance(t, Number):
+            kept.append(t)
+            continue
+        base = t.reference()
+        left = tuple(v for v in t.levels if (i, v) not in found)
+        for v in t.levels:
+            if v != base:
+                status[f"{t.column}={v}"] = found.get((i, v)) or found.get((i, base), OK)
+        if (i, base) in found:
+            status[INTERCEPT] = found[(i, base)]
+        if len(left) > 1:
+            kept.append(Factor(t.column, left, left.index(base) + 1 if base in left else 1))
+    apart = ordered_apart(pat, [t for t in kept if isinstance(t, Number)]) if 0 < events < n else []
+    if apart or not 0 < events < n:
+        # One number splits the outcomes, or all rows that are left are alike: nothing is finite.
+        reason = SEPARATED if n else NO_ROWS
+        status = {name: reason if s == OK else s for name, s in status.items()}
+    fitted = {}
+    if OK in status.values():
+        fitted = _fit(pat, kept)
+        status = {name: fitted[name][2] if s == OK else s for name, s in status.items()}
+    rows = [(name, *(fitted[name][:2] if s == OK else (None, None)), s) for name, s in status.items()]
+    return wald(spark.createDataFrame(rows, "term string, estimate double, std_error double, status string"))
+
+
+def _fit(pat: DataFrame, terms: Sequence[Term]) -> dict[str, tuple[float, float, str]]:
+    """Estimate, standard error and status by term."""
+    columns = design_columns(terms)
+    names = [n for n, _ in columns]
+    if not names:
+        n, events = pat.agg(F.sum("_n"), F.sum("_events")).first()
+        return {INTERCEPT: (math.log(events / (n - events)), math.sqrt(1 / events + 1 / (n - events)), OK)}
+    # Column names of a design may hold any text; the assembler needs plain ones.
+    design = pat.select("_n", "_events", *[c.alias(f"x{i}") for i, (_, c) in enumerate(columns)])
+    weighted = design.groupBy(*[f"x{i}" for i in range(len(names))]).agg(F.sum("_n").alias("_n"), F.sum("_events").alias("_events"))
+    weighted = weighted.withColumn("_rate", F.col("_events") / F.col("_n"))
+    vectors = VectorAssembler(inputCols=[f"x{i}" for i in range(len(names))], outputCol="features").transform(weighted)
+    model = GeneralizedLinearRegression(
+        family="binomial", link="logit", labelCol="_rate", weightCol="_n", regParam=0.0, tol=1e-10, maxIter=50
+    ).fit(vectors)
+    share = {i: F.sum(F.col("_n") * F.col(f"x{i}")) / F.sum("_n") for i in range(len(names))}
+    square = {i: F.sum(F.col("_n") * F.col(f"x{i}") * F.col(f"x{i}")) / F.sum("_n") for i in range(len(names))}
+    moments = weighted.agg(*share.values(), *square.values()).first()
+    spread = [math.sqrt(max(s - m * m, 0.0)) for m, s in zip(moments[: len(names)], moments[len(names) :])]
+    errors = [float(e) for e in model.summary.coefficientStandardErrors]
+    estimates = [*map(float, model.coefficients), float(model.intercept)]
+    flat = [not e * s < FLAT for e, s in zip(errors, [*spread, 1.0])]
+    return {
+        name: (b, e, NOT_ESTIMABLE if f else OK) for name, b, e, f in zip([*names, INTERCEPT], estimates, errors, flat)
+    }
 
 
 def ratio_table(
@@ -86,7 +185,7 @@ def ratio_table(
                 )
         parts.append(wald(wide.select(F.inline(F.array(*lines)))))
     for number in numbers:
-        fitted = logit(df, outcome, [number]).filter(F.col("term") == number.column)
+        fitted = logit(df, outcome, [number]).filter(F.col("term") == number.column).drop("status")
         parts.append(fitted.withColumnRenamed("term", "variable").withColumn("level", F.lit(None).cast("string")))
     out = reduce(lambda x, y: x.unionByName(y), parts)
     return out.withColumn("odds_ratio", F.exp("estimate"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortry.functions import tails
@@ -112,12 +112,14 @@ def anova(df: DataFrame, group: str, variables: Sequence[str]) -> DataFrame:
 def kruskal_wallis(df: DataFrame, group: str, variables: Sequence[str], ranges: int | None = None) -> DataFrame:
     """Rank test with the tie correction."""
     sums = rank_sums(df, variables, group, ranges)
-    n, r = F.col("n").cast("double"), F.col("rank_sum")
+    sums = sums.withColumn("total", F.sum("n").over(Window.partitionBy("variable")))
+    # Distance of each group's mean rank from the middle one: squares of the rank sums would cancel on many rows.
+    off = F.col("rank_sum") / F.col("n") - (F.col("total") + 1) / 2
     per_var = sums.groupBy("variable").agg(
-        F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(r * r / n).alias("q"), F.sum("ties").alias("ties")
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(F.col("n") * off * off).alias("q"), F.sum("ties").alias("ties")
     )
     total = F.col("n").cast("double")
-    h = 12 / (total * (total + 1)) * F.col("q") - 3 * (total + 1)
+    h = 12 / (total * (total + 1)) * F.col("q")
     correction = 1 - F.try_divide(F.col("ties").cast("double"), total * total * total - total)
     out = per_var.select(
         "variable", "n", F.try_divide(h, correction).alias("statistic"), (F.col("k") - 1).alias("df")

@@ -171,3 +171,67 @@ def test_ratio_table(two_by_two):
     number = two_by_two.withColumn("z", F.col("x").cast("double"))
     fitted = ratio_table(number, F.col("y"), [], [Number("z")]).first()
     assert fitted["variable"] == "z" and fitted["odds_ratio"] == pytest.approx(6.0, abs=1e-5)
+
+
+def by_term(df):
+    return {r["term"]: (r["estimate"], r["std_error"], r["status"]) for r in df.collect()}
+
+
+def counted(spark, cells):
+    """(level, with the outcome, without) as rows."""
+    data = [(level, y) for level, yes, no in cells for y, n in ((True, yes), (False, no)) for _ in range(n)]
+    return spark.createDataFrame(data, "g string, y boolean")
+
+
+def test_a_separated_level_leaves_the_others_as_they_are(spark):
+    df = counted(spark, [("a", 20, 15), ("b", 10, 30), ("never", 0, 12), ("always", 7, 0)])
+    got = by_term(logit(df, F.col("y"), [Factor("g", ("a", "b", "never", "always", "absent"))]))
+    assert got["g=never"] == got["g=always"] == (None, None, "separated") and got["g=absent"] == (None, None, "no rows")
+    assert got["g=b"][0] == pytest.approx(math.log(10 / 30) - math.log(20 / 15), abs=1e-7) and got["g=b"][2] == "ok"
+    assert got["(intercept)"][:2] == (pytest.approx(math.log(20 / 15)), pytest.approx(math.sqrt(1 / 20 + 1 / 15), abs=1e-6))
+
+
+def test_a_separated_reference_level(spark):
+    df = counted(spark, [("a", 0, 15), ("b", 10, 30), ("c", 12, 9)]).withColumn("n", F.rand(3))
+    got = by_term(logit(df, F.col("y"), [Factor("g", ("a", "b", "c")), Number("n")]))
+    assert {v for k, v in got.items() if k != "n"} == {(None, None, "separated")}
+    rest = by_term(logit(df.filter("g <> 'a'"), F.col("y"), [Factor("g", ("b", "c")), Number("n")]))
+    assert got["n"] == (pytest.approx(rest["n"][0], abs=1e-6), pytest.approx(rest["n"][1], abs=1e-6), "ok")
+
+
+def test_separation_that_shows_after_a_level_left(spark):
+    """Without level x of f, level p of g has one outcome only."""
+    data = [("x", "p", False)] * 5 + [("u", "p", True)] * 4 + [("u", "q", True)] * 6 + [("v", "q", False)] * 3 + [("v", "q", True)] * 2 + [("u", "q", False)] * 2
+    got = by_term(logit(spark.createDataFrame(data, "f string, g string, y boolean"), F.col("y"), [Factor("f", ("u", "v", "x")), Factor("g", ("q", "p"))]))
+    assert got["f=x"] == got["g=p"] == (None, None, "separated")
+    assert got["f=v"][0] == pytest.approx(math.log(2 / 3) - math.log(6 / 2), abs=1e-6)
+
+
+@pytest.mark.parametrize(("yes", "no", "status"), [(4, 0, "separated"), (0, 4, "separated"), (0, 0, "no rows"), (1, 3, "ok")])
+def test_rows_that_are_all_alike(spark, yes, no, status):
+    df = counted(spark, [("a", yes, no)])
+    (bare,) = logit(df, F.col("y"), []).collect()
+    assert bare["status"] == status and (bare["estimate"] is None) == (status != "ok")
+    got = by_term(logit(df, F.col("y"), [Factor("g", ("a", "b"))]))
+    assert got["(intercept)"][2] == status and got["g=b"] == (None, None, "no rows")
+
+
+def test_a_number_that_splits_the_outcomes(spark):
+    df = spark.createDataFrame([(float(i), i > 5, "ab"[i % 2]) for i in range(12)], "n double, y boolean, g string")
+    got = by_term(logit(df, F.col("y"), [Number("n"), Factor("g", ("a", "b"))]))
+    assert set(got.values()) == {(None, None, "separated")}
+    touching = by_term(logit(df.union(df.filter("n = 5").withColumn("y", F.lit(True))), F.col("y"), [Number("n")]))
+    assert set(touching.values()) == {(None, None, "separated")}
+
+
+def test_separation_by_two_terms_together_is_not_estimable(spark):
+    """The outcome is x > z: no term alone separates it."""
+    data = [(float(x), float(z), x > z) for x in range(6) for z in range(6)]
+    got = by_term(logit(spark.createDataFrame(data, "x double, z double, y boolean"), F.col("y"), [Number("x"), Number("z")]))
+    assert got["x"][2] == got["z"][2] == "not estimable"
+
+
+def test_levels_that_are_numbers(spark):
+    df = counted(spark, [("3", 20, 15), ("2", 10, 30), ("1", 0, 4)]).withColumn("g", F.col("g").cast("int"))
+    got = by_term(logit(df, F.col("y"), [Factor("g", (1, 2, 3), base="3")]))
+    assert got["g=2"][0] == pytest.approx(math.log(10 / 30) - math.log(20 / 15), abs=1e-6) and got["g=1"][2] == "separated"
