@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -25,9 +27,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
 
-from cohortry.llm.common import Remembered, written
-from cohortry.llm.token_ids import byte_level
+from cohortry.llm.common import written
 from cohortry.session import broadcast_if_small
 
 BLOCK_BYTES = 1 << 20
@@ -40,27 +42,82 @@ ALIGNED = (
     "links array<struct<pair:bigint,times:bigint>>"
 )
 LINK = pa.struct([("pair", pa.int64()), ("times", pa.int64())])
-AFTER_WORD = re.compile(r"(?<=[^ ])(?= )")
+#: Before a space between a character that is none and a visible one, both vocabularies always end a token.
+BETWEEN_WORDS = re.compile(r"(?<=[^ ])(?= \S)")
+TOUCHING = re.compile(r"\s\s")
+#: Pieces of text whose ids a worker remembers, and the longest of them.
+REMEMBERED, LONGEST = 200_000, 256
 
 
-@cache
-def piece_level(path: str):
-    """A function spaced text -> little-endian 32-bit ids of a vocabulary that puts the space before the text itself.
+def byte_level_ids(path: str):
+    """A function pieces -> ids of each by a byte-level vocabulary; strings of special tokens are plain text."""
+    # A task has one core.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    model = Tokenizer.from_file(path)
+    model.encode_special_tokens = True
+    return lambda pieces: [e.ids for e in model.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    No entry has a space mark behind another character, so no merge crosses the place before a space and the words
-    between such places are encoded one by one.
-    """
-    model = SentencePieceProcessor(model_file=path)
-    if any("▁" in p[1:] and p.strip("▁") for p in map(model.id_to_piece, range(model.get_piece_size()))):
-        raise ValueError(f"{path} has entries across words")
-    alone = model.piece_to_id("▁")
-    words = Remembered(lambda word: np.array(model.encode(word) if word else [alone], "<u4").tobytes())
 
-    def encode(spaced: str) -> bytes:
-        parts = [p[1:] for p in AFTER_WORD.split(spaced)] if "  " in spaced else spaced.split(" ")[1:]
-        return b"".join(map(words.__getitem__, parts))
+def piece_level_ids(path: str):
+    """The same by a vocabulary of pieces, which puts a space before every text by itself.
 
-    return encode
+    No entry has a space mark behind another character, nor a line break in it, so no merge crosses these places."""
+    model = SentencePieceProcessor(model_file=path)
+    entries = list(map(model.id_to_piece, range(model.get_piece_size())))
+    if any(("▁" in p[1:] and p.strip("▁")) or "\n" in p for p in entries):
+        raise ValueError(f"{path} has entries across words or lines")
+    alone = [model.piece_to_id("▁")]
+    line = model.encode("\n")
+
+    def ids(pieces: list[str]) -> list[list[int]]:
+        # A piece without a space before it stands behind a line break.
+        found = model.encode([p[1:] if p[:1] == " " else "\n" + p for p in pieces], num_threads=1)
+        return [(f or alone) if p[:1] == " " else f[len(line) :] for p, f in zip(pieces, found)]
+
+    return ids
+
+
+class PairedIds:
+    """The little-endian 32-bit ids of a spaced text by two vocabularies, made piece by piece; a repeated piece is looked up."""
+
+    def __init__(self, a_ids, b_ids) -> None:
+        self.both = a_ids, b_ids
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.line = self.made(["\n"])["\n"]
+
+    def made(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes]]:
+        a, b = ([array("I", ids).tobytes() for ids in encode(pieces)] for encode in self.both)
+        return dict(zip(pieces, zip(a, b)))
+
+    def pieces(self, spaced: str) -> list[str]:
+        if TOUCHING.search(spaced):
+            return BETWEEN_WORDS.split(spaced)
+        lines = []
+        for line in spaced.split("\n"):
+            words = line.split(" ")
+            lines += [words[0], *[" " + w for w in words[1:]], "\n"]
+        return [p for p in lines[:-1] if p]
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Both sides' ids of every text; pieces that are not known yet are encoded together."""
+        cut = [self.pieces(t) for t in texts]
+        unseen = {}
+        for piece in set().union(*cut):
+            if piece not in self.known:
+                old = self.older.get(piece)
+                unseen[piece] = old
+        new = self.made([p for p, old in unseen.items() if old is None])
+        unseen.update(new)
+        if len(self.known) + len(unseen) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        now = {**unseen, "\n": self.line}
+        self.known.update((p, ids) for p, ids in now.items() if len(p) <= LONGEST)
+        found = []
+        for pieces in cut:
+            ids = [now.get(p) or self.known.get(p) or self.older[p] for p in pieces]
+            found.append((b"".join(a for a, _ in ids), b"".join(b for _, b in ids)))
+        return found
 
 
 @cache
@@ -89,10 +146,10 @@ def piece_level_tokens(path: str) -> pa.Array:
 
 
 class _Side:
-    """One tokenizer: its ids of a text, the tokens' bytes, and the ids as text with the sign that follows in a digest."""
+    """One tokenizer: the bytes of its tokens, and its ids as text with the sign that follows in a digest."""
 
-    def __init__(self, encode, tokens: pa.Array, last: str) -> None:
-        self.encode, self.tokens = encode, tokens
+    def __init__(self, tokens: pa.Array, last: str) -> None:
+        self.tokens = tokens
         self.lengths = pc.fill_null(pc.binary_length(tokens), 0).cast(pa.int64())
         self.printed = pa.array([f"{i}{sign}" for i in range(len(tokens)) for sign in (",", last)], pa.binary())
 
@@ -163,13 +220,12 @@ def _digests(a: _Flat, b: _Flat, n_docs: int) -> list[str]:
     ]
 
 
-def align_block(a_side: _Side, b_side: _Side, texts: list[str | None]) -> dict[str, pa.Array | list]:
+def align_block(ids: PairedIds, a_side: _Side, b_side: _Side, texts: list[str | None]) -> dict[str, pa.Array | list]:
     """Columns n_a, n_b, n_groups, n_links, groups_sha256 and links of a block of texts."""
     a_ids, b_ids, sizes = [], [], []
-    for text in texts:
-        spaced = " " + (text or "")
-        body = spaced.encode()
-        a, b = (a_side.encode(spaced), b_side.encode(spaced)) if text else (b"", b"")
+    spaced = [" " + t if t else "" for t in texts]
+    for text, (a, b) in zip(spaced, ids.encode(spaced)):
+        body = text.encode()
         whole = bool(text) and a_side.gives(a, body) and b_side.gives(b, body)
         a_ids.append(a if whole else b"")
         b_ids.append(b if whole else b"")
@@ -202,23 +258,21 @@ def align_block(a_side: _Side, b_side: _Side, texts: list[str | None]) -> dict[s
 
 
 @cache
-def _sides(a_path: str, b_path: str) -> tuple[_Side, _Side]:
-    return (
-        _Side(byte_level(a_path), byte_level_tokens(a_path), "|"),
-        _Side(piece_level(b_path), piece_level_tokens(b_path), ";"),
-    )
+def vocabularies(a_path: str, b_path: str) -> tuple[PairedIds, _Side, _Side]:
+    ids = PairedIds(byte_level_ids(a_path), piece_level_ids(b_path))
+    return ids, _Side(byte_level_tokens(a_path), "|"), _Side(piece_level_tokens(b_path), ";")
 
 
 def _aligned(a_path: str, b_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _sides(a_path, b_path)
+        both = vocabularies(a_path, b_path)
         for batch in batches:
             sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
             cuts = np.flatnonzero(np.diff(sizes // BLOCK_BYTES)) + 1
             for start, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sizes)]):
                 part = batch.slice(start, stop - start)
                 if part.num_rows:
-                    columns = align_block(a, b, part.column("text").to_pylist())
+                    columns = align_block(*both, part.column("text").to_pylist())
                     yield pa.RecordBatch.from_pydict({"row": part.column("row"), "doc_id": part.column("doc_id"), **columns})
 
     return run

@@ -43,6 +43,13 @@ def library():
     return SentencePieceProcessor(model_file=B_PATH)
 
 
+@cache
+def library_a():
+    model = Tokenizer.from_file(A_PATH)
+    model.encode_special_tokens = True
+    return model
+
+
 def token_bytes():
     with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
         a = {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, f)}
@@ -55,9 +62,7 @@ def token_bytes():
 
 
 def brute(texts):
-    a_model = Tokenizer.from_file(A_PATH)
-    a_model.encode_special_tokens = True
-    b_model = library()
+    a_model, b_model = library_a(), library()
     a_bytes, b_bytes = token_bytes()
     found = []
     for text in texts:
@@ -130,17 +135,27 @@ def test_empty_frame(spark):
 
 
 def test_blocks_do_not_change_the_result():
-    a, b = alignment._sides(A_PATH, B_PATH)
+    both = alignment.vocabularies(A_PATH, B_PATH)
     texts = [t for t in ODD if t]
-    whole = alignment.align_block(a, b, texts)
-    single = [alignment.align_block(a, b, [t]) for t in texts]
+    whole = alignment.align_block(*both, texts)
+    single = [alignment.align_block(*both, [t]) for t in texts]
     for name in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links"):
         assert whole[name].to_pylist() == [x for s in single for x in s[name].to_pylist()]
 
 
-@given(st.text(st.sampled_from("ab Z\n\t\r'éñ 　.9s\x1c;{}日<>"), max_size=40))
+@given(st.lists(st.text(st.sampled_from("ab Z\n\t\r'éñ 　.9s\x1c;{}日<>"), min_size=1, max_size=40), max_size=4))
 @settings(max_examples=400, deadline=None)
-def test_pieces_give_the_ids_of_the_whole_text(text):
-    model = library()
-    ids = model.encode(text) if text else [model.piece_to_id("▁")]
-    assert alignment.piece_level(B_PATH)(" " + text) == array("I", ids).tobytes()
+def test_pieces_give_the_ids_of_the_whole_text(texts):
+    ids, *_ = alignment.vocabularies(A_PATH, B_PATH)
+    a_model = library_a()
+    want = [(array("I", a_model.encode(" " + t, add_special_tokens=False).ids), array("I", library().encode(t))) for t in texts]
+    assert ids.encode([" " + t for t in texts]) == [(a.tobytes(), b.tobytes()) for a, b in want]
+
+
+def test_forgotten_pieces_are_made_again(monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 3)
+    monkeypatch.setattr(alignment, "LONGEST", 4)
+    ids = alignment.PairedIds(alignment.byte_level_ids(A_PATH), alignment.piece_level_ids(B_PATH))
+    texts = [" a b c", " b longer words", " a\nb longer", " c d e f g a", " a b c"]
+    assert [ids.encode([t]) for t in texts] == [alignment.vocabularies(A_PATH, B_PATH)[0].encode([t]) for t in texts]
+    assert len(ids.known) + len(ids.older) < 12
