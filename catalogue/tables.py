@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from catalogue.marginal import marginal_sql, terms_sql
 from catalogue.registry import ENC, encounters, query, rounded, table
 from cohortry.models.design import Factor, Number, sparse_levels
 from cohortry.models.grid import contrast, cross
@@ -63,17 +64,23 @@ def missing_table(spark, d):
   UNION ALL SELECT 'age', age FROM enc UNION ALL SELECT 'ed_disp', ed_disp FROM enc),
 nums AS (SELECT variable, count(*) AS n, count(*) - count(v) AS n_missing, round(avg(v), 4) AS mean, round(stddev_samp(v), 4) AS sd,
   min(v) AS p0, round(quantile_cont(v, 0.25), 4) AS p25, round(quantile_cont(v, 0.5), 4) AS p50, round(quantile_cont(v, 0.75), 4) AS p75,
-  max(v) AS p100 FROM l GROUP BY variable)
-SELECT *, CAST(NULL AS BIGINT) AS n_levels FROM nums
-UNION ALL SELECT 'outcome', count(*), count(*) - count(outcome), NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(DISTINCT outcome) FROM enc
-UNION ALL SELECT 'payer', count(*), count(*) - count(payer), NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(DISTINCT payer) FROM enc
+  max(v) AS p100 FROM l GROUP BY variable),
+days AS (SELECT count(*) AS n, count(*) - count(start_date) AS n_missing, [min(start_date), max(start_date)] AS ends,
+  quantile_cont(epoch_us(start_date::TIMESTAMP), [0.25, 0.5, 0.75]) AS mids FROM enc)
+SELECT *, CAST(NULL AS BIGINT) AS n_levels, NULL AS t_p0, NULL AS t_p25, NULL AS t_p50, NULL AS t_p75, NULL AS t_p100 FROM nums
+UNION ALL SELECT 'start_date', n, n_missing, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, strftime(ends[1], '%Y-%m-%d %H:%M:%S'),
+  strftime(make_timestamp(CAST(round(mids[1]) AS BIGINT)), '%Y-%m-%d %H:%M:%S'), strftime(make_timestamp(CAST(round(mids[2]) AS BIGINT)), '%Y-%m-%d %H:%M:%S'),
+  strftime(make_timestamp(CAST(round(mids[3]) AS BIGINT)), '%Y-%m-%d %H:%M:%S'), strftime(ends[2], '%Y-%m-%d %H:%M:%S') FROM days
+UNION ALL SELECT 'outcome', count(*), count(*) - count(outcome), NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(DISTINCT outcome), NULL, NULL, NULL, NULL, NULL FROM enc
+UNION ALL SELECT 'payer', count(*), count(*) - count(payer), NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(DISTINCT payer), NULL, NULL, NULL, NULL, NULL FROM enc
 UNION ALL SELECT 'transferred', count(*), count(*) - count(outcome), round(avg(CASE WHEN outcome = 'transferred' THEN 1.0
   WHEN outcome IS NOT NULL THEN 0.0 END), 4), round(stddev_samp(CASE WHEN outcome = 'transferred' THEN 1.0
-  WHEN outcome IS NOT NULL THEN 0.0 END), 4), NULL, NULL, NULL, NULL, NULL, NULL FROM enc""",
+  WHEN outcome IS NOT NULL THEN 0.0 END), 4), NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM enc""",
 )
 def column_summary(spark, d):
-    chosen = frame(spark, d).select("charge", "quantity", "age", "ed_disp", "outcome", "payer", "transferred")
-    return rounded(summary.column_summary(chosen), 4)
+    chosen = frame(spark, d).select("charge", "quantity", "age", "ed_disp", "outcome", "payer", "transferred", "start_date")
+    out = rounded(summary.column_summary(chosen), 4)
+    return out.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in out.columns if c.startswith("t_p")})
 
 
 @query(
@@ -296,13 +303,75 @@ def sparse_levels_query(spark, d):
     return sparse_levels(frame(spark, d), F.col("transferred"), factors, below=2200)
 
 
-@query("mixed_logit")
+RESULT = ("estimate", "std_error", "log_lik", "icc", "z", "conf_low", "conf_high", "p_value", "odds_ratio")
+
+
+def mixed_oracle(tables: str, names: dict[str, int], p: int, where: str = "TRUE", digits: int = 4, printed: tuple = (), **steps) -> str:
+    """The rows of the models of ``tables``, which end with the CTE ``pat``; ``printed`` columns as text of three digits."""
+    head, rest = marginal_sql(p, **steps).split("k AS (", 1)
+    rounds = ", ".join(
+        f"CASE WHEN {c} IS NOT NULL THEN printf('%.2e', {c}) END AS {c}" if c in printed else f"round({c}, {digits}) AS {c}" for c in RESULT
+    )
+    return f"{head}{tables}, k AS ({rest}, {terms_sql(names, p, chi2_sql)} SELECT * REPLACE ({rounds}) FROM out WHERE {where}"
+
+
+def pattern_sql(cell: str, group: str, outcome: str, columns: list[str], source: str, where: str) -> str:
+    """Rows with and without the outcome per cell, group and pattern of the design columns."""
+    x = ", ".join(f"CAST({c} AS DOUBLE) AS x{i}" for i, c in enumerate(columns))
+    keys = ", ".join(f"x{i}" for i in range(len(columns)))
+    return f"""SELECT {cell} AS cell, {group} AS grp, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (WHERE {outcome}) AS DOUBLE) AS y, {x}
+  FROM {source} WHERE {where} GROUP BY ALL"""
+
+
+MOVED = "outcome = 'transferred'"
+MIXED_NAMES = {"(intercept)": 0, "small_rural=True": 1, "sex=F": 2, "sex=U": 3, "database=edd": 4, "discount": 5}
+MIXED_COLUMNS = ["1", "small_rural", "sex = 'F'", "sex = 'U'", "database = 'edd'", "discount"]
+
+
+@query(
+    "mixed_logit",
+    mixed_oracle(f"{ENC}, pat AS ({pattern_sql(repr('model'), 'oshpd_id', MOVED, MIXED_COLUMNS, 'enc', 'outcome IS NOT NULL')})", MIXED_NAMES, 6).replace(
+        "SELECT * REPLACE", "SELECT * EXCLUDE (cell) REPLACE"
+    ),
+)
 def mixed_logit_query(spark, d):
     df = frame(spark, d).filter(contrast("all"))
     return rounded(mixed_logit(df, F.col("transferred"), [*TERMS, Number("discount")], "oshpd_id"), 4)
 
 
-@query("icc")
+GROUP_MOVED = "(l_orderkey * 7 + l_linenumber) % 10 < 2 + l_suppkey % 5 + (l_returnflag = 'R')::INT"
+SPREAD_COLUMNS = ["1", "l_returnflag = 'R'", "l_discount"]
+
+
+@query(
+    "mixed_logit_spread",
+    mixed_oracle(
+        f"pat AS ({pattern_sql(repr('model'), 'l_suppkey', GROUP_MOVED, SPREAD_COLUMNS, 'lineitem', 'TRUE')})",
+        {"(intercept)": 0, "returned=True": 1, "l_discount": 2},
+        3,
+        width=0.08,
+        climbing=80,
+    ).replace("SELECT * REPLACE", "SELECT * EXCLUDE (cell) REPLACE"),
+)
+def mixed_logit_spread(spark, d):
+    """An outcome that does differ between groups, so that the spread, its error and its interval are compared."""
+    lines = table(spark, d, "lineitem").withColumn("returned", F.col("l_returnflag") == "R")
+    moved = F.expr("(l_orderkey * 7 + l_linenumber) % 10 < 2 + l_suppkey % 5 + CAST(returned AS INT)")
+    return rounded(mixed_logit(lines, moved, [Factor("returned", (False, True)), Number("l_discount")], "l_suppkey"), 4)
+
+
+ICC_CELLS = " UNION ALL ".join(
+    pattern_sql(f"'{name}'", "oshpd_id", MOVED, ["1"], "enc", f"outcome IS NOT NULL AND {where}")
+    for name, where in (("small rural", "small_rural"), ("other", "NOT small_rural"))
+)
+
+
+@query(
+    "icc",
+    mixed_oracle(f"{ENC}, pat AS ({ICC_CELLS})", {"(intercept)": 0}, 1, "term = 'sd(intercept)'")
+    .replace("SELECT * REPLACE", "SELECT cell, sd, icc, n, n_groups, status FROM (SELECT * EXCLUDE (estimate), round(estimate, 4) AS sd FROM (SELECT * REPLACE")
+    + "))",
+)
 def icc_query(spark, d):
     cells = [Cell("small rural", (F.col("small_rural"),)), Cell("other", (~F.col("small_rural"),))]
     return rounded(icc(frame(spark, d).filter(contrast("all")), F.col("transferred"), "oshpd_id", cells), 4)
@@ -352,12 +421,34 @@ def contrast_grid(spark, d):
     return rounded(fitted.select("cell", "term", "n", "estimate", "std_error"), 4)
 
 
-@query("sensitivity_grid")
+EXPOSED = ["1", "discount > 0.05"]
+GRID_CELLS = " UNION ALL ".join(
+    pattern_sql(f"'{s}|{c}|{k}|{model}'", "oshpd_id", MOVED, [*EXPOSED, *sex], "enc", f"{sw} AND {cw} AND {kw}")
+    for s, sw in STRATA_SQL.items()
+    for c, cw in COHORT_SQL.items()
+    for k, kw in CONTRAST_SQL.items()
+    for model, sex in (("crude", ["0", "0"]), ("adjusted", ["sex = 'F'", "sex = 'U'"]))
+)
+
+
+@query(
+    "sensitivity_grid",
+    mixed_oracle(
+        f"{ENC}, pat AS ({GRID_CELLS})",
+        {"(intercept)": 0, "discount_high=True": 1, "sex=F": 2, "sex=U": 3},
+        4,
+        "NOT (ends_with(cell, 'crude') AND starts_with(term, 'sex'))",
+        digits=3,
+        printed=("conf_low", "conf_high"),
+    ),
+)
 def sensitivity_grid(spark, d):
     """Two strata × four sub-cohorts × three contrasts × crude and adjusted, fitted together."""
     cells = grid_cells({"crude": (EXPOSURE,), "adjusted": None})
     terms = [EXPOSURE, Factor("sex", ("M", "F", "U"))]
-    return rounded(fit_grid(grid_frame(spark, d), F.col("transferred"), terms, cells, "oshpd_id"), 4)
+    out = fit_grid(grid_frame(spark, d), F.col("transferred"), terms, cells, "oshpd_id", tol=1e-11)
+    # Ends of small cells' intervals go over many orders of magnitude: three digits, wherever they are.
+    return rounded(out.withColumns({c: F.when(F.col(c).isNotNull(), F.format_string("%.2e", c)) for c in ("conf_low", "conf_high")}), 3)
 
 
 @query(

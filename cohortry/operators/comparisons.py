@@ -10,11 +10,19 @@ from pyspark.sql import functions as F
 
 from cohortry.functions import tails
 from cohortry.operators.order_stats import rank_sums
+from cohortry.session import stored
+
+
+def long_rows(wide: DataFrame, keep: Sequence[str], variables: Sequence[str], name: str) -> DataFrame:
+    """(keep…, variable, name): one row per row and variable. Generated rows, not an unpivot: a plan with an expansion in it is not
+    recognised as the same when a later aggregation reads its result twice, and the facts would be scanned again."""
+    lines = [F.struct(F.lit(v).alias("variable"), F.col(v).alias(name)) for v in variables]
+    return wide.select(*keep, F.inline(F.array(*lines)))
 
 
 def _long_categories(df: DataFrame, group: str, variables: Sequence[str]) -> DataFrame:
-    text = df.select(F.col(group).cast("string").alias("_grp"), *[F.col(v).cast("string").alias(v) for v in variables])
-    return text.unpivot("_grp", list(variables), "variable", "level").withColumnRenamed("_grp", "grp")
+    text = df.select(F.col(group).cast("string").alias("grp"), *[F.col(v).cast("string").alias(v) for v in variables])
+    return long_rows(text, ["grp"], variables, "level")
 
 
 def chi_square(df: DataFrame, group: str, variables: Sequence[str]) -> DataFrame:
@@ -25,6 +33,8 @@ def chi_square(df: DataFrame, group: str, variables: Sequence[str]) -> DataFrame
         .groupBy("variable", "level", "grp")
         .agg(F.count(F.lit(1)).alias("o"))
     )
+    # Read five times below; the rows only once.
+    cells = stored(cells, "cells")
     rows = cells.groupBy("variable", "level").agg(F.sum("o").alias("r"))
     cols = cells.groupBy("variable", "grp").agg(F.sum("o").alias("c"))
     o, r, c = (F.col(x).cast("double") for x in ("o", "r", "c"))
@@ -71,10 +81,9 @@ def odds_ratio(table: DataFrame, z: float = 1.959963984540054) -> DataFrame:
 
 
 def _long_numbers(df: DataFrame, group: str | None, variables: Sequence[str]) -> DataFrame:
-    keep = [F.col(group).cast("string").alias("_grp")] if group else []
+    keep = [F.col(group).cast("string").alias("grp")] if group else []
     wide = df.select(*keep, *[F.nullif(F.col(v).cast("double"), F.lit(float("nan"))).alias(v) for v in variables])
-    long = wide.unpivot(["_grp"] if group else [], list(variables), "variable", "value")
-    return long.withColumnRenamed("_grp", "grp")
+    return long_rows(wide, ["grp"] if group else [], variables, "value")
 
 
 def group_moments(df: DataFrame, group: str, variables: Sequence[str]) -> DataFrame:
@@ -90,7 +99,8 @@ def anova(df: DataFrame, group: str, variables: Sequence[str]) -> DataFrame:
     cells = group_moments(df, group, variables).filter(F.col("grp").isNotNull() & (F.col("n") > 0))
     n, m = F.col("n").cast("double"), F.col("mean")
     # Deviations from the grand mean: sums of squares would cancel on values far from zero.
-    cells = cells.join(cells.groupBy("variable").agg((F.sum(n * m) / F.sum(n)).alias("grand")), "variable")
+    each = Window.partitionBy("variable")
+    cells = cells.withColumn("grand", F.sum(n * m).over(each) / F.sum(n).over(each))
     sums = cells.groupBy("variable").agg(
         F.sum("n").alias("n"),
         F.count(F.lit(1)).alias("k"),

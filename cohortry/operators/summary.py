@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
-from cohortry.operators.comparisons import group_tests, normality
+from cohortry.operators.comparisons import group_tests, long_rows, normality
 from cohortry.operators.counts import with_share
-from cohortry.operators.order_stats import exact_quantiles
+from cohortry.operators.order_stats import cut_points, exact_quantiles, range_count
 
 ALL = "[ALL]"
 PROFILE = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0}
@@ -33,34 +33,37 @@ def column_summary(df: DataFrame, ranges: int | None = None) -> DataFrame:
     """Profile of every column by type: missing, mean, sd, quantiles; number of levels for text; share for booleans.
 
     With date or timestamp columns there are also t_p0 to t_p100, their quantiles as timestamps."""
-    numeric = [f.name for f in df.schema if isinstance(f.dataType, NumericType)]
-    logical = [f.name for f in df.schema if isinstance(f.dataType, BooleanType)]
-    text = [f.name for f in df.schema if isinstance(f.dataType, StringType)]
-    temporal = [f.name for f in df.schema if isinstance(f.dataType, (DateType, TimestampType, TimestampNTZType))]
-    out = missing_table(df, [*numeric, *logical, *text, *temporal]).drop("pct_missing")
-    means = [F.avg(F.col(c).cast("double")).alias(c) for c in [*numeric, *logical]]
-    sds = [F.stddev_samp(F.col(c).cast("double")).alias(c) for c in [*numeric, *logical]]
-    names = [*numeric, *logical]
-    moments = df.agg(F.struct(*means).alias("mean"), F.struct(*sds).alias("sd")) if names else None
-    if moments is not None:
-        long = moments.select(
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(c).alias("variable"), F.col(f"mean.{c}").alias("mean"), F.col(f"sd.{c}").alias("sd"))
-                        for c in names
-                    ]
-                )
-            )
+    kinds = {
+        name: [f.name for f in df.schema if isinstance(f.dataType, types)]
+        for name, types in (
+            ("numeric", NumericType),
+            ("logical", BooleanType),
+            ("text", StringType),
+            ("temporal", (DateType, TimestampType, TimestampNTZType)),
         )
-        out = out.join(long, "variable", "left")
-    if numeric:
-        out = out.join(exact_quantiles(df, numeric, PROFILE, ranges=ranges).drop("total"), "variable", "left")
-    if temporal:
-        seen = df.select(*[F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in temporal])
-        at = exact_quantiles(seen, temporal, PROFILE, ranges=ranges)
-        times = [F.timestamp_micros(F.round(p).cast("bigint")).alias(f"t_{p}") for p in PROFILE]
-        out = out.join(at.select("variable", *times), "variable", "left")
+    }
+    numeric, logical, text, temporal = kinds.values()
+    # Times are ranked as microseconds, which doubles hold exactly for some centuries around now.
+    seen = df.withColumns({c: F.unix_micros(F.col(c).cast("timestamp")) for c in temporal})
+    ranked, all_columns = [*numeric, *temporal], [*numeric, *logical, *text, *temporal]
+    aggs = {f"_m{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(all_columns)}
+    for i, c in enumerate([*numeric, *logical]):
+        aggs[f"_a{i}"], aggs[f"_s{i}"] = F.avg(F.col(c).cast("double")), F.stddev_samp(F.col(c).cast("double"))
+    sketches = cut_points(ranked, ranges or range_count(df))
+    # One pass: counts, moments, and the cut points for the exact quantiles.
+    first = seen.agg(F.count(F.lit(1)).alias("_n"), *[a.alias(n) for n, a in aggs.items()], *[c.alias(f"_c{i}") for i, c in enumerate(sketches.values())]).first()
+    means = {c: (first[f"_a{i}"], first[f"_s{i}"]) for i, c in enumerate([*numeric, *logical])}
+    lines = [(c, first["_n"], first[f"_m{i}"], *(means.get(c) or (None, None))) for i, c in enumerate(all_columns)]
+    moments = ", mean double, sd double" if means else ""
+    lines = lines if means else [line[:3] for line in lines]
+    out = df.sparkSession.createDataFrame(lines, f"variable string, n bigint, n_missing bigint{moments}")
+    if ranked:
+        cuts = {c: first[f"_c{i}"] for i, c in enumerate(ranked)}
+        found = exact_quantiles(seen, ranked, PROFILE, cuts=cuts)
+        is_time = F.col("variable").isin(temporal)
+        numbers = [F.when(~is_time, F.col(p)).alias(p) for p in PROFILE] if numeric else []
+        times = [F.when(is_time, F.timestamp_micros(F.round(p).cast("bigint"))).alias(f"t_{p}") for p in PROFILE] if temporal else []
+        out = out.join(found.select("variable", *numbers, *times), "variable", "left")
     if text:
         values = df.select(*text).unpivot([], text, "variable", "value").dropna().distinct()
         out = out.join(values.groupBy("variable").agg(F.count(F.lit(1)).alias("n_levels")), "variable", "left")
@@ -72,8 +75,7 @@ def category_block(
 ) -> DataFrame:
     """(variable, level, grp, n, pct): counts and column percentages, all variables in one aggregation."""
     text = df.select(F.col(group).cast("string").alias("_grp"), *[F.col(v).cast("string").alias(v) for v in variables])
-    long = text.filter(F.col("_grp").isNotNull()).unpivot("_grp", list(variables), "variable", "level")
-    long = long.withColumnRenamed("_grp", "grp")
+    long = long_rows(text.filter(F.col("_grp").isNotNull()), ["_grp"], variables, "level").withColumnRenamed("_grp", "grp")
     if not include_missing:
         long = long.filter(F.col("level").isNotNull())
     counts = long.groupBy("variable", "level", "grp").agg(F.count(F.lit(1)).alias("n"))
@@ -92,13 +94,8 @@ def number_block(
     wide = wide.filter(F.col("_grp").isNotNull())
     if show_all:
         wide = wide.withColumn("_grp", F.explode(F.array(F.col("_grp"), F.lit(ALL))))
-    moments = (
-        wide.unpivot(["_grp"], list(variables), "variable", "value")
-        .groupBy("variable", "_grp")
-        .agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"))
-    )
-    quarts = exact_quantiles(wide, variables, QUARTILES, ["_grp"], ranges).drop("total")
-    return moments.join(quarts, ["variable", "_grp"], "left").withColumnRenamed("_grp", "grp")
+    found = exact_quantiles(wide, variables, QUARTILES, ["_grp"], ranges, moments=True)
+    return found.select("variable", F.col("_grp").alias("grp"), F.col("total").alias("n"), "mean", "sd", *QUARTILES)
 
 
 def bivariate_table(
