@@ -1,6 +1,8 @@
 """The physical plans the operators are meant to have, read after execution."""
 
 import re
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -64,3 +66,14 @@ def test_scan_pushes_filters_and_prunes_columns(spark, capsys):
 def test_attrition_is_one_pass(spark):
     plan = final_plan(spark, "cohort_attrition")
     assert plan.count("FileScan") == 1 and shuffles(plan) == 0
+
+
+@pytest.mark.parametrize("lacking", ["tokenizers", "cohortry.llm"])
+def test_the_core_does_without_the_text_operators(lacking):
+    code = (
+        "import sys, warnings; warnings.simplefilter('ignore');"
+        f"sys.modules[{lacking!r}] = None; import __spark_entry__ as e;"
+        "from catalogue.registry import QUERIES, ORACLES;"
+        "assert e.queries().keys() == QUERIES.keys() and e.oracle_sql().keys() == ORACLES.keys()"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent)
