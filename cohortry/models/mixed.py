@@ -125,16 +125,16 @@ def _fit_pooled(pat: DataFrame, fits: list[_Fit], max_iter: int, tol: float) ->
     """Plain logistic fits of all cells."""
     p = len(fits[0].beta)
     for _ in range(max_iter):
-        sums = _pooled_pass(pat, fits)
+        running = [i for i, f in enumerate(fits) if f.status == "running"]
+        sums = _pooled_pass(_of_cells(pat, running, fits), fits)
         moving = False
-        for i, f in enumerate(fits):
+        for i in running:
+            f = fits[i]
             if i not in sums:
                 f.status = "no rows"
                 continue
             ll, score, info = sums[i][0], sums[i][1 : 1 + p], sums[i][1 + p :].reshape(p, p)
             a = f.active
-            if f.status not in ("running",):
-                continue
             if np.any(np.diag(info)[a] <= 1e-10):
                 f.status = "not estimable"
                 continue
@@ -164,6 +164,11 @@ def _fit_pooled(pat: DataFrame, fits: list[_Fit], max_iter: int, tol: float) ->
             f.status = "iteration limit"
 
 
+def _of_cells(df: DataFrame, cells: Sequence[int], fits: Sequence[_Fit]) -> DataFrame:
+    """The rows of some cells; settled ones cost nothing more."""
+    return df if len(cells) == len(fits) else df.filter(F.col("cell").isin(*cells))
+
+
 def _node_pass(pat: DataFrame, state: DataFrame, fits: list[_Fit], nodes: np.ndarray, weights: np.ndarray):
     """One pass: per-group results (checkpointed, the next state) and sums per cell."""
     p = len(fits[0].beta)
@@ -238,32 +243,37 @@ def _fit_mixed(pat: DataFrame, fits: list[_Fit], q: int, max_iter: int, tol: flo
     live = [i for i, f in enumerate(fits) if f.status == "converged"]
     for i in live:
         fits[i].status, fits[i].best, fits[i].ll = "running", None, -math.inf
-    pat = pat.filter(F.col("cell").isin(live)) if len(live) < len(fits) else pat
+    pat = _of_cells(pat, live, fits)
     if not live:
         return {}
     state = pat.select("cell", "grp").distinct().select("cell", "grp", F.lit(0.0).alias("a"), F.lit(0.0).alias("w"))
     state = broadcast_if_small(checkpointed(state))
     sizes: dict[int, int] = {}
-    warm = 2
+    settled: list[DataFrame] = []
+    running, warm = live, 2
     for it in range(max_iter + warm):
-        groups, totals, info = _node_pass(pat, state, fits, nodes, weights)
-        sizes = {c: t[1] for c, t in totals.items()}
-        state = _small(
-            groups.select("cell", "grp", F.col("a_next").alias("a"), F.col("w_next").alias("w")), sum(sizes.values())
-        )
-        if it < warm:
-            continue
-        running = [i for i in live if fits[i].status == "running"]
-        for i in running:
-            _newton_step(fits[i], totals[i][0], *_unpack(totals[i][2], info[i], p), tol)
-        if not any(fits[i].status == "running" for i in live):
+        groups, totals, info = _node_pass(_of_cells(pat, running, fits), state, fits, nodes, weights)
+        sizes |= {c: t[1] for c, t in totals.items()}
+        state = groups.select("cell", "grp", F.col("a_next").alias("a"), F.col("w_next").alias("w"))
+        if it >= warm:
+            for i in running:
+                _newton_step(fits[i], totals[i][0], *_unpack(totals[i][2], info[i], p), tol)
+        left = [i for i in running if fits[i].status == "running"]
+        if len(left) < len(running):
+            # The state of what has settled waits for the standard errors.
+            settled.append(state.filter(~F.col("cell").isin(*left)) if left else state)
+            state = state.filter(F.col("cell").isin(*left)) if left else state.limit(0)
+        running = left
+        if not running:
             break
+        state = _small(state, sum(sizes[i] for i in running))
     for i in live:
         f = fits[i]
         if f.status == "running":
             f.status = "iteration limit"
             if f.best is not None:
                 f.beta, f.log_sigma = f.best
+    state = _small(reduce(lambda a, b: a.unionByName(b), [*settled, *([state] if running else [])]), sum(sizes.values()))
 
     # Standard errors from the exact information of the quadrature sum at the estimates.
     groups, totals, _ = _node_pass(pat, state, fits, nodes, weights)
