@@ -2,21 +2,24 @@
 
 Every occurrence of a common word (an anchor) gives a spot signature: the anchor with the next two words that are no
 anchors. A text without any takes its three-word windows. A document's set of signatures is compared by Jaccard
-similarity; sets whose lengths alone rule a similarity out are never compared. The printed fingerprint is the set's
-size and its 64 smallest 32-bit hashes, which estimate the similarity (exactly for sets of up to 64).
+similarity on whole sets; sets whose lengths alone rule a similarity out are never compared. The printed fingerprint is the set's
+size, a digest of the whole set and its 64 smallest 32-bit hashes.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cohortry.llm.common import hashes, mixed, utf8, windows
 
@@ -48,33 +51,29 @@ def spots(text: bytes) -> np.ndarray:
     return np.unique(chain)
 
 
-def sketch(signatures: np.ndarray) -> tuple[int, np.ndarray]:
-    return len(signatures), np.unique(signatures >> np.uint64(32))[:SKETCH]
+def printed(signatures: np.ndarray) -> str:
+    low = np.unique(signatures >> np.uint64(32))[:SKETCH]
+    return f"{len(signatures)}:{xxhash.xxh3_64_hexdigest(signatures.tobytes())}:{low.astype('>u4').tobytes().hex()}"
 
 
-def printed(s: tuple[int, np.ndarray]) -> str:
-    return f"{s[0]}:" + s[1].astype(">u4").tobytes().hex()
-
-
-def likeness(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> float:
-    """Estimated Jaccard similarity, at most what the set sizes allow; two empty sets are alike."""
-    if not a[0] or not b[0]:
-        return float(a[0] == b[0])
-    union = np.union1d(a[1], b[1])[:SKETCH]
-    both = np.isin(union, a[1], assume_unique=True) & np.isin(union, b[1], assume_unique=True)
-    return min(float(both.mean()), min(a[0], b[0]) / max(a[0], b[0]))
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sorted sets; two empty sets are alike."""
+    if not len(a) or not len(b):
+        return float(len(a) == len(b))
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / (len(a) + len(b) - common)
 
 
 def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    held = None  # bucket, id, text, sketch of the row that waits for its successor
+    held = None  # bucket, id, text, signatures of the row that waits for its successor
 
-    def row(text, own, other, next_sketch) -> tuple:
+    def row(text, own, other, following) -> tuple:
         cut = len(text) // 2
         edited = text[: len(text) - cut] + other[:cut]
-        mine = sketch(spots(edited.encode()))
+        mine = spots(edited.encode())
         digest = hashlib.sha256(edited.encode()).hexdigest()
-        return len(text), digest, printed(own), printed(mine), likeness(own, mine), likeness(own, next_sketch)
+        return len(text), digest, printed(own), printed(mine), likeness(own, mine), likeness(own, following)
 
     for batch in batches:
         out: list[list] = [[] for _ in names]
@@ -82,7 +81,7 @@ def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if copy and (held is None or held[0] != bucket):
                 continue  # another copy of the first document: the bucket is done
             text = text.as_py()
-            own = sketch(spots(text.encode()))
+            own = spots(text.encode())
             if held is not None and held[0] == bucket:
                 for column, value in zip(out, (held[1], *row(held[2], held[3], text, own))):
                     column.append(value)
@@ -91,32 +90,68 @@ def _edited(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names)
 
 
+def range_starts(base: DataFrame, parts: int) -> list[tuple[int | None, int]]:
+    """Where ranges of about equal size begin, as ascending (id, hash); an id that fills several ranges is cut by hash.
+
+    At most as many numbers as partitions are held."""
+    shares = [i / parts for i in range(1, parts)] or [0.5]
+    cuts, n, nulls = base.agg(F.percentile_approx("id", shares, 100 * parts), F.count(F.lit(1)), F.count_if(F.col("id").isNull())).first()
+    full = Counter(cuts or [])
+    # The empty id has no percentile.
+    full[None] = parts * nulls // n if n else 0
+    starts = []
+    for value, ranges in sorted(full.items(), key=lambda kv: (kv[0] is not None, kv[0] or 0)):
+        starts += [(value, (k << 64) // max(1, ranges) - (1 << 63)) for k in range(value is None, ranges)]
+    return starts
+
+
+def _bucket(starts: list[tuple[int | None, int]]):
+    """A function (id, hash) -> number of range starts at or below it; only these two numbers go to Python."""
+    nulls = np.array([h for i, h in starts if i is None], np.int64)
+    ids = np.array([i for i, _ in starts if i is not None], np.int64)
+    hashes_ = np.array([h for i, h in starts if i is not None], np.int64)
+
+    @F.arrow_udf("int")
+    def run(id_: pa.Array, hash_: pa.Array) -> pa.Array:
+        h = hash_.to_numpy(zero_copy_only=False)
+        known = pc.is_valid(id_).to_numpy(zero_copy_only=False)
+        i = pc.fill_null(id_, 0).to_numpy(zero_copy_only=False)
+        low, high = np.searchsorted(ids, i, "left"), np.searchsorted(ids, i, "right")
+        out = len(nulls) + high
+        for at in np.unique(low[known & (high - low > 1)]):
+            rows = known & (low == at) & (high - low > 1)
+            end = int(high[rows][0])
+            out[rows] = len(nulls) + at + np.searchsorted(hashes_[at:end], h[rows], "right")
+        return pa.array(np.where(known, out, np.searchsorted(nulls, h, "right")).astype(np.int32))
+
+    return run
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has its last floor(n / 2) code points replaced by the first as many of the next document's, in
-    ascending id order (NULL ids first, equal ids by text; after the last the first). Documents are dealt to ranges of
-    ids; the first document of a range is sent to the range before as well, so one shuffle brings every document to its
-    successor. A NULL or empty text is the empty text with the empty set. Repeated rows are documents of their own.
+    ascending id order (NULL ids first, equal ids by a hash of the text; after the last the first). Documents are dealt to
+    ranges of (id, hash); the first document of a range is sent to the range before as well, so one shuffle brings every
+    document to its successor. A NULL or empty text is the empty text with the empty set. Repeated rows are documents of their own.
     Other columns are ignored; an empty frame gives no rows.
     """
     base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / parts for i in range(1, parts)]
-    cuts = base.agg(F.percentile_approx("id", shares or [0.5], 100 * parts)).first()[0]
-    cuts = sorted(set(cuts or []))
-    bucket = F.aggregate(F.array(*[F.lit(c).cast("bigint") for c in cuts]), F.lit(0), lambda n, c: n + (c <= F.col("id")).cast("int")) if cuts else F.lit(0)
-    placed = base.withColumn("bucket", F.when(F.col("id").isNull(), 0).otherwise(bucket).cast("int"))
-    # One row per range.
-    firsts = placed.groupBy("bucket").agg(F.min("id").alias("id"), F.bool_or(F.col("id").isNull()).alias("nulls")).orderBy("bucket").collect()
-    own = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("copy"))
-    sent = F.array(own)
-    for i, r in enumerate(firsts):
-        first = F.col("id").isNull() if r["nulls"] else F.col("id") == F.lit(r["id"]).cast("bigint")
-        to = F.struct(F.lit(firsts[i - 1]["bucket"]).alias("bucket"), F.lit(True).alias("copy"))
-        sent = F.when((F.col("bucket") == r["bucket"]) & F.coalesce(first, F.lit(False)), F.array(own, to)).otherwise(sent)
-    rows = placed.select(F.explode(sent).alias("s"), "id", "body").select("s.bucket", "s.copy", "id", "body")
-    ordered = rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "copy", "id", "body")
+    base = base.withColumn("hash", F.xxhash64("body"))
+    parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    placed = base.withColumn("bucket", _bucket(range_starts(base, parts))("id", "hash"))
+    # One row per range: its first document, and the range before it (before the first the last), which needs a copy.
+    firsts = placed.groupBy("bucket").agg(F.min(F.struct(F.col("id").isNotNull(), "id", "hash")).alias("least"))
+    order = Window.orderBy("bucket")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    to = F.coalesce(F.lag("bucket").over(order), F.last("bucket").over(whole))
+    firsts = firsts.select(F.col("bucket").alias("_bucket"), F.col("least.id").alias("_id"), F.col("least.hash").alias("_hash"), to.alias("to"))
+    same = (F.col("bucket") == F.col("_bucket")) & F.col("id").eqNullSafe(F.col("_id")) & (F.col("hash") == F.col("_hash"))
+    own, copy = (F.struct(F.col(c).alias("bucket"), F.lit(k).alias("copy")) for c, k in (("bucket", False), ("to", True)))
+    sent = F.when(F.col("to").isNotNull(), F.array(own, copy)).otherwise(F.array(own))
+    rows = placed.join(F.broadcast(firsts), same, "left").select(F.explode(sent).alias("s"), "id", "hash", "body")
+    rows = rows.select("s.bucket", "s.copy", "id", "hash", "body")
+    ordered = rows.repartitionByRange(parts, "bucket").sortWithinPartitions("bucket", "copy", "id", "hash", "body").drop("hash")
     schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
     return ordered.mapInArrow(_edited, schema)
 
