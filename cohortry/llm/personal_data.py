@@ -40,6 +40,9 @@ NEEDED = {
 KINDS = [*BASE, *EXTRA]
 LABELERS = ("format", "gazetteer", "before", "neighbours", "placeholder")
 CONTEXT = 24
+#: Matches that one fold goes through.
+BLOCK = 256
+ARRAY = "array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>"
 
 FORMAT = {
     "email": r"^[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}$",
@@ -79,7 +82,10 @@ PLACEHOLDER = r"(?i)^(?:0+[.-]?)+$|127\.0\.0\.1|(.)\1{7,}|123456789|^x+$|placeho
 
 
 def _spans(text: Column, kind: str) -> Column:
-    """Array of (start, rank, end, kind, value) of the kind's matches: positions add up from what lies between matches."""
+    """Array of (start, rank, end, kind, value) of the kind's matches that hold: positions add up from what lies between matches.
+
+    Matches are taken in blocks: a fold appends to arrays no longer than a block, so the work grows with the matches and
+    not with their square."""
     pattern = F.lit({**BASE, **EXTRA}[kind])
     rank = KINDS.index(kind)
     cells = F.zip_with(
@@ -87,19 +93,31 @@ def _spans(text: Column, kind: str) -> Column:
         F.split(text, {**BASE, **EXTRA}[kind], -1),
         lambda m, gap: F.struct(m.alias("value"), F.length(gap).cast("long").alias("gap")),
     )
-    none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string,value:string>>")
+    none = F.array().cast(ARRAY)
 
     def step(acc, x):
         start = acc["at"] + x["gap"]
         end = start + F.length(x["value"])
         span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+        # The last piece has no match behind it.
+        held = x["value"].isNotNull() & _holds(kind, x["value"])
+        return F.struct(F.coalesce(end, start).alias("at"), F.when(held, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+
+    def block(acc, part):
+        begun = F.struct(acc["at"].alias("at"), none.alias("spans"))
+        done = F.aggregate(part, begun, step)
+        return F.struct(done["at"].alias("at"), F.concat(acc["blocks"], F.array(done["spans"])).alias("blocks"))
+
+    begin = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{ARRAY}>").alias("blocks"))
+
+    def spans(found):
+        n = F.floor((F.size(found) - 1) / F.lit(BLOCK)).cast("int")
+        parts = F.transform(F.sequence(F.lit(0), n), lambda i: F.slice(found, i * BLOCK + 1, BLOCK))
+        return F.flatten(F.aggregate(parts, begin, block)["blocks"])
 
-    # The last piece has no match behind it.
-    found = F.aggregate(
-        F.filter(cells, lambda x: x["value"].isNotNull()), F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans")), step
-    )["spans"]
-    return F.when(text.rlike(NEEDED[kind]), F.filter(found, lambda s: _holds(kind, s["value"]))).otherwise(none)
+    # As the element of an array the matches are found once, however often they are named below it.
+    found = F.get(F.transform(F.array(cells), spans), F.lit(0))
+    return F.when(text.rlike(NEEDED[kind]), found).otherwise(none)
 
 
 def _holds(kind: str, value: Column) -> Column:

@@ -2,6 +2,8 @@
 
 import hashlib
 import re
+import time
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -75,3 +77,24 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string, lang string")
     assert find_personal_data(docs).count() == 0
     assert redact(docs).columns == ["doc_id", "text", "lang"]
+
+
+def test_time_grows_with_the_numbers_of_a_text(spark):
+    def seconds(n):
+        docs = spark.createDataFrame([(1, "12, " * n)], "doc_id bigint, text string")
+        start = time.perf_counter()
+        assert find_personal_data(docs).select(F.size("all_spans")).first()[0] == 0
+        return time.perf_counter() - start
+
+    seconds(100)
+    few, many = min(seconds(5_000) for _ in range(2)), seconds(20_000)
+    assert many < 4 * few
+
+
+def test_spans_over_block_borders(spark):
+    """More matches than a block, some of which hold."""
+    text = "".join(f"12, +49 30 {1000000 + i}; a{i}@b.example é " if i % 3 == 0 else "7 8 9 " for i in range(900))
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    spans = find_personal_data(docs).select("base_spans").first()[0]
+    assert [text[s.start : s.end] for s in spans] == [s.value for s in spans]
+    assert Counter(s.kind for s in spans) == {"email": 300, "phone": 300}
