@@ -64,6 +64,7 @@ def transfer_rates(spark, d):
     return rounded(joined).orderBy(F.desc("hf_ALL_transferred_rf"), "oshpd_id")
 
 
+# Payer codes of both sources, written apart from the operator.
 PAYER = """CASE
   WHEN database = 'pdd' AND payer = '3' THEN 'Private' WHEN database = 'pdd' AND payer = '2' THEN 'Medicaid'
   WHEN database = 'pdd' AND payer = '8' THEN 'Uninsured/self-pay'

@@ -40,6 +40,7 @@ UTILISATION_COLUMNS = [
     "LATITUDE",
 ]
 ED_LEVELS = ["Basic", "Standby", "Comprehensive"]
+# Ids of the children's hospitals.
 CHILDRENS_HOSPITALS = [
     "106010776",
     "106010856",
