@@ -45,13 +45,13 @@ LABEL_COLS, LABEL_JOINS = slot_joins("cod", "dx_code", {"major": "major", "sub":
 
 @query("code_slots_lookup", f"WITH {VIS}, {COD} SELECT id, {LABEL_COLS} FROM vis {LABEL_JOINS}")
 def code_slots_lookup(spark, d):
-    out = slots.lookup_slots(visits(spark, d), SLOTS, codes(spark, d), "dx_code", ["major", "sub"], form="join")
+    out = slots.lookup_slots(visits(spark, d), SLOTS, codes(spark, d), "dx_code", ["major", "sub"], form="join", on_duplicate="all")
     return out.select("id", *[f"{v}_{s}" for s in SLOTS for v in ("major", "sub")])
 
 
 @query("code_slots_lookup_long", f"WITH {VIS}, {COD} SELECT id, {LABEL_COLS} FROM vis {LABEL_JOINS}")
 def code_slots_lookup_long(spark, d):
-    out = slots.lookup_slots(visits(spark, d), SLOTS, codes(spark, d), "dx_code", ["major", "sub"], "id", form="long")
+    out = slots.lookup_slots(visits(spark, d), SLOTS, codes(spark, d), "dx_code", ["major", "sub"], "id", "long", "all")
     return out.select("id", *[f"{v}_{s}" for s in SLOTS for v in ("major", "sub")])
 
 
@@ -60,7 +60,7 @@ def code_slots_lookup_long(spark, d):
     f"WITH {VIS}, {COD} SELECT id, {', '.join(f'j{i}.major AS {s}' for i, s in enumerate(SLOTS))} FROM vis {LABEL_JOINS}",
 )
 def long_lookup_wide(spark, d):
-    return slots.lookup_long_wide(visits(spark, d), "id", SLOTS, codes(spark, d), "dx_code", "major")
+    return slots.lookup_long_wide(visits(spark, d), "id", SLOTS, codes(spark, d), "dx_code", "major", "all")
 
 
 CLEAN = """clean AS (SELECT trim(replace(quoted, '''', '')) AS dx_code, CAST(replace(group_text, '''', '') AS INT) AS ccs_group,
@@ -70,7 +70,7 @@ CCS_COLS, CCS_JOINS = slot_joins("clean", "dx_code", {"ccs_group": "ccs_group",
 
 def ccs_frame(spark, d):
     lookup = clinical.ccs_lookup(codes(spark, d), "quoted", "group_text", "label_text")
-    return clinical.ccs_multilevel(visits(spark, d), SLOTS, lookup)
+    return clinical.ccs_multilevel(visits(spark, d), SLOTS, lookup, on_duplicate="all")
 
 
 @query("ccs_multilevel", f"WITH {VIS}, {COD}, {CLEAN} SELECT id, {CCS_COLS} FROM vis {CCS_JOINS}")
@@ -90,7 +90,7 @@ FROM vis {CCS_JOINS}""",
 )
 def ccs_multilevel_icd10(spark, d):
     lookup = clinical.ccs_lookup(codes(spark, d), "quoted", "group_text")
-    return slots.lookup_long_wide(visits(spark, d), "id", SLOTS, lookup, "dx_code", "ccs_label")
+    return slots.lookup_long_wide(visits(spark, d), "id", SLOTS, lookup, "dx_code", "ccs_label", "all")
 
 
 INJURED = " + ".join(f"coalesce(CAST(ccs_label_{s} = 'Injury and poisoning' AS INT), 0)" for s in SLOTS)
@@ -114,7 +114,7 @@ def injury_flags(spark, d):
 def ccs_single_label(spark, d):
     padded = codes(spark, d).selectExpr("dx_code || '  ' AS category", "sub || chr(13) AS label")
     labels = clinical.ccs_single_labels(padded, "category", "label")
-    return clinical.ccs_single_label(visits(spark, d), labels, "dx_prin").select("id", "ccs285_label")
+    return clinical.ccs_single_label(visits(spark, d), labels, "dx_prin", "all").select("id", "ccs285_label")
 
 
 @query(
@@ -126,7 +126,7 @@ def ccs_single_2018(spark, d):
     """The later label list has categories without a label: they stay NULL."""
     raw = codes(spark, d).selectExpr("dx_code AS category", "nullif(major, 'PROMO') AS label")
     labels = clinical.ccs_single_labels(raw, "category", "label")
-    return clinical.ccs_single_label(visits(spark, d), labels, "odx1").select("id", "ccs285_label")
+    return clinical.ccs_single_label(visits(spark, d), labels, "odx1", "all").select("id", "ccs285_label")
 
 
 FIRST = """first AS (SELECT code_system, code, arg_min(category, priority) AS category FROM ccc GROUP BY ALL)"""
@@ -210,7 +210,7 @@ def illness_severity(spark, d):
     raw = codes(spark, d).selectExpr(
         "dx_code AS ICD9_Code", "severity_text AS Severity_Score", "major AS Major_Group_Desc", "sub AS Subgroup_Desc"
     )
-    out = clinical.illness_severity(visits(spark, d), SLOTS, clinical.severity_lookup(raw))
+    out = clinical.illness_severity(visits(spark, d), SLOTS, clinical.severity_lookup(raw), on_duplicate="all")
     scores = [F.col(f"sev_score_int_{s}").alias(f"sev_{s}") for s in SLOTS]
     return out.select("id", *scores, "sev_score", "sev_major_group", "sev_subgroup", "sev_all_max_int")
 
@@ -234,7 +234,7 @@ SELECT vis.id, m AS max_injury_sev, iss AS injury_sev, p.ais AS injury_sev_dx_pr
 FROM vis LEFT JOIN mx USING (id) LEFT JOIN score USING (id) LEFT JOIN cod p ON vis.dx_prin = p.dx_code""",
 )
 def injury_severity(spark, d):
-    out = clinical.injury_severity(visits(spark, d), SLOTS, codes(spark, d).select("dx_code", "ais", "region"))
+    out = clinical.injury_severity(visits(spark, d), SLOTS, codes(spark, d).select("dx_code", "ais", "region"), on_duplicate="all")
     return out.select(
         "id", "max_injury_sev", "injury_sev", "injury_sev_dx_prin", "injury_sev_cat", "max_injury_sev2",
         "max_injury_sev_factor", "max_injury_sev_int",

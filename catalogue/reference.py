@@ -64,5 +64,6 @@ def ccs_label_vintages(spark, d):
         Vintage("early", early, date(1996, 1, 1), {"CCS_CATEGORIES": "category", "CCS_LABELS": "label"}),
         Vintage("late", late, date(1998, 7, 1), {"X_CATEGORY_": "category", "ccs_grouper": "label"}),
     ]
-    labels = clinical.read_single_labels(spark, vintages)
-    return clinical.ccs_single_label_at(visits(spark, d), labels, vintages, "start_date", "dx_prin").select("id", "ccs285_label")
+    labels = clinical.read_single_labels(spark, vintages, "all")
+    out = clinical.ccs_single_label_at(visits(spark, d), labels, vintages, "start_date", "dx_prin", "all")
+    return out.select("id", "ccs285_label")

@@ -1,22 +1,34 @@
-"""Lookup joins. The lookup key is checked to be unique first, so a join never multiplies the facts."""
+"""Lookup joins. The lookup key is checked to be unique first, so a join never multiplies the facts unless it is asked to:
+``on_duplicate="all"`` gives a row per match, as a left join in SQL does."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from cohortry.session import BROADCAST_ROWS, broadcast_if_small
 from cohortry.sources.numbering import number_rows
 
 
+ON_DUPLICATE = ("error", "first", "all")
+
+
+def key_counts(lookup: DataFrame, keys: Sequence[str]) -> Row:
+    """(most, keys, rows) of a lookup: rows of the most frequent key, number of keys, number of rows."""
+    per_key = lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return per_key.agg(
+        F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")
+    ).first()
+
+
 def count_keys(lookup: DataFrame, keys: Sequence[str]) -> int:
     """Number of keys of a lookup; a repeated one is an error."""
-    per_key = lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    seen = per_key.agg(F.max("n").alias("most"), F.count(F.lit(1)).alias("keys")).first()
-    if (seen["most"] or 0) > 1:
+    seen = key_counts(lookup, keys)
+    if seen["most"] > 1:
+        per_key = lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
         raise ValueError(f"lookup key {list(keys)} repeats, e.g. {per_key.filter('n > 1').first()}")
     return seen["keys"]
 
@@ -29,7 +41,11 @@ def first_per_key(lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def unique_key(lookup: DataFrame, keys: Sequence[str], on_duplicate: str = "error") -> DataFrame:
-    """A lookup with one row per key, hinted for broadcast when the key count allows it."""
+    """A lookup with one row per key (all rows of a key with ``all``), hinted for broadcast when the row count allows it."""
+    if on_duplicate not in ON_DUPLICATE:
+        raise ValueError(f"on_duplicate is one of {ON_DUPLICATE}, not {on_duplicate!r}")
+    if on_duplicate == "all":
+        return broadcast_if_small(lookup)
     if on_duplicate == "first":
         return broadcast_if_small(first_per_key(lookup, keys))
     return F.broadcast(lookup) if count_keys(lookup, keys) <= BROADCAST_ROWS else lookup
@@ -38,7 +54,9 @@ def unique_key(lookup: DataFrame, keys: Sequence[str], on_duplicate: str = "erro
 def lookup_join(
     df: DataFrame, lookup: DataFrame, keys: str | Sequence[str], on_duplicate: str = "error", null_safe: bool = False
 ) -> DataFrame:
-    """Left join on equal names. ``null_safe`` lets a NULL key find a NULL key."""
+    """Left join on equal names. ``null_safe`` lets a NULL key find a NULL key.
+
+    A repeated lookup key is an error; ``on_duplicate="first"`` takes its smallest row, ``"all"`` gives a row for each."""
     keys = [keys] if isinstance(keys, str) else list(keys)
     small = unique_key(lookup, keys, on_duplicate)
     if not null_safe:

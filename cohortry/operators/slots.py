@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.operators.joins import count_keys
+from cohortry.operators.joins import count_keys, key_counts
 from cohortry.session import BROADCAST_ROWS, broadcast_if_small, stored
 
 def wide_to_long(df: DataFrame, id_col: str, cols: Sequence[str], slot: str = "slot", code: str = "code") -> DataFrame:
@@ -45,39 +45,81 @@ def lookup_slots(
     values: Sequence[str],
     id_col: str | None = None,
     form: str = "auto",
+    on_duplicate: str = "error",
+    first_values: Sequence[str] = (),
 ) -> DataFrame:
-    """Attach the looked-up values of every slot as ``<value>_<slot>`` columns.
+    """Attach the looked-up values of every slot as ``<value>_<slot>`` columns, and ``first_values`` of the first slot's code
+    under their own names.
 
     ``join`` broadcasts the lookup once and joins it per slot: no shuffle of the facts. ``long`` turns the
     slots into rows, joins once and turns them back: for lookups too large to broadcast. It goes by row numbers of its
     own, so repeated and NULL ids give the rows of the join form; asked for by name it wants ``id_col`` all the same.
-    ``auto`` chooses by counting the lookup and works without ``id_col``.
+    ``auto`` chooses by counting the lookup and works without ``id_col``. Of a lookup too large to broadcast, both look for the
+    codes that the slots hold, and broadcast these if they are few enough.
+
+    A repeated code is an error, unless ``on_duplicate="all"`` asks for a row per match (per combination of matches over the
+    slots), as left joins in SQL give them, in either form.
     """
-    lookup = lookup.select(code, *values)
-    small = count_keys(lookup, [code]) <= BROADCAST_ROWS
     if form == "long" and id_col is None:
         raise ValueError("the long form needs id_col")
+    if on_duplicate not in ("error", "all"):
+        raise ValueError(f"on_duplicate is 'error' or 'all', not {on_duplicate!r}")
+    lookup = lookup.select(code, *values, *first_values)
+    if on_duplicate == "error":
+        rows, repeated = count_keys(lookup, [code]), False
+    else:
+        seen = key_counts(lookup, [code])
+        rows, repeated = seen["rows"], seen["most"] > 1
+    if form != "long":
+        lookup, rows = held_part(df, slots, lookup, code, rows)
+    small = rows <= BROADCAST_ROWS
     if form == "auto":
         form = "join" if small else "long"
+
+    def of(slot: str) -> dict[str, str]:
+        """Value → its column for the slot."""
+        return {**{v: f"{v}_{slot}" for v in values}, **({v: v for v in first_values} if slot == slots[0] else {})}
+
     if form == "join":
         side = F.broadcast(lookup) if small else lookup
         for s in slots:
-            names = {code: f"_{s}", **{v: f"{v}_{s}" for v in values}}
-            df = df.join(side.withColumnsRenamed(names), F.col(s) == F.col(f"_{s}"), "left").drop(f"_{s}")
+            named = side.select(F.col(code).alias(f"_{s}"), *[F.col(v).alias(n) for v, n in of(s).items()])
+            df = df.join(named, F.col(s) == F.col(f"_{s}"), "left").drop(f"_{s}")
         return df
     # Written once with their numbers; the lookup reads the numbers and slots only.
     df = stored(df.withColumn("_row", F.monotonically_increasing_id()), "numbered-slots")
     long = wide_to_long(df.select("_row", *slots), "_row", slots, "_slot", "_code")
+    if repeated:
+        # One row per code with all its rows as a list, so that a row's slots still meet in one row; the lists are spread at the end.
+        lookup = lookup.groupBy(code).agg(F.collect_list(F.struct(*values, *first_values)).alias("_all"))
+        found = long.join(lookup.withColumnRenamed(code, "_code"), "_code", "inner")
+        lists = [F.first(F.when(F.col("_slot") == s, F.col("_all")), ignorenulls=True).alias(f"_all_{s}") for s in slots]
+        out = df.join(found.groupBy("_row").agg(*lists), "_row", "left")
+        for s in slots:
+            out = out.withColumn(f"_all_{s}", F.explode_outer(f"_all_{s}"))
+        named = [F.col(f"_all_{s}")[v].alias(n) for s in slots for v, n in of(s).items()]
+        return out.select(*[c for c in df.columns if c != "_row"], *named)
     found = long.join(lookup.withColumnRenamed(code, "_code"), "_code", "inner")
     wide = found.groupBy("_row").agg(
-        *[F.first(F.when(F.col("_slot") == s, F.col(v)), ignorenulls=True).alias(f"{v}_{s}") for s in slots for v in values]
+        *[F.first(F.when(F.col("_slot") == s, F.col(v)), ignorenulls=True).alias(n) for s in slots for v, n in of(s).items()]
     )
     return df.join(wide, "_row", "left").drop("_row")
 
 
-def lookup_long_wide(df: DataFrame, id_col: str, slots: Sequence[str], lookup: DataFrame, code: str, value: str) -> DataFrame:
+def held_part(df: DataFrame, slots: Sequence[str], lookup: DataFrame, code: str, rows: int) -> tuple[DataFrame, int]:
+    """A lookup and its number of rows; of one too large to broadcast, the rows of the codes that the slots hold."""
+    if rows <= BROADCAST_ROWS:
+        return lookup, rows
+    held = df.select(F.explode(F.array_distinct(F.array_compact(F.array(*slots)))).alias(code)).distinct()
+    part = stored(lookup.join(held, code, "left_semi"), "held-codes")
+    return part, part.count()
+
+
+def lookup_long_wide(
+    df: DataFrame, id_col: str, slots: Sequence[str], lookup: DataFrame, code: str, value: str, on_duplicate: str = "error"
+) -> DataFrame:
     """Replace the codes of every slot by their label: id plus one label column per slot."""
-    named = lookup_slots(df.select(id_col, *slots), slots, lookup, code, [value], id_col)
+    named = lookup_slots(df.select(id_col, *slots), slots, lookup, code, [value], id_col, on_duplicate=on_duplicate)
     return named.select(id_col, *[F.col(f"{value}_{s}").alias(s) for s in slots])
 
 

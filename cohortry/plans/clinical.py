@@ -4,6 +4,7 @@ read from the user's files, see ``code_table``."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from cohortry.functions.levels import factor, flag_factor
 from cohortry.functions.recode import band, case_when, in_set, recode_map, values_to_null
 from cohortry.functions.rowwise import row_any, row_count_true, row_max
 from cohortry.functions.text import replace_text, safe_cast, strip_chars
-from cohortry.operators.joins import lookup_join
-from cohortry.operators.slots import classify, lookup_slots
+from cohortry.operators.joins import key_counts, lookup_join
+from cohortry.operators.slots import classify, held_part, lookup_slots
+from cohortry.session import BROADCAST_ROWS
 from cohortry.sources.reference import Vintage, label_at, read_reference
 
 # The 18 multi-level groups in order of their number.
@@ -75,9 +77,11 @@ def ccs_lookup(raw: DataFrame, code: str, group: str, label: str | None = None)
     return raw.select(strip_chars(code).alias("dx_code"), number.alias("ccs_group"), text.alias("ccs_label"))
 
 
-def ccs_multilevel(df: DataFrame, slots: Sequence[str], lookup: DataFrame, id_col: str | None = None, form: str = "auto") -> DataFrame:
+def ccs_multilevel(
+    df: DataFrame, slots: Sequence[str], lookup: DataFrame, id_col: str | None = None, form: str = "auto", on_duplicate: str = "error"
+) -> DataFrame:
     """``ccs_group_<slot>`` and ``ccs_label_<slot>`` for every slot."""
-    return lookup_slots(df, slots, lookup, "dx_code", ["ccs_group", "ccs_label"], id_col, form)
+    return lookup_slots(df, slots, lookup, "dx_code", ["ccs_group", "ccs_label"], id_col, form, on_duplicate)
 
 
 def injury_flags(df: DataFrame, slots: Sequence[str]) -> DataFrame:
@@ -98,10 +102,10 @@ def ccs_single_labels(raw: DataFrame, key: str, label: str) -> DataFrame:
     return raw.select(F.trim(F.regexp_replace(key, "[\\r']", "")).alias("ccs"), F.trim(F.regexp_replace(label, "\\r", "")).alias("ccs285_label"))
 
 
-def ccs_single_label(df: DataFrame, labels: DataFrame, col: str = "ccs_dx_prin") -> DataFrame:
+def ccs_single_label(df: DataFrame, labels: DataFrame, col: str = "ccs_dx_prin", on_duplicate: str = "error") -> DataFrame:
     """Label of the single-level category already in the data; unlisted → NULL."""
     keyed = df.withColumn("ccs", F.trim(F.col(col).cast("string")))
-    return lookup_join(keyed, labels, "ccs").drop("ccs")
+    return lookup_join(keyed, labels, "ccs", on_duplicate).drop("ccs")
 
 
 def code_table(raw: DataFrame, groups: Sequence[str] = tuple(CCC_GROUPS)) -> DataFrame:
@@ -123,14 +127,16 @@ def read_code_table(spark: SparkSession, vintages: Sequence[Vintage], groups: Se
     return out
 
 
-def read_single_labels(spark: SparkSession, vintages: Sequence[Vintage]) -> DataFrame:
+def read_single_labels(spark: SparkSession, vintages: Sequence[Vintage], on_duplicate: str = "error") -> DataFrame:
     """Single-level label lists (category, label), each file a vintage; a category without a label keeps NULL."""
-    return read_reference(spark, vintages, ["category"], ["label"])
+    return read_reference(spark, vintages, ["category"], ["label"], on_duplicate)
 
 
-def ccs_single_label_at(df: DataFrame, labels: DataFrame, vintages: Sequence[Vintage], day: str, col: str = "ccs_dx_prin") -> DataFrame:
+def ccs_single_label_at(
+    df: DataFrame, labels: DataFrame, vintages: Sequence[Vintage], day: str, col: str = "ccs_dx_prin", on_duplicate: str = "error"
+) -> DataFrame:
     """``ccs285_label`` from the list that held on the row's day."""
-    return label_at(df, labels, vintages, day, {"category": col}, {"label": "ccs285_label"})
+    return label_at(df, labels, vintages, day, {"category": col}, {"label": "ccs285_label"}, on_duplicate)
 
 
 def ccc_classify(
@@ -171,11 +177,12 @@ def severity_lookup(raw: DataFrame) -> DataFrame:
     )
 
 
-def illness_severity(df: DataFrame, slots: Sequence[str], lookup: DataFrame, id_col: str | None = None) -> DataFrame:
+def illness_severity(
+    df: DataFrame, slots: Sequence[str], lookup: DataFrame, id_col: str | None = None, on_duplicate: str = "error"
+) -> DataFrame:
     """Severity of every slot, group names of the principal one, and the maximum over the slots."""
-    scored = lookup_slots(df, slots, lookup, "dx_code", ["sev_score_int"], id_col)
-    names = lookup.select(F.col("dx_code").alias(slots[0]), "sev_score", "sev_major_group", "sev_subgroup")
-    named = lookup_join(scored, names, slots[0])
+    names = ["sev_score", "sev_major_group", "sev_subgroup"]
+    named = lookup_slots(df, slots, lookup, "dx_code", ["sev_score_int"], id_col, on_duplicate=on_duplicate, first_values=names)
     top = row_max([f"sev_score_int_{s}" for s in slots])
     return named.withColumn("sev_all_max_int", top).withColumn(
         "sev_all_max_factor", factor(F.col("sev_all_max_int").cast("string"), "sev_all_max_factor", SEVERITY_LEVELS)
@@ -217,10 +224,61 @@ def injury_score(df: DataFrame, slots: Sequence[str]) -> DataFrame:
     return scored.drop("_top1", "_top2", "_top3", *known)
 
 
-def injury_severity(df: DataFrame, slots: Sequence[str], lookup: DataFrame, id_col: str | None = None) -> DataFrame:
-    """Max severity, score, principal-slot severity and their bands. ``lookup``: dx_code, ais (9 = unknown), region."""
-    coded = lookup_slots(df, slots, lookup, "dx_code", ["ais", "region"], id_col)
-    scored = injury_score(coded, slots).withColumn("injury_sev_dx_prin", F.col(f"ais_{slots[0]}"))
+def injury_lists_score(df: DataFrame, slots: Sequence[str]) -> DataFrame:
+    """``injury_score`` over the lists ``injuries_<slot>``, for codes that stand for several injuries: all of them enter the
+    score. The lists give way to ``ais_<slot>`` and ``region_<slot>``: a row per injury of the first slot's code, the worst known
+    one of the others'."""
+    none = F.array().cast("array<struct<ais:int,region:string>>")
+
+    def held(s: str) -> Column:
+        typed = F.transform(f"injuries_{s}", lambda i: F.struct(i["ais"].cast("int").alias("ais"), i["region"].cast("string").alias("region")))
+        return F.coalesce(typed, none)
+
+    def outside(*taken: str) -> Column:
+        return F.array_max(F.filter("_known", lambda i: ~reduce(lambda a, b: a | b, [i["region"].eqNullSafe(F.col(t)["region"]) for t in taken])))
+
+    parts = df.withColumn("_held", F.concat(*[held(s) for s in slots]))
+    parts = parts.withColumn("_known", F.filter("_held", lambda i: i["ais"].between(1, 8)))
+    parts = parts.withColumn("_top1", F.array_max("_known"))
+    parts = parts.withColumn("_top2", F.when(F.col("_top1").isNotNull(), outside("_top1")))
+    parts = parts.withColumn("_top3", F.when(F.col("_top2").isNotNull(), outside("_top1", "_top2")))
+    best = F.col("_top1")["ais"]
+    squares = best * best
+    for t in ("_top2", "_top3"):
+        squares += F.coalesce(F.col(t)["ais"] * F.col(t)["ais"], F.lit(0))
+    unknown = F.when(F.exists("_held", lambda i: i["ais"] == 9), F.lit(9))
+    scored = parts.withColumns(
+        {
+            "max_injury_sev": F.coalesce(best, unknown),
+            "injury_sev": F.when(best == 6, F.lit(75)).when(best.isNotNull(), squares),
+            f"_i_{slots[0]}": F.explode_outer(f"injuries_{slots[0]}"),
+        }
+    )
+    for s in slots[1:]:
+        known = F.filter(f"injuries_{s}", lambda i: i["ais"].between(1, 8))
+        scored = scored.withColumn(f"_i_{s}", F.coalesce(F.array_max(known), F.array_max(f"injuries_{s}")))
+    named = {f"{v}_{s}": F.col(f"_i_{s}")[v] for s in slots for v in ("ais", "region")}
+    used = [f"{p}_{s}" for s in slots for p in ("injuries", "_i")]
+    return scored.withColumns(named).drop("_held", "_known", "_top1", "_top2", "_top3", *used)
+
+
+def injury_severity(
+    df: DataFrame, slots: Sequence[str], lookup: DataFrame, id_col: str | None = None, on_duplicate: str = "error"
+) -> DataFrame:
+    """Max severity, score, principal-slot severity and their bands. ``lookup``: dx_code, ais (9 = unknown), region.
+
+    A repeated code is an error. With ``on_duplicate="all"`` it stands for several injuries: all of them enter the maximum and
+    the score, and there is a row per injury of the principal code."""
+    seen = key_counts(lookup, ["dx_code"]) if on_duplicate == "all" else None
+    if seen and seen["most"] > 1:
+        lookup, rows = held_part(df, slots, lookup, "dx_code", seen["rows"])
+        lists = lookup.groupBy("dx_code").agg(F.collect_list(F.struct("ais", "region")).alias("injuries"))
+        # The lists' rows decide on a broadcast, not the number of lists.
+        form = "join" if rows <= BROADCAST_ROWS else "long"
+        scored = injury_lists_score(lookup_slots(df, slots, lists, "dx_code", ["injuries"], id_col or slots[0], form), slots)
+    else:
+        scored = injury_score(lookup_slots(df, slots, lookup, "dx_code", ["ais", "region"], id_col), slots)
+    scored = scored.withColumn("injury_sev_dx_prin", F.col(f"ais_{slots[0]}"))
 
     def printed(col: str) -> Column:
         return case_when(

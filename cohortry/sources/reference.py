@@ -33,9 +33,13 @@ def clean_text(col: Column | str) -> Column:
     return F.nullif(F.trim(F.regexp_replace(c, "[\\r\\n'\"]", "")), F.lit(""))
 
 
-def read_reference(spark: SparkSession, vintages: Sequence[Vintage], keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """(vintage, keys…, values…) of all files, cleaned. An empty key, a repeated key or a wrong number of keys is an error that
-    names the vintage. All files are checked in one aggregation."""
+def read_reference(
+    spark: SparkSession, vintages: Sequence[Vintage], keys: Sequence[str], values: Sequence[str], on_duplicate: str = "error"
+) -> DataFrame:
+    """(vintage, keys…, values…) of all files, cleaned. An empty key, a repeated key (unless ``on_duplicate="all"`` keeps all its
+    rows) or a wrong number of keys is an error that names the vintage. All files are checked in one aggregation."""
+    if on_duplicate not in ("error", "all"):
+        raise ValueError(f"on_duplicate is 'error' or 'all', not {on_duplicate!r}")
     if len({v.name for v in vintages}) < len(vintages):
         raise ValueError("vintage names repeat")
     parts = []
@@ -46,11 +50,11 @@ def read_reference(spark: SparkSession, vintages: Sequence[Vintage], keys: Seque
             raise ValueError(f"{v.name}: no column {sorted(lacking)} among {raw.columns}")
         parts.append(raw.select(F.lit(v.name).alias("vintage"), *[clean_text(c).alias(c) for c in (*keys, *values)]))
     out = union_all(parts)
-    check_keys(out, keys, {v.name: v.n_keys for v in vintages})
+    check_keys(out, keys, {v.name: v.n_keys for v in vintages}, on_duplicate == "all")
     return out
 
 
-def check_keys(table: DataFrame, keys: Sequence[str], expected: Mapping[str, int | None]) -> None:
+def check_keys(table: DataFrame, keys: Sequence[str], expected: Mapping[str, int | None], may_repeat: bool = False) -> None:
     filled = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     per_key = table.groupBy("vintage", *keys).agg(F.count(F.lit(1)).alias("n"))
     seen = per_key.groupBy("vintage").agg(
@@ -59,7 +63,7 @@ def check_keys(table: DataFrame, keys: Sequence[str], expected: Mapping[str, int
     found = {r["vintage"]: r for r in seen.collect()}
     for name, n_keys in expected.items():
         r = found.get(name) or {"empty": 0, "repeated": 0, "keys": 0}
-        if r["empty"] or r["repeated"]:
+        if r["empty"] or (r["repeated"] and not may_repeat):
             raise ValueError(f"{name}: {r['empty']} empty and {r['repeated']} repeated keys {list(keys)}")
         if n_keys not in (None, r["keys"]):
             raise ValueError(f"{name}: {r['keys']} keys, published with {n_keys}")
@@ -77,7 +81,13 @@ def vintage_at(day: Column | str, vintages: Sequence[Vintage]) -> Column:
 
 
 def label_at(
-    df: DataFrame, table: DataFrame, vintages: Sequence[Vintage], day: Column | str, on: Mapping[str, str], values: Mapping[str, str]
+    df: DataFrame,
+    table: DataFrame,
+    vintages: Sequence[Vintage],
+    day: Column | str,
+    on: Mapping[str, str],
+    values: Mapping[str, str],
+    on_duplicate: str = "error",
 ) -> DataFrame:
     """Look every row up in the vintage of its day: ``on`` maps the table's keys to columns of the rows, ``values`` the table's
     values to the new columns. One join by (vintage, keys); rows without a match get NULL."""
@@ -86,4 +96,4 @@ def label_at(
     side = table.select(
         F.col("vintage").alias("_vintage"), *[F.col(k).alias(f"_k_{k}") for k in on], *[F.col(v).alias(n) for v, n in values.items()]
     )
-    return lookup_join(keyed, side, ["_vintage", *[f"_k_{k}" for k in on]]).drop("_vintage", *[f"_k_{k}" for k in on])
+    return lookup_join(keyed, side, ["_vintage", *[f"_k_{k}" for k in on]], on_duplicate).drop("_vintage", *[f"_k_{k}" for k in on])

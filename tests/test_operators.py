@@ -320,3 +320,44 @@ def test_column_summary_profiles_dates(spark):
     assert tuple(got["d"])[1:] == (1, None, "2011-01-01 00:00:00", "2011-01-02 00:00:00", "2011-01-03 00:00:00")
     assert tuple(got["t"])[1:] == (2, None, *["2011-01-01 06:00:00"] * 3)
     assert got["n"]["p50"] == 2.0 and got["n"]["lo"] is None
+
+
+def test_repeated_codes_give_a_row_per_match(spark, monkeypatch):
+    """As left joins per slot in SQL, in every form."""
+    df = spark.createDataFrame([(1, "a", "b"), (2, "b", "a"), (3, None, "a"), (4, "x", None)], "id int, s1 string, s2 string")
+    lookup = spark.createDataFrame([("a", 1, "p"), ("a", 2, "q"), ("b", 3, None), ("c", 4, "r"), ("c", 5, "s")], "code string, v int, w string")
+    df.createOrReplaceTempView("dup_facts")
+    lookup.createOrReplaceTempView("dup_codes")
+    want = rows(spark.sql(
+        "SELECT id, x.w, x.v, y.v FROM dup_facts LEFT JOIN dup_codes x ON s1 = x.code LEFT JOIN dup_codes y ON s2 = y.code"
+    ))
+    assert len(want) == 7
+    for limit in (200_000, 3, 1):
+        monkeypatch.setattr(slots, "BROADCAST_ROWS", limit)
+        for form in ("auto", "join", "long"):
+            got = slots.lookup_slots(df, ["s1", "s2"], lookup, "code", ["v"], "id", form, "all", ["w"])
+            assert sorted(rows(got.select("id", "w", "v_s1", "v_s2")), key=repr) == sorted(want, key=repr)
+    wide = slots.lookup_long_wide(df, "id", ["s1", "s2"], lookup, "code", "v", "all")
+    assert sorted(rows(wide), key=repr) == sorted([(i, a, b) for i, _, a, b in want], key=repr)
+    with pytest.raises(ValueError, match="on_duplicate"):
+        slots.lookup_slots(df, ["s1"], lookup, "code", ["v"], on_duplicate="first")
+
+
+def test_a_large_lookup_is_cut_to_the_codes_held(spark, monkeypatch):
+    df = spark.createDataFrame([(i, f"c{i % 4}", f"c{i % 3}") for i in range(12)], "id int, s1 string, s2 string")
+    lookup = spark.range(100).selectExpr("concat('c', id) AS code", "id AS v")
+    monkeypatch.setattr(slots, "BROADCAST_ROWS", 10)
+    for form in ("auto", "join"):
+        out = slots.lookup_slots(df, ["s1", "s2"], lookup, "code", ["v"], "id", form)
+        assert rows(out.select("id", "v_s1", "v_s2"), "id") == [(i, i % 4, i % 3) for i in range(12)]
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("broadcast") == 2
+
+
+def test_repeated_lookup_rows_join_all(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "b")], "id int, k string")
+    lookup = spark.createDataFrame([("a", 1), ("a", 2), (None, 3)], "k string, v int")
+    got = joins.lookup_join(df, lookup, "k", "all")
+    assert sorted(rows(got.select("id", "v")), key=repr) == [(1, 1), (1, 2), (2, None), (3, None)]
+    assert sorted(rows(joins.lookup_join(df, lookup, "k", "all", null_safe=True).select("id", "v")), key=repr) == [(1, 1), (1, 2), (2, 3), (3, None)]
+    with pytest.raises(ValueError, match="on_duplicate"):
+        joins.lookup_join(df, lookup, "k", "any")

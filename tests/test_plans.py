@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortry.functions.levels import levels_of
+from cohortry.operators import slots
 from cohortry.plans import analysis, area, clinical, encounter, hospital, study
 from tests.conftest import rows
 
@@ -264,3 +265,32 @@ def test_flag_factors(spark):
     df = encounter.encounter_recode(spark.createDataFrame([tuple(encounter_row(ed_disp=2).values())], SCHEMA))
     assert levels_of(df, "transferred_char") == ["FALSE", "TRUE"] and df.first()["transferred_char"] == "TRUE"
     assert levels_of(df, "outcome") == ["dc home", "admitted", "transferred"]
+
+
+def test_codes_with_several_injuries(spark, monkeypatch):
+    """All injuries of a code enter the score; a row per injury of the principal code."""
+    lookup = spark.createDataFrame(
+        [("a", 3, "head"), ("a", 4, "chest"), ("b", 2, None), ("b", 5, "limb"), ("u", 9, "face"), ("z", 0, "head")], "dx_code string, ais int, region string"
+    )
+    df = spark.createDataFrame([(1, "a", "b"), (2, "u", None), (3, None, "a"), (4, "z", "u"), (5, None, None)], "id int, dx_prin string, odx1 string")
+    want = [
+        (1, 5, 50, 3, 5), (1, 5, 50, 4, 5), (2, 9, None, 9, None), (3, 4, 25, None, 4), (4, 9, None, 0, 9), (5, None, None, None, None)
+    ]
+    for limit in (200_000, 1):
+        monkeypatch.setattr(clinical, "BROADCAST_ROWS", limit)
+        monkeypatch.setattr(slots, "BROADCAST_ROWS", limit)
+        got = clinical.injury_severity(df, ["dx_prin", "odx1"], lookup, on_duplicate="all")
+        assert sorted(rows(got.select("id", "max_injury_sev", "injury_sev", "injury_sev_dx_prin", "ais_odx1")), key=repr) == want
+    once = lookup.filter("ais NOT IN (3, 2)")
+    single, several = (clinical.injury_severity(df, ["dx_prin", "odx1"], x, on_duplicate="all") for x in (once, lookup))
+    assert sorted(single.columns) == sorted(several.columns)
+
+
+def test_severity_of_repeated_codes(spark):
+    """Score and names of a row come from the same row of the list."""
+    raw = spark.createDataFrame(
+        [("1", "5", "G1", "S1"), ("1", "2", "G2", "S2")], "ICD9_Code string, Severity_Score string, Major_Group_Desc string, Subgroup_Desc string"
+    )
+    df = spark.createDataFrame([(1, "1", "x")], "id int, dx_prin string, odx1 string")
+    got = clinical.illness_severity(df, ["dx_prin", "odx1"], clinical.severity_lookup(raw), on_duplicate="all")
+    assert rows(got.select("sev_score", "sev_major_group", "sev_all_max_int"), "sev_score") == [("2", "G2", 2), ("5", "G1", 5)]

@@ -109,3 +109,11 @@ def test_stems_read_the_facts_once_and_share_one_broadcast(spark):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan") == 1 and plan.count("BroadcastHashJoin") == 2 and plan.count("ReusedExchange") == 1
+
+
+def test_repeated_labels_give_a_row_per_match(spark, tmp_path):
+    vintages = [listed(tmp_path, "old", "category,label\n1,a\n1,b\n2,c\n"), listed(tmp_path, "new", "category,label\n1,d\n", valid_from=date(2010, 1, 1))]
+    labels = clinical.read_single_labels(spark, vintages, "all")
+    df = spark.createDataFrame([(1, "1", date(2000, 1, 1)), (2, "1", date(2020, 1, 1)), (3, "9", date(2000, 1, 1))], "id int, code string, d date")
+    out = clinical.ccs_single_label_at(df, labels, vintages, "d", "code", "all")
+    assert sorted(rows(out.select("id", "ccs285_label")), key=repr) == [(1, "a"), (1, "b"), (2, "d"), (3, None)]
