@@ -272,7 +272,7 @@ def area_income_education(spark, d):
     income = table(spark, d, "customer").selectExpr(*[f"{e} AS {c}" for c, e in INCOME.items()])
     education = table(spark, d, "supplier").selectExpr(*[f"{e} AS {c}" for c, e in EDUCATION.items()])
     orders = table(spark, d, "orders").selectExpr("o_orderkey", "lpad(CAST(o_custkey % 1600 AS STRING), 5, '0') AS pat_zip")
-    return area.area_income_education(orders, income, education)
+    return area.area_income_education(orders, income, education, "all")
 
 
 @query(

@@ -46,8 +46,8 @@ def area_table(income_raw: DataFrame, education_raw: DataFrame) -> DataFrame:
     return both.filter(F.col("census_zcta").isNotNull()).withColumn("pat_zip", F.col("census_zcta"))
 
 
-def area_income_education(df: DataFrame, income_raw: DataFrame, education_raw: DataFrame) -> DataFrame:
-    return lookup_join(df, area_table(income_raw, education_raw), "pat_zip")
+def area_income_education(df: DataFrame, income_raw: DataFrame, education_raw: DataFrame, on_duplicate: str = "error") -> DataFrame:
+    return lookup_join(df, area_table(income_raw, education_raw), "pat_zip", on_duplicate)
 
 
 def urban_classes(raw: DataFrame, state: str) -> DataFrame:

@@ -294,3 +294,13 @@ def test_severity_of_repeated_codes(spark):
     df = spark.createDataFrame([(1, "1", "x")], "id int, dx_prin string, odx1 string")
     got = clinical.illness_severity(df, ["dx_prin", "odx1"], clinical.severity_lookup(raw), on_duplicate="all")
     assert rows(got.select("sev_score", "sev_major_group", "sev_all_max_int"), "sev_score") == [("2", "G2", 2), ("5", "G1", 5)]
+
+
+def test_repeated_areas_give_a_row_per_match(spark):
+    income = spark.createDataFrame([("10000", "5"), ("10000", "7")], "GEO_id2 string, HC02_EST_VC02 string")
+    edu = spark.createDataFrame([("10000", "80", "30")], "GEO_id2 string, HC01_EST_VC16 string, HC01_EST_VC17 string")
+    df = spark.createDataFrame([(1, "10000"), (2, "2")], "id int, pat_zip string")
+    with pytest.raises(ValueError, match="repeats"):
+        area.area_income_education(df, income, edu)
+    got = area.area_income_education(df, income, edu, "all").select("id", "census_med_income", "census_hs_higher")
+    assert sorted(rows(got), key=repr) == [(1, 5.0, 80.0), (1, 7.0, 80.0), (2, None, None)]
