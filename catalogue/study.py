@@ -73,7 +73,7 @@ def encounter_table(spark, d):
     counties = table(spark, d, "nation").selectExpr("n_nationkey AS pat_county", "n_name AS County")
     out = study.encounter_table(
         full_encounters(spark, d), SLOTS3, ccs, severity, income=income, education=education,
-        county_map=counties, urban=urban(spark, d, "n_name"),
+        county_map=counties, urban=urban(spark, d, "n_name"), on_duplicate="all",
     )
     return out.select(
         "sql_id", "line", "part", "charge", "outcome", "insurance2", "ccs_injury_count", "ccs_injury_any", "sev_all_max_int",

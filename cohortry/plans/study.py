@@ -30,18 +30,20 @@ def encounter_table(
     education: DataFrame | None = None,
     county_map: DataFrame | None = None,
     urban: DataFrame | None = None,
+    on_duplicate: str = "error",
 ) -> DataFrame:
-    """Own-emergency-room cohort, recodes, code classifications and area data. Lookups not given are left out."""
+    """Own-emergency-room cohort, recodes, code classifications and area data. Lookups not given are left out.
+    ``on_duplicate="all"``: a repeated code or area gives a row per match."""
     df = encounter_recode(ed_arrival_cohort(encounters))
-    df = clinical.injury_flags(clinical.ccs_multilevel(df, slots, ccs), slots)
+    df = clinical.injury_flags(clinical.ccs_multilevel(df, slots, ccs, on_duplicate=on_duplicate), slots)
     if severity is not None:
-        df = clinical.illness_severity(df, slots, severity)
+        df = clinical.illness_severity(df, slots, severity, on_duplicate=on_duplicate)
     if conditions is not None:
         df = clinical.ccc_summary(df, slots, conditions)
     if injuries is not None:
-        df = clinical.injury_severity(df, slots, injuries)
+        df = clinical.injury_severity(df, slots, injuries, on_duplicate=on_duplicate)
     if income is not None and education is not None:
-        df = area.area_income_education(df, income, education)
+        df = area.area_income_education(df, income, education, on_duplicate)
     if county_map is not None and urban is not None:
         df = area.urban_rural(df, county_map, urban)
     return df
