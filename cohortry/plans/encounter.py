@@ -9,6 +9,7 @@ from cohortry.functions.dates import SEASONS, age_years_exact, is_weekend, seaso
 from cohortry.functions.levels import factor
 from cohortry.functions.recode import case_when, conditional_assign, in_set, recode_map, values_to_null
 from cohortry.functions.text import concat_text, hospital_key
+from cohortry.session import compiled
 
 # Codes of the encounter extracts and the groups they stand for.
 MISSING_RLN = "---------"
@@ -116,7 +117,7 @@ def collapse_race(col: str, keep_asian: bool) -> Column:
 
 def encounter_recode(df: DataFrame) -> DataFrame:
     """The whole recode block in three projections."""
-    cleaned = df.withColumns(
+    cleaned = compiled(df).withColumns(
         {
             "oshpd_id": hospital_key("oshpd_id"),
             "rln": values_to_null("rln", MISSING_RLN),

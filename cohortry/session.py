@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NullType
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -17,7 +19,7 @@ DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # The JVM never compiles methods above this size, so wide recodes run faster as split functions.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
+    METHOD_LIMIT: "8000",
     "spark.ui.enabled": "false",
 }
 
@@ -34,6 +36,15 @@ def get_session(app_name: str = "cohortry", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+def compiled(df: DataFrame) -> DataFrame:
+    """The frame, in a session that lets the JVM compile what its wide projections become: a session not made by
+    ``get_session`` would run them interpreted. Rows do not depend on the setting; a lower limit stays."""
+    conf = df.sparkSession.conf
+    if int(conf.get(METHOD_LIMIT)) > int(DEFAULTS[METHOD_LIMIT]):
+        conf.set(METHOD_LIMIT, DEFAULTS[METHOD_LIMIT])
+    return df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 

@@ -77,3 +77,15 @@ def test_the_core_does_without_the_text_operators(lacking):
         "assert e.queries().keys() == QUERIES.keys() and e.oracle_sql().keys() == ORACLES.keys()"
     )
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent)
+
+
+def test_wide_recodes_are_compiled_in_any_session(spark):
+    """A method of more than 8,000 bytes is never compiled by the JVM; Spark then has to split it."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    df = QUERIES["encounter_recode"](other, SF)
+    assert int(other.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+    assert df.count() > 0
+    other.conf.set("spark.sql.codegen.hugeMethodLimit", "4000")
+    QUERIES["encounter_recode"](other, SF)
+    assert other.conf.get("spark.sql.codegen.hugeMethodLimit") == "4000"
