@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.llm.token_ids import word_level
+from cohortry.llm.token_ids import word_level, word_level_once
 
 TIERS = (512, 1024, 2048, 4096)
 CHUNK_IDS = 1 << 20
@@ -88,11 +88,11 @@ class Packer:
             left -= size
 
 
-def _packed(path: str, end_id: int, tiers: tuple[int, ...], special: bool):
+def _packed(path: str, end_id: int, tiers: tuple[int, ...], special: bool, lasting: bool = True):
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_level(path, special)
+        encode = (word_level if lasting else word_level_once)(path, special)
         base = TaskContext.get().partitionId() << 33
         held: dict[int, tuple[int | None, bytes]] = {}
         out: list[list] = [[] for _ in FIELDS]
@@ -146,13 +146,15 @@ def pack_documents(
     text_col: str = "text",
     tiers: tuple[int, ...] = TIERS,
     special: bool = False,
+    lasting: bool = True,
 ) -> DataFrame:
     """A row per piece: the document's id, start and length in its ids, crc32 of the ids, the document's id count, and
     where the piece lies: sequence_id, offset, sequence_length (a power of two, always full), step_group.
 
     A NULL or empty text is the end id alone. Rows that repeat an id, and rows with a NULL id, are documents of their
     own. Other columns are ignored; an empty frame gives no rows. ``tiers`` are ascending powers of two.
-    ``special`` gives the strings of special tokens in a text their own ids.
+    ``special`` gives the strings of special tokens in a text their own ids. ``lasting``: a worker keeps the pieces it has encoded
+    for its next tasks; where other operators use the workers afterwards, that memory is theirs and each task keeps its own.
     """
     body = F.coalesce(F.col(text_col), F.lit("")).alias("body")
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), body).mapInArrow(_packed(vocabulary, end_id, tiers, special), SCHEMA)
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), body).mapInArrow(_packed(vocabulary, end_id, tiers, special, lasting), SCHEMA)

@@ -90,8 +90,7 @@ def byte_level(path: str, special: bool = False):
     return _cutting(path, encode) if special else encode
 
 
-@cache
-def word_level(path: str, special: bool = False):
+def word_level_once(path: str, special: bool = False):
     """A function text -> little-endian 32-bit ids for a vocabulary with word ends that drops white space and case."""
     known = _Pieces(path, lower=True)
 
@@ -99,3 +98,10 @@ def word_level(path: str, special: bool = False):
         return b"".join(map(known.__getitem__, text.replace("\n", " ").split(" ")))
 
     return _cutting(path, encode) if special else encode
+
+
+@cache
+def word_level(path: str, special: bool = False):
+    """The same function for all tasks of a worker, with one memory of pieces. It stays with the worker (up to some 300 MB), also
+    when the worker goes on with other operators."""
+    return word_level_once(path, special)

@@ -35,7 +35,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), special=True)
+    # The workers go on with other stages: no memory of pieces stays behind.
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), special=True, lasting=False)
 
 
 STAGES = [

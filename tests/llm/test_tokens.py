@@ -5,6 +5,7 @@ from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -130,3 +131,30 @@ def test_queries_and_stage_make_the_plain_call(spark, tmp_path):
     assert QUERIES["op10_token_files"](spark, str(tmp_path)).first().ids_crc32 == zlib.crc32(np.array([*ids, 0], "<u4").tobytes())
     for packed in (QUERIES["op7_packing"](spark, str(tmp_path)), corpus_pipeline.pack(spark, table(spark, str(tmp_path), "documents"), "")):
         assert {r.doc_tokens for r in packed.collect()} == {4}
+
+
+def test_the_pipeline_leaves_no_memory_of_pieces_in_a_worker(spark):
+    """Its workers go on with other stages; the query of packing alone keeps the pieces."""
+
+    def pieces_left(batches):
+        import gc
+
+        from cohortry.llm.token_ids import _Pieces
+
+        for _ in batches:
+            pass
+        gc.collect()
+        n = sum(len(x) for x in gc.get_objects() if isinstance(x, _Pieces))
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
+
+    docs = spark.createDataFrame([(i, f"some words and number {i}") for i in range(50)], "doc_id bigint, text string").coalesce(1)
+    rows = corpus_pipeline.pack(spark, docs, "")
+    assert {tuple(r) for r in rows.collect()} == {tuple(r) for r in pack_documents(docs, WORD, special=True).collect()}
+    spark.conf.set("spark.sql.execution.pyspark.udf.faulthandler.enabled", "true")  # workers of its own
+    try:
+        assert rows.count() > 0
+        assert docs.mapInArrow(pieces_left, "n long").first().n == 0
+        assert pack_documents(docs, WORD, special=True).count() > 0
+        assert docs.mapInArrow(pieces_left, "n long").first().n > 0
+    finally:
+        spark.conf.unset("spark.sql.execution.pyspark.udf.faulthandler.enabled")
