@@ -18,6 +18,7 @@ pytestmark = pytest.mark.skipif(not SF.exists(), reason="no test tables")
 NAMES = [
     "ccs_multilevel",
     "ccs_multilevel_icd10",
+    "ccs_single_2018",
 ]
 
 
