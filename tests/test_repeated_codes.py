@@ -19,6 +19,7 @@ NAMES = [
     "ccs_multilevel",
     "ccs_multilevel_icd10",
     "ccs_single_2018",
+    "ccs_single_label",
 ]
 
 
