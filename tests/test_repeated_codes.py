@@ -20,6 +20,7 @@ NAMES = [
     "ccs_multilevel_icd10",
     "ccs_single_2018",
     "ccs_single_label",
+    "code_slots_lookup",
 ]
 
 
