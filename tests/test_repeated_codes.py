@@ -21,6 +21,7 @@ NAMES = [
     "ccs_single_2018",
     "ccs_single_label",
     "code_slots_lookup",
+    "injury_flags",
 ]
 
 
