@@ -22,6 +22,7 @@ NAMES = [
     "ccs_single_label",
     "code_slots_lookup",
     "injury_flags",
+    "long_lookup_wide",
 ]
 
 
