@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cohortry.functions.dates import parse_date
 from cohortry.sources.loads import highest_id, replace_partitions
-from cohortry.sources.numbering import number_rows
+from cohortry.sources.numbering import number_wide_rows
 
 
 def numbered(stem: str, upto: int) -> list[str]:
@@ -189,7 +189,7 @@ def combine(
     The frames are the yearly files as read (column and row selections included)."""
     parts = [*map(harmonise_inpatient, inpatient), *map(harmonise_emergency, emergency)]
     rows = union_all(parts).drop("id", "db_row_n")
-    done = number_rows(rows, order, batch=["database", "start_year"], running_id="id", from_files=True, after=after)
+    done = number_wide_rows(rows, order, ["database", "start_year"], after=after)
     return done.select(*[F.col(n).cast(k).alias(n) for n, k in HARMONISED])
 
 

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
-from cohortry.session import broadcast_if_small, stored
+from cohortry.session import broadcast_if_small, compiled, stored
 
 # monotonically_increasing_id keeps the position inside the partition in its lower 33 bits.
 POSITION_BITS = 33
@@ -58,6 +59,48 @@ def number_rows(
     return found.select(*ids, *df.columns, (at - F.col("_batch")).alias(row_number))
 
 
+def number_wide_rows(
+    df: DataFrame,
+    order: Sequence[str],
+    batch: Sequence[str],
+    row_number: str = "db_row_n",
+    running_id: str = "id",
+    after: int = 0,
+) -> DataFrame:
+    """The numbers of ``number_rows`` for rows of many columns that come from files, ordered by names.
+
+    The order columns alone are range-partitioned over batch, order and scan position and counted: that gives the key and the
+    number at which each range of a batch starts. The whole rows are then computed once, go to their range by a binary search in these
+    starts, and are sorted and numbered there; nothing is written in between. The result is in the order of batch and order
+    columns, so a write by batch does not sort again. The starts are one row per partition and batch, as batches are few.
+    """
+    partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    tied = compiled(df).withColumn("_scan", F.monotonically_increasing_id())
+    names = [*batch, *order, "_scan"]
+    kind = StructType([StructField(f"_k{i}", tied.schema[c].dataType) for i, c in enumerate(names)])
+    key = F.struct(*[F.col(c).alias(f.name) for c, f in zip(names, kind)]).cast(kind)
+    ranged = tied.select(key.alias("_key")).repartitionByRange(partitions, "_key").withColumn("_part", F.spark_partition_id())
+    of_batch = [F.col("_key")[f.name] for f in kind[: len(batch)]]
+    runs = ranged.groupBy(*of_batch, "_part").agg(F.count(F.lit(1)).alias("n"), F.min("_key").alias("low")).select("n", "low")
+
+    starts, batches, lows, rows = [], {}, [], 0
+    for n, low in runs.orderBy("low").collect():
+        starts.append((rows, batches.setdefault(low[: len(batch)], rows)))
+        lows.append(F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(low, kind)]))
+        rows += n
+    # One literal of the key's type: a cast inside the search would be made again in each of its steps.
+    listed = F.array(*lows).cast(ArrayType(kind))
+    jumps = F.array(*[F.lit(1 << i) for i in reversed(range(len(lows).bit_length()))])
+    found = F.aggregate(jumps, F.lit(0), lambda at, jump: F.when(F.get(listed, at + jump) <= key, at + jump).otherwise(at))
+    ranges = tied.withColumn("_range", found if lows else F.lit(0)).repartitionById(max(len(lows), 1), "_range")
+
+    placed = ranges.sortWithinPartitions(*names)
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    before, own = (F.get(F.array(*[F.lit(s[i]).cast("bigint") for s in starts or [(0, 0)]]), F.col("_range")) for i in (0, 1))
+    at = placed.withColumn("_at", before + position + 1)
+    return at.select((F.col("_at") + F.lit(after)).alias(running_id), *df.columns, (F.col("_at") - own).alias(row_number))
+
+
 def sparse_id(df: DataFrame, name: str = "id", start: int = 0) -> DataFrame:
     """Unique but gappy id: no shuffle at all."""
     return df.select((F.monotonically_increasing_id() + F.lit(start)).alias(name), *df.columns)

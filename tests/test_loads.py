@@ -79,3 +79,27 @@ def test_numbers_without_batches_start_behind_after(spark):
 def test_stored_keeps_untyped_columns(spark):
     back = stored(spark.range(2).withColumn("n", F.lit(None)).withColumn("a b,c", F.lit("t")), "untyped")
     assert back.schema["n"].dataType.simpleString() == "void" and rows(back, "id") == [(0, None, "t"), (1, None, "t")]
+
+
+def test_wide_rows_get_the_same_numbers(spark, tmp_path):
+    """Ties over many ranges, NULL keys, a batch of one row and no rows at all."""
+    path = str(tmp_path / "wide")
+    made = spark.range(0, 3000, 1, 5).selectExpr(
+        "id AS v", "IF(id = 7, 'z', IF(id % 3 = 0, NULL, concat('b', id % 3))) AS k", "IF(id % 2 = 0, DATE'2011-01-01', IF(id % 7 = 0, NULL, date_add(DATE'2011-01-01', CAST(id % 40 AS INT)))) AS d"
+    )
+    made.write.parquet(path)
+    df = spark.read.parquet(path)
+    want = numbering.number_rows(df, ["d"], batch=["k"], running_id="id", from_files=True, after=5)
+    got = numbering.number_wide_rows(df, ["d"], ["k"], after=5)
+    assert got.columns == want.columns and got.rdd.getNumPartitions() > 8
+    assert rows(got, "id") == rows(want, "id")
+    assert numbering.number_wide_rows(df.filter("v < 0"), ["d"], ["k"]).count() == 0
+
+
+def test_combined_rows_are_not_written_before_the_table(spark, tmp_path):
+    """The whole rows are read from their files, moved once and sorted once, also when they are written by batch."""
+    path = str(tmp_path / "raw")
+    raw_emergency(spark, 30, 2011).write.parquet(path)
+    out = harmonise.combine([], [spark.read.parquet(path)])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1 and path in plan and "placed" not in plan
