@@ -45,17 +45,46 @@ LINK = pa.struct([("pair", pa.int64()), ("times", pa.int64())])
 #: Before a space between a character that is none and a visible one, both vocabularies always end a token.
 BETWEEN_WORDS = re.compile(r"(?<=[^ ])(?= \S)")
 TOUCHING = re.compile(r"\s\s")
+#: Such words stay apart when they follow each other, and so many are encoded at a time.
+SPACED_WORD, TOGETHER = re.compile(r" \S+"), 500
 #: Pieces of text whose ids a worker remembers, and the longest of them.
 REMEMBERED, LONGEST = 200_000, 256
 
 
 def byte_level_ids(path: str):
-    """A function pieces -> ids of each by a byte-level vocabulary; strings of special tokens are plain text."""
+    """A function pieces -> little-endian 32-bit ids of each by a byte-level vocabulary; strings of special tokens are plain text.
+
+    Words that start with their space are encoded as one text, and its ids are cut where the words' bytes end."""
     # A task has one core.
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     model = Tokenizer.from_file(path)
     model.encode_special_tokens = True
-    return lambda pieces: [e.ids for e in model.encode_batch_fast(pieces, add_special_tokens=False)]
+    lengths = pc.fill_null(pc.binary_length(byte_level_tokens(path)), 0).to_numpy()
+
+    def apart(pieces: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in model.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def together(words: list[str]) -> list[bytes]:
+        ids = np.array(model.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.cumsum(lengths[ids])
+        stops = np.cumsum([len(w.encode()) for w in words])
+        at = np.searchsorted(ends, stops)
+        if at[-1] >= len(ends) or (ends[at] != stops).any():
+            return apart(words)
+        run, cuts = ids.tobytes(), [0, *(4 * at + 4).tolist()]
+        return [run[i:j] for i, j in zip(cuts, cuts[1:])]
+
+    def encode(pieces: list[str]) -> list[bytes]:
+        words = [p for p in pieces if SPACED_WORD.fullmatch(p)]
+        found = {}
+        for i in range(0, len(words), TOGETHER):
+            some = words[i : i + TOGETHER]
+            found.update(zip(some, together(some)))
+        others = [p for p in pieces if p not in found]
+        found.update(zip(others, apart(others)))
+        return [found[p] for p in pieces]
+
+    return encode
 
 
 def piece_level_ids(path: str):
@@ -69,10 +98,10 @@ def piece_level_ids(path: str):
     alone = [model.piece_to_id("▁")]
     line = model.encode("\n")
 
-    def ids(pieces: list[str]) -> list[list[int]]:
+    def ids(pieces: list[str]) -> list[bytes]:
         # A piece without a space before it stands behind a line break.
         found = model.encode([p[1:] if p[:1] == " " else "\n" + p for p in pieces], num_threads=1)
-        return [(f or alone) if p[:1] == " " else f[len(line) :] for p, f in zip(pieces, found)]
+        return [array("I", (f or alone) if p[:1] == " " else f[len(line) :]).tobytes() for p, f in zip(pieces, found)]
 
     return ids
 
@@ -87,8 +116,7 @@ class PairedIds:
         self.line = self.made(["\n"])["\n"]
 
     def made(self, pieces: list[str]) -> dict[str, tuple[bytes, bytes]]:
-        a, b = ([array("I", ids).tobytes() for ids in encode(pieces)] for encode in self.both)
-        return dict(zip(pieces, zip(a, b)))
+        return dict(zip(pieces, zip(*(encode(pieces) for encode in self.both))))
 
     def pieces(self, spaced: str) -> list[str]:
         if TOUCHING.search(spaced):
@@ -102,21 +130,22 @@ class PairedIds:
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Both sides' ids of every text; pieces that are not known yet are encoded together."""
         cut = [self.pieces(t) for t in texts]
-        unseen = {}
-        for piece in set().union(*cut):
-            if piece not in self.known:
-                old = self.older.get(piece)
-                unseen[piece] = old
-        new = self.made([p for p, old in unseen.items() if old is None])
-        unseen.update(new)
+        held = set().union(*cut)
+        unseen = held.difference(self.known)
         if len(self.known) + len(unseen) > REMEMBERED:
             self.older, self.known = self.known, {}
-        now = {**unseen, "\n": self.line}
-        self.known.update((p, ids) for p, ids in now.items() if len(p) <= LONGEST)
+            unseen = held
+        old = {p: self.older[p] for p in unseen if p in self.older}
+        self.known.update(old)
+        self.known.update(self.made([p for p in unseen if p not in old]))
+        self.known["\n"] = self.line
         found = []
         for pieces in cut:
-            ids = [now.get(p) or self.known.get(p) or self.older[p] for p in pieces]
-            found.append((b"".join(a for a, _ in ids), b"".join(b for _, b in ids)))
+            ids = [self.known[p] for p in pieces]
+            found.append((b"".join([a for a, _ in ids]), b"".join([b for _, b in ids])))
+        for p in unseen:
+            if len(p) > LONGEST:
+                del self.known[p]
         return found
 
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 from functools import cache
 
 import public_tokenizers as P
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -159,3 +160,12 @@ def test_forgotten_pieces_are_made_again(monkeypatch):
     texts = [" a b c", " b longer words", " a\nb longer", " c d e f g a", " a b c"]
     assert [ids.encode([t]) for t in texts] == [alignment.vocabularies(A_PATH, B_PATH)[0].encode([t]) for t in texts]
     assert len(ids.known) + len(ids.older) < 12
+
+
+def test_words_encoded_together_have_the_ids_they_have_apart():
+    """Also with other white space in a word, or none before it; each piece gives its own bytes."""
+    model = Tokenizer.from_file(A_PATH)
+    model.encode_special_tokens = True
+    pieces = [*(f" w{i}é{i % 7}.," for i in range(1200)), "lead", " a\tb", "\n", " ", " 日本", " <|endoftext|>", " it's", " x​y", " \x1cz", "  two"]
+    found = alignment.byte_level_ids(A_PATH)(pieces)
+    assert found == [np.array(model.encode(p, add_special_tokens=False).ids, "<u4").tobytes() for p in pieces]
