@@ -1,9 +1,11 @@
 """Logistic models with a random intercept per group, fitted for many sub-cohorts at once.
 
-Rows are collapsed to (cell, group, covariate pattern) counts. Every pass joins the small per-group state
-(centre and spread of the group effect) to the patterns, lets the tasks make partial sums, and adds them up per
-group with a partial aggregation; the driver sees sums per cell only. All cells share each pass, so a grid of
-models costs as many Spark jobs as one model.
+Rows are collapsed to (group, covariate pattern) counts with the cells they belong to, and a group's patterns are laid together
+once. A pass then reads them where they lie: tasks find the centre of each group's effect and integrate it for all cells, and only
+sums per cell are moved, so a pass shuffles and writes nothing that grows with the groups. A group with more than ``GROUP_CHUNK``
+patterns is summed by many tasks: its chunks are joined with its state (centre and spread of the effect), and their sums added up by
+an aggregation. There is at most one such group for every ``GROUP_CHUNK`` patterns. All cells share each pass, so a grid of models
+costs as many Spark jobs as one model.
 """
 
 from __future__ import annotations
@@ -22,10 +24,14 @@ from pyspark.sql import functions as F
 from cohortry.models import kernels
 from cohortry.models.design import Term, complete, design_columns
 from cohortry.models.logit import Z95, wald
-from cohortry.session import BROADCAST_ROWS, broadcast_if_small, checkpointed
+from cohortry.session import BROADCAST_ROWS, broadcast_if_small, checkpointed, stored
 
 # Patterns of one group that one task sums at a time.
 GROUP_CHUNK = 100_000
+# Flags of a row's conditions in one column.
+WORD = 62
+# A count and a vector of sums per cell.
+SUMS = "cell int, n double, v array<double>"
 
 INTERCEPT = "(intercept)"
 SD = "sd(intercept)"
@@ -56,51 +62,77 @@ class _Fit:
     cov: np.ndarray | None = field(default=None, repr=False)
 
 
+@dataclass(frozen=True)
+class _Patterns:
+    """``whole``: (grp, n, y, _x0, …, _f0, …), every group in one partition and sorted; ``needs``: the bits of _f0, … that the rows
+    of each cell have. ``split``: (cell, grp, n, y, _x0, …) of the groups with more patterns, in chunks; None without such groups."""
+
+    whole: DataFrame
+    needs: list[list[int]]
+    split: DataFrame | None
+
+
 def _patterns(
     df: DataFrame, outcome: Column, group: str | None, terms: Sequence[Term], cells: Sequence[Cell]
-) -> DataFrame:
-    """(cell, grp, n, y, _x0, _x1, …), checkpointed. Counted before rows are copied into the cells they belong to.
-
-    A group's patterns lie together in one partition, in chunks of ``GROUP_CHUNK`` when it has more.
-    """
+) -> _Patterns:
+    """Patterns counted before rows are copied into the cells they belong to, and laid out by group."""
     names = [f"_x{i}" for i in range(len(design_columns(terms)))]
     x = [F.coalesce(c, F.lit(0.0)).alias(n) for n, (_, c) in zip(names, design_columns(terms))]
     # Every distinct condition is evaluated once per row; cells are combinations of these flags.
     flags: dict[object, Column] = {}
-    needs = []
+    own_flags = []
     for cell in cells:
         own = tuple(cell.terms if cell.terms is not None else terms)
         flags.setdefault(own, complete(own))
         for c in cell.where:
             flags.setdefault(id(c), c)
-        needs.append([own, *map(id, cell.where)])
-    flag_name = {key: f"_f{i}" for i, key in enumerate(flags)}
+        own_flags.append({own, *map(id, cell.where)})
+    at = {key: divmod(i, WORD) for i, key in enumerate(flags)}
+    words = [f"_f{k}" for k in range(-(-len(flags) // WORD))]
+    needs = [[sum(1 << at[key][1] for key in own if at[key][0] == k) for k in range(len(words))] for own in own_flags]
+    set_bit = {key: F.when(c, F.lit(1 << at[key][1])).otherwise(F.lit(0)).cast("long") for key, c in flags.items()}
+    bits = [reduce(lambda a, b: a.bitwiseOR(b), [c for key, c in set_bit.items() if at[key][0] == k]) for k in range(len(words))]
     rows = df.select(
         (F.col(group).cast("string") if group else F.lit("")).alias("grp"),
         outcome.cast("int").alias("_y"),
         *x,
-        *[F.coalesce(c, F.lit(False)).alias(flag_name[key]) for key, c in flags.items()],
+        *[b.alias(w) for b, w in zip(bits, words)],
     ).filter(F.col("grp").isNotNull() & F.col("_y").isNotNull())
-    counted = checkpointed(
-        rows.groupBy("grp", *names, *flag_name.values()).agg(
+    counted = stored(
+        rows.groupBy("grp", *names, *words).agg(
             F.count(F.lit(1)).cast("double").alias("n"), F.sum("_y").cast("double").alias("y")
-        )
+        ),
+        "patterns",
     )
+    sizes = counted.groupBy("grp").agg(F.count(F.lit(1)).alias("_size")).filter(F.col("_size") > GROUP_CHUNK)
+    large = stored(sizes, "large-groups")
+    if not large.count():
+        return _Patterns(_laid(counted, names), needs, None)
+    # At most one for GROUP_CHUNK patterns.
+    large = F.broadcast(large)
     member = [
-        F.when(reduce(lambda a, b: a & b, [F.col(flag_name[k]) for k in need]), F.lit(i)) for i, need in enumerate(needs)
+        F.when(reduce(lambda a, b: a & b, [F.col(w).bitwiseAND(F.lit(m)) == F.lit(m) for w, m in zip(words, need)]), F.lit(i))
+        for i, need in enumerate(needs)
     ]
-    counted = counted.withColumn("_cells", F.array_compact(F.array(*member)))
-    long = counted.select(F.explode("_cells").alias("cell"), "grp", "n", "y", *names)
-    sizes = checkpointed(long.groupBy("cell", "grp").agg(F.count(F.lit(1)).alias("_size")))
     chunk = F.pmod(F.hash("n", "y", *names), F.ceil(F.col("_size") / GROUP_CHUNK))
-    placed = long.join(broadcast_if_small(sizes), ["cell", "grp"]).withColumn("_chunk", chunk)
+    placed = counted.join(large, "grp").select(
+        F.explode(F.array_compact(F.array(*member))).alias("cell"), "grp", chunk.alias("_chunk"), "n", "y", *names
+    )
     placed = placed.repartition("cell", "grp", "_chunk").sortWithinPartitions("cell", "grp")
-    return checkpointed(placed.select("cell", "grp", "n", "y", *names))
+    rest = counted.join(large, "grp", "left_anti")
+    return _Patterns(_laid(rest, names), needs, checkpointed(placed.select("cell", "grp", "n", "y", *names)))
 
 
-def _sum_by(parts: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
-    """Element-wise sum of an array column, combined on the map side."""
-    return parts.groupBy(*keys).agg(vector_to_array(Summarizer.sum(array_to_vector(F.col(col)))).alias(col))
+def _laid(counted: DataFrame, names: Sequence[str]) -> DataFrame:
+    """A group's patterns in one partition, equal designs one after another; a checkpoint keeps partitions as they are."""
+    return checkpointed(counted.repartition("grp").sortWithinPartitions("grp", *names))
+
+
+def _sum_by(parts: DataFrame, keys: Sequence[str], col: str, *counts: str) -> DataFrame:
+    """Element-wise sum of an array column and exact sums of counts, combined on the map side."""
+    return parts.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in counts], vector_to_array(Summarizer.sum(array_to_vector(F.col(col)))).alias(col)
+    )
 
 
 def _solve(info: np.ndarray, score: np.ndarray) -> np.ndarray:
@@ -115,25 +147,29 @@ def _solve(info: np.ndarray, score: np.ndarray) -> np.ndarray:
     raise np.linalg.LinAlgError("information is not positive definite")
 
 
-def _pooled_pass(pat: DataFrame, fits: list[_Fit]) -> dict[int, np.ndarray]:
+def _pooled_pass(pat: _Patterns, fits: list[_Fit], cells: Sequence[int]) -> dict[int, tuple[float, np.ndarray]]:
+    """Rows and sums per cell."""
     beta = np.vstack([f.beta for f in fits])
-    parts = pat.mapInPandas(kernels.pooled_sums(beta), "cell int, v array<double>")
-    return {r["cell"]: np.array(r["v"]) for r in _sum_by(parts, ["cell"], "v").collect()}
+    parts = pat.whole.mapInPandas(kernels.pooled_cells(beta, pat.needs, cells), SUMS)
+    if pat.split is not None:
+        parts = parts.unionByName(_of_cells(pat.split, cells, fits).mapInPandas(kernels.pooled_sums(beta), SUMS))
+    return {r["cell"]: (r["n"], np.array(r["v"])) for r in _sum_by(parts, ["cell"], "v", "n").collect()}
 
 
-def _fit_pooled(pat: DataFrame, fits: list[_Fit], max_iter: int, tol: float) -> None:
+def _fit_pooled(pat: _Patterns, fits: list[_Fit], max_iter: int, tol: float) -> None:
     """Plain logistic fits of all cells."""
     p = len(fits[0].beta)
     for _ in range(max_iter):
         running = [i for i, f in enumerate(fits) if f.status == "running"]
-        sums = _pooled_pass(_of_cells(pat, running, fits), fits)
+        sums = _pooled_pass(pat, fits, running)
         moving = False
         for i in running:
             f = fits[i]
             if i not in sums:
                 f.status = "no rows"
                 continue
-            ll, score, info = sums[i][0], sums[i][1 : 1 + p], sums[i][1 + p :].reshape(p, p)
+            f.rows, v = sums[i]
+            ll, score, info = v[0], v[1 : 1 + p], v[1 + p :].reshape(p, p)
             a = f.active
             if np.any(np.diag(info)[a] <= 1e-10):
                 f.status = "not estimable"
@@ -170,7 +206,7 @@ def _of_cells(df: DataFrame, cells: Sequence[int], fits: Sequence[_Fit]) -> Data
 
 
 def _node_pass(pat: DataFrame, state: DataFrame, fits: list[_Fit], nodes: np.ndarray, weights: np.ndarray):
-    """One pass: per-group results (checkpointed, the next state) and sums per cell."""
+    """One pass over split groups: per-group results (checkpointed, the next state) and sums per cell."""
     p = len(fits[0].beta)
     beta = np.vstack([f.beta for f in fits])
     sigma = np.exp([f.log_sigma for f in fits])
@@ -201,6 +237,25 @@ def _node_pass(pat: DataFrame, state: DataFrame, fits: list[_Fit], nodes: np.nda
     return groups.filter(F.col("grp").isNotNull()), totals, info
 
 
+def _whole_pass(pat: _Patterns, fits: list[_Fit], cells: Sequence[int], nodes: np.ndarray, weights: np.ndarray):
+    """One pass over the groups that lie in one partition each: sums per cell."""
+    p = len(fits[0].beta)
+    beta, sigma = np.vstack([f.beta for f in fits]), np.exp([f.log_sigma for f in fits])
+    parts = pat.whole.mapInPandas(kernels.group_sums(beta, sigma, nodes, weights, pat.needs, cells), SUMS)
+    totals, info = {}, {}
+    for r in _sum_by(parts, ["cell"], "v", "n").collect():
+        v = np.array(r["v"])
+        totals[r["cell"]] = (v[0], int(r["n"]), v[1 : -p * p])
+        info[r["cell"]] = v[-p * p :].reshape(p, p)
+    return totals, info
+
+
+def _added(a: tuple[dict, dict], b: tuple[dict, dict]) -> tuple[dict, dict]:
+    """Totals and information of two sets of groups together."""
+    totals = {c: tuple(s + t for s, t in zip(a[0][c], b[0][c])) if c in a[0] and c in b[0] else (a[0] | b[0])[c] for c in a[0] | b[0]}
+    return totals, {c: a[1].get(c, 0.0) + b[1].get(c, 0.0) for c in a[1] | b[1]}
+
+
 def _small(groups: DataFrame, n_groups: int) -> DataFrame:
     """The per-group frame for the join with the patterns: broadcast when its counted size allows."""
     return F.broadcast(groups) if n_groups <= BROADCAST_ROWS else groups
@@ -237,52 +292,81 @@ def _newton_step(f: _Fit, ll: float, score: np.ndarray, full: np.ndarray, tol: f
         f.status = "converged"
 
 
-def _fit_mixed(pat: DataFrame, fits: list[_Fit], q: int, max_iter: int, tol: float) -> dict[int, int]:
+class _Split:
+    """The groups that are cut into chunks, with their state between the passes."""
+
+    def __init__(self, pat: DataFrame, fits: list[_Fit], cells: Sequence[int], nodes: np.ndarray, weights: np.ndarray):
+        self.pat, self.fits, self.nodes, self.weights = _of_cells(pat, cells, fits), fits, nodes, weights
+        state = self.pat.select("cell", "grp").distinct().select("cell", "grp", F.lit(0.0).alias("a"), F.lit(0.0).alias("w"))
+        self.state = broadcast_if_small(checkpointed(state))
+        self.sizes: dict[int, int] = {}
+        self.settled: list[DataFrame] = []
+
+    def step(self, cells: Sequence[int]) -> tuple[dict, dict]:
+        pat = _of_cells(self.pat, cells, self.fits)
+        groups, totals, info = _node_pass(pat, self.state, self.fits, self.nodes, self.weights)
+        self.sizes |= {c: t[1] for c, t in totals.items()}
+        self.state = groups.select("cell", "grp", F.col("a_next").alias("a"), F.col("w_next").alias("w"))
+        return totals, info
+
+    def settle(self, running: Sequence[int], left: Sequence[int]) -> None:
+        """The state of what has settled waits for the standard errors."""
+        if len(left) < len(running):
+            self.settled.append(self.state.filter(~F.col("cell").isin(*left)) if left else self.state)
+            self.state = self.state.filter(F.col("cell").isin(*left)) if left else self.state.limit(0)
+        self.state = _small(self.state, sum(self.sizes.get(i, 0) for i in left))
+
+    def exact(self) -> tuple[dict, dict]:
+        """Totals at the estimates, and the information averaged over the nodes."""
+        state = reduce(lambda a, b: a.unionByName(b), [*self.settled, self.state])
+        n = sum(self.sizes.values())
+        groups, totals, _ = _node_pass(self.pat, _small(state, n), self.fits, self.nodes, self.weights)
+        beta, sigma = np.vstack([f.beta for f in self.fits]), np.exp([f.log_sigma for f in self.fits])
+        post = _small(groups.select("cell", "grp", "a", "w", "post"), n)
+        parts = self.pat.join(post, ["cell", "grp"]).mapInPandas(
+            kernels.weighted_information(beta, sigma, self.nodes), "cell int, v array<double>"
+        )
+        p = beta.shape[1]
+        return totals, {r["cell"]: np.array(r["v"]).reshape(p, p) for r in _sum_by(parts, ["cell"], "v").collect()}
+
+
+def _fit_mixed(pat: _Patterns, fits: list[_Fit], q: int, max_iter: int, tol: float) -> dict[int, int]:
     p = len(fits[0].beta)
     nodes, weights = np.polynomial.hermite.hermgauss(q)
     live = [i for i, f in enumerate(fits) if f.status == "converged"]
     for i in live:
         fits[i].status, fits[i].best, fits[i].ll = "running", None, -math.inf
-    pat = _of_cells(pat, live, fits)
     if not live:
         return {}
-    state = pat.select("cell", "grp").distinct().select("cell", "grp", F.lit(0.0).alias("a"), F.lit(0.0).alias("w"))
-    state = broadcast_if_small(checkpointed(state))
-    sizes: dict[int, int] = {}
-    settled: list[DataFrame] = []
-    running, warm = live, 2
+    split = _Split(pat.split, fits, live, nodes, weights) if pat.split is not None else None
+    # Split groups find their centres from pass to pass.
+    running, warm = live, 2 if split else 0
     for it in range(max_iter + warm):
-        groups, totals, info = _node_pass(_of_cells(pat, running, fits), state, fits, nodes, weights)
-        sizes |= {c: t[1] for c, t in totals.items()}
-        state = groups.select("cell", "grp", F.col("a_next").alias("a"), F.col("w_next").alias("w"))
-        if it >= warm:
-            for i in running:
-                _newton_step(fits[i], totals[i][0], *_unpack(totals[i][2], info[i], p), tol)
+        if it < warm:
+            split.step(running)
+            continue
+        totals, info = _whole_pass(pat, fits, running, nodes, weights)
+        if split:
+            totals, info = _added((totals, info), split.step(running))
+        for i in running:
+            _newton_step(fits[i], totals[i][0], *_unpack(totals[i][2], info[i], p), tol)
         left = [i for i in running if fits[i].status == "running"]
-        if len(left) < len(running):
-            # The state of what has settled waits for the standard errors.
-            settled.append(state.filter(~F.col("cell").isin(*left)) if left else state)
-            state = state.filter(F.col("cell").isin(*left)) if left else state.limit(0)
+        if split:
+            split.settle(running, left)
         running = left
         if not running:
             break
-        state = _small(state, sum(sizes[i] for i in running))
     for i in live:
         f = fits[i]
         if f.status == "running":
             f.status = "iteration limit"
             if f.best is not None:
                 f.beta, f.log_sigma = f.best
-    state = _small(reduce(lambda a, b: a.unionByName(b), [*settled, *([state] if running else [])]), sum(sizes.values()))
 
     # Standard errors from the exact information of the quadrature sum at the estimates.
-    groups, totals, _ = _node_pass(pat, state, fits, nodes, weights)
-    beta, sigma = np.vstack([f.beta for f in fits]), np.exp([f.log_sigma for f in fits])
-    post = _small(groups.select("cell", "grp", "a", "w", "post"), sum(sizes.values()))
-    parts = pat.join(post, ["cell", "grp"]).mapInPandas(
-        kernels.weighted_information(beta, sigma, nodes), "cell int, v array<double>"
-    )
-    exact = {r["cell"]: np.array(r["v"]).reshape(p, p) for r in _sum_by(parts, ["cell"], "v").collect()}
+    totals, exact = _whole_pass(pat, fits, live, nodes, weights)
+    if split:
+        totals, exact = _added((totals, exact), split.exact())
     for i in live:
         f = fits[i]
         f.ll = totals[i][0]
@@ -292,7 +376,7 @@ def _fit_mixed(pat: DataFrame, fits: list[_Fit], q: int, max_iter: int, tol: flo
             f.cov = np.linalg.inv(full[np.ix_(a, a)])
         except np.linalg.LinAlgError:
             f.cov = None
-    return sizes
+    return {i: totals[i][1] for i in live}
 
 
 def fit_grid(
@@ -315,8 +399,6 @@ def fit_grid(
         own = {n for n, _ in design_columns(cell.terms if cell.terms is not None else terms)}
         active = np.array([True, *[n in own for n, _ in columns]])
         fits.append(_Fit(active=active, beta=np.zeros(len(names))))
-    for r in pat.groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        fits[r["cell"]].rows = r["n"]
     # Without a group these are the final fits; with one they only start the mixed ones.
     _fit_pooled(pat, fits, max_iter, tol if group else 1e-12)
     sizes = _fit_mixed(pat, fits, points, max_iter, tol) if group else {}
