@@ -54,7 +54,8 @@ def pooled_sums(beta: np.ndarray):
             for c in np.unique(cell):
                 m = cell == c
                 add(acc, int(c), n[m].sum(), pooled_part(beta[c], x[m], n[m], y[m]))
-        yield summed(acc)
+        if acc:
+            yield summed(acc)
 
     return run
 
@@ -88,7 +89,8 @@ def pooled_cells(beta: np.ndarray, needs: Sequence[Sequence[int]], cells: Sequen
         for b in batches:
             for c, _, x, n, y in in_cells(b, beta.shape[1], needs, cells) if len(b) else ():
                 add(acc, c, n.sum(), pooled_part(beta[c], x, n, y))
-        yield summed(acc)
+        if acc:
+            yield summed(acc)
 
     return run
 
@@ -150,7 +152,8 @@ def group_sums(beta: np.ndarray, sigma: np.ndarray, nodes: np.ndarray, weights:
                 curve = n * (post[of] * prob * (1 - prob)).sum(axis=1)
                 info = (x * curve[:, None]).T @ x
                 add(acc, c, len(start), np.concatenate([[ll.sum()], stats.sum(axis=0), info.ravel()]))
-        yield summed(acc)
+        if acc:
+            yield summed(acc)
 
     return run
 
@@ -211,6 +214,8 @@ def node_sums(beta: np.ndarray, sigma: np.ndarray, nodes: np.ndarray):
                 m = cell == c
                 acc[int(c)] = acc.get(int(c), np.zeros((p, p))) + (x[m] * curve[m, None]).T @ x[m]
             yield pd.DataFrame({"cell": cell[start], "grp": grp[start], "a": a[start], "w": w[start], "v": sums.tolist()})
+        if not acc:
+            return
         none = [None] * len(acc)
         zero = [0.0] * len(acc)
         yield pd.DataFrame(
@@ -269,6 +274,7 @@ def weighted_information(beta: np.ndarray, sigma: np.ndarray, nodes: np.ndarray)
             for c in np.unique(cell):
                 m = cell == c
                 acc[int(c)] = acc.get(int(c), np.zeros((p, p))) + (x[m] * w[m, None]).T @ x[m]
-        yield pd.DataFrame({"cell": list(acc), "v": [a.ravel().tolist() for a in acc.values()]})
+        if acc:
+            yield pd.DataFrame({"cell": list(acc), "v": [a.ravel().tolist() for a in acc.values()]})
 
     return run

@@ -59,6 +59,20 @@ def test_groups_that_go_over_batches(spark, df, whole):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+@pytest.mark.parametrize("chunk", [25, 100_000])
+def test_partitions_without_rows(spark, df, whole, monkeypatch, chunk):
+    monkeypatch.setattr(mixed, "GROUP_CHUNK", chunk)
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "97"}
+    held = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert_same(whole, fitted(df))
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
 def test_cells_with_whole_and_split_groups(df, whole, monkeypatch):
     """One cell has whole groups only, one split groups only; flags take more than one column."""
     monkeypatch.setattr(mixed, "GROUP_CHUNK", 25)
